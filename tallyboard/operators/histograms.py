@@ -59,7 +59,7 @@ def deployment_summary(endpoints: DataFrame, lookup: DataFrame) -> DataFrame:
 def widen(long: DataFrame, columns: list[str], by: list[str], label: str = "label", n: str = "n") -> DataFrame:
     """One column per label, 0 where a group has none. The labels are given, so no extra job runs."""
     wide = long.groupBy(*by).pivot(label, columns).agg(F.sum(n))
-    return wide.na.fill(0, subset=columns)
+    return wide.select(*by, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in columns])
 
 
 def labels_of(long: DataFrame, label: str = "label", limit: int = 1000) -> list[str]:

@@ -80,8 +80,9 @@ def deployment_sheet(summary: DataFrame, master: DataFrame, keys: list[str], own
     """Account facts and one column per platform, support level and version family (M4, F16)."""
     wide = h.widen(summary, keys, ["inst_id"], "key")
     facts = master.select("inst_id", "account_name", "csm", "arr", "licenses", "deployment")
-    joined = owned_by(facts.join(wide, "inst_id", "left"), owner).na.fill(0, subset=keys)
-    return joined.select("inst_id", *[f"`{c}`" for c in h.ordered_columns([*facts.columns, *keys])])
+    joined = owned_by(facts.join(wide, "inst_id", "left"), owner)
+    cell = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) if c in keys else F.col(c)
+    return joined.select("inst_id", *[cell(c) for c in h.ordered_columns([*facts.columns, *keys])])
 
 
 def trend_sheet(trend: DataFrame, major: str = "3") -> DataFrame:

@@ -15,6 +15,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import lookups
+from ..operators.keyed import restrict_to
+from ..plans import scorecard
+from ..session import scratch_path
 from ..sources import landed, support, warehouse
 
 AS_OF = dt.datetime(2024, 2, 5)
@@ -83,7 +86,7 @@ class Estate:
     def case(self) -> DataFrame:
         return self.raw("orders").selectExpr(
             "cast(o_custkey div 60 as string) as account_id",
-            "concat('Group ', cast(o_orderkey % 5 as string)) as product_group",
+            "concat('Group ', cast(o_orderkey % 97 as string)) as product_group",
             "concat(cast(date_add(to_date(o_orderdate), 8214) as string), 'T09:30:00.000+0000') as created",
             "case o_orderstatus when 'F' then 'Closed' when 'O' then 'Open' else 'Pending' end as status")
 
@@ -125,7 +128,7 @@ class Estate:
             f"{_VERSION.format(p='l_partkey')} as sensor_version",
             "case l_linestatus when 'O' then 'WORKLOAD' else 'ENDPOINT' end as deployment_type",
             f"concat({os}, ' ', cast(10 + l_linenumber as string)) as os_version",
-            "case l_returnflag when 'A' then 'REGISTERED' when 'R' then 'BYPASS' else 'DEREGISTERED' end as status",
+            f"{STATUS} as status",
             "l_shipdate + interval 8120 days as last_contact_time", f"{os} as os",
             "case when l_tax > 0 then concat('8.', cast(cast(round(l_tax * 100) as int) as string)) end as av_vdf_version",
             "'OK' as fetch_status")
@@ -146,7 +149,7 @@ class Estate:
             "case o when 0 then 'tag_win' when 1 then 'tag_mac' else 'tag_lin' end as os", "version",
             "date_add(date'2020-06-01', cast(a * 160 + b * 40 as int)) as standard",
             "date_add(date'2021-06-01', cast(a * 160 + b * 40 as int)) as extended",
-            "case when a < 9 then date_add(date'2022-06-01', cast(a * 160 + b * 40 as int)) end as eol")
+            "case when a < 9 then date_add(date'2023-06-01', cast(a * 160 + b * 40 as int)) end as eol")
         level = support.support_level(F.col("standard"), F.col("extended"), F.col("eol"), AS_OF)
         return dated.withColumn("current_level", level)
 
@@ -184,6 +187,12 @@ class Estate:
         return self.raw("documents").selectExpr("cast(doc_id as string) as inst_id", "text as name")
 
     # --- derived by the library ------------------------------------------
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table once under the work folder and read it back, as a run does."""
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def roster(self) -> DataFrame:
         return warehouse.roster(self.installation)
@@ -193,9 +202,17 @@ class Estate:
         return lookups.sensor_lookup(self.endpoints, self.kits, self.version_support)
 
     @cached_property
-    def sf_data(self) -> DataFrame:
+    def licences(self) -> DataFrame:
+        return restrict_to(warehouse.sibling_licences(self.installation, self.account), self.roster)
+
+    @cached_property
+    def sf_plan(self) -> DataFrame:
         return warehouse.build_sf_data(self.roster, self.warehouse, AS_OF, PRODUCT_GROUPS)
 
+    @cached_property
+    def sf_data(self) -> DataFrame:
+        return self.stored("sf_data", self.sf_plan)
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -205,6 +222,22 @@ class Estate:
             "cse_activity": warehouse.activity(self.activity_timeline, self.account, AS_OF),
         }
 
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return scorecard.master_metrics(self.tables, self.lookup, AS_OF)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return scorecard.score_installations(self.metrics, None, AS_OF)
+
+    @cached_property
+    def master(self) -> DataFrame:
+        return self.stored("master", self.scored)
+
+    @cached_property
+    def account_master(self) -> DataFrame:
+        return scorecard.score_accounts(self.master, None, AS_OF)
+
 
 def _event_ms():
     from ..functions.time import ntz_to_ms
@@ -218,6 +251,8 @@ ALERT_CONDITIONS = {
     "policy_not_applied": "l_discount < 0.01",
 }
 
+STATUS = "case when l_returnflag = 'N' then 'DEREGISTERED' when l_returnflag = 'R' and l_tax > 0.06 then 'BYPASS' else 'REGISTERED' end"
+
 DESCRIPTION = """case event_type
   when 'view' then case when k % 2 = 0 then 'Logged in successfully' else 'LOGIN SUCCESSFUL' end
   when 'click' then concat('Connector ', cast(k as string), ' logged in successfully')
@@ -261,7 +296,7 @@ SQL: dict[str, str] = {
       o_orderpriority as forecast, cast(o_orderdate as date) + 8400 as close_date,
       case o_orderstatus when 'O' then 'Renewal' when 'F' then 'Early Renewal' else 'New business' end as type,
       case o_orderkey % 4 when 0 then 'CBD;Other' when 1 then 'Endpoint' when 2 then 'Other' else 'EEDR,Workload' end as product_family from orders""",
-    "cases": """select cast(o_custkey // 60 as varchar) as account_id, 'Group ' || (o_orderkey % 5) as product_group,
+    "cases": """select cast(o_custkey // 60 as varchar) as account_id, 'Group ' || (o_orderkey % 97) as product_group,
       cast(o_orderdate as date) + 8214 + INTERVAL 570 MINUTE as created,
       case o_orderstatus when 'F' then 'Closed' when 'O' then 'Open' else 'Pending' end as status from orders""",
     "cta": """select cast(o_custkey // 60 as varchar) as account_id, cast(o_orderdate as date) + 8000 as closed_date,
@@ -276,7 +311,7 @@ SQL: dict[str, str] = {
       case event_type when 'view' then 'CSE: Activity' else event_type end as type_name from events""",
     "endpoints": f"""select cast(l_suppkey as varchar) as inst_id, concat(l_orderkey, '-', l_linenumber) as id, {_v('l_partkey')} as sensor_version,
       case l_linestatus when 'O' then 'WORKLOAD' else 'ENDPOINT' end as deployment_type, concat({_os('l_partkey')}, ' ', 10 + l_linenumber) as os_version,
-      case l_returnflag when 'A' then 'REGISTERED' when 'R' then 'BYPASS' else 'DEREGISTERED' end as status,
+      {STATUS} as status,
       l_shipdate + INTERVAL 8120 DAY as last_contact_time, {_os('l_partkey')} as os,
       case when l_tax > 0 then concat('8.', cast(round(l_tax * 100) as int)) end as av_vdf_version from lineitem""",
     "kits": f"""select case p_partkey % 3 when 0 then 'WINDOWS' when 1 then 'MAC' else 'UBUNTU' end as os, {_v('p_partkey')} as version
@@ -285,12 +320,12 @@ SQL: dict[str, str] = {
       when standard < {NOW} then 'ST' when standard > {NOW} then 'Unreleased' end as current_level from (
       select case o when 0 then 'tag_win' when 1 then 'tag_mac' else 'tag_lin' end as os, version,
         DATE '2020-06-01' + cast(a * 160 + b * 40 as int) as standard, DATE '2021-06-01' + cast(a * 160 + b * 40 as int) as extended,
-        case when a < 9 then DATE '2022-06-01' + cast(a * 160 + b * 40 as int) end as eol from (
+        case when a < 9 then DATE '2023-06-01' + cast(a * 160 + b * 40 as int) end as eol from (
         select distinct p_partkey % 3 as o, p_partkey % 10 as a, 0 as b, concat('3.', p_partkey % 10, case when p_partkey % 10 % 2 = 1 then '.x' else '' end) as version from part
         union all
         select distinct p_partkey % 3, p_partkey % 10, (p_partkey // 10) % 5, concat('3.', p_partkey % 10, '.', (p_partkey // 10) % 5) from part
         where (p_partkey // 10) % 5 >= 3) u) d""",
-    "audit": f"""select cast(user_id as varchar) as inst_id, 'u' || k as user, epoch_ms(ts) as event_time, {DESCRIPTION} as description
+    "audit": f"""select cast(user_id as varchar) as inst_id, 'u' || k as user, epoch_us(ts) // 1000 as event_time, {DESCRIPTION} as description
       from (select user_id, event_type, ts, cast(json_extract_string(props, '$.k') as int) as k from events) e""",
     "alerts": "select cast(l_suppkey as varchar) as inst_id, " + ", ".join(
         f"count(*) filter (where {cond}) as {name}" for name, cond in ALERT_CONDITIONS.items()) + " from lineitem group by 1",

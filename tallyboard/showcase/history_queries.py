@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import history as hist
 from ..operators import rules as r
-from ..plans import scorecard
 from ..session import scratch_path
 from . import oracle as o
 from .estate import AS_OF, TODAY, Estate, oracle
@@ -98,24 +97,15 @@ def aligned(e: Estate) -> DataFrame:
 
 def zero_cases(e: Estate) -> DataFrame:
     """Accounts with an installation without cases of ours in 90 days."""
-    metrics = scorecard.base_master(e.sf_data, e.alerts, e.tables["new_deployment"])
-    return metrics.filter(F.col("cbc_cases_90d") == 0).select("inst_id", "account_name")
-
-
-def first_scores(e: Estate) -> DataFrame:
-    return scorecard.score_installations(scorecard.master_metrics(e.tables, e.lookup, AS_OF), None, AS_OF)
-
-
-def accounts_of(e: Estate) -> DataFrame:
-    return scorecard.score_accounts(first_scores(e), None, AS_OF)
+    return e.sf_plan.filter(F.col("cbc_cases_90d") == 0).select("inst_id", "account_name")
 
 
 QUERIES = [
     Query("r01_scores_at_limits", "R1 R2 R3 R4 R5 R6 R7 R8 R9 R10 R11 R12 R13 R14 R15 R16 R17 R18 R19 R20 R21 R22 R23 R24 R25 B1 B2 B4 X2",
           lambda e: r.score(threshold_metrics(e), AS_OF).select("k", *SHOWN), f"select k, {', '.join(SHOWN)} from ({o.scored('t')}) s".replace("from t)", f"from ({THRESHOLD_SQL}) t)")),
-    Query("b02_installation_scores", "B2 B4 R1-R25 J21", lambda e: first_scores(e).select("inst_id", *SHOWN, "brag_decrease"),
+    Query("b02_installation_scores", "B2 B4 R1-R25 J21", lambda e: e.scored.select("inst_id", *SHOWN, "brag_decrease"),
           oracle(f"select inst_id, {', '.join(SHOWN)}, brag_decrease from master", "master")),
-    Query("b04_account_scores", "B4 A15", lambda e: accounts_of(e).select("account_name", *SHOWN, "brag_decrease"),
+    Query("b04_account_scores", "B4 A15", lambda e: e.account_master.select("account_name", *SHOWN, "brag_decrease"),
           oracle(f"select account_name, {', '.join(SHOWN)}, brag_decrease from account_master", "account_master")),
     Query("r22_deployment_swing", "R22 J11 O2", swings,
           oracle("""select c.inst_id, c.deployment, p.previous_deployment, case when d then '>10% decrease in deployment counts' else '' end as violations_triggered,
@@ -129,7 +119,7 @@ QUERIES = [
     Query("w02_snapshot_changes", "W2 R22", lambda e: hist.snapshot_changes(monthly(e), "inst_id", "deployment"),
           oracle("""select inst_id, date, deployment, previous, cast((previous - deployment) * 100 as double) / previous as decrease_perc from (
              select *, lag(deployment) over (partition by inst_id order by date) as previous from monthly) m""", monthly=MONTHLY)),
-    Query("j19_zero_cases", "J19 R25", zero_cases, oracle("select inst_id, account_name from base_master where cbc_cases_90d = 0", "base_master")),
+    Query("j19_zero_cases", "J19 R25", zero_cases, oracle("select inst_id, account_name from sf_data where cbc_cases_90d = 0", "sf_data")),
     Query("u02_align_union", "U2 K4", aligned,
           oracle("select *, case when date = (select max(date) from monthly) then 'today' end as note from monthly", monthly=MONTHLY)),
     Query("k05_snapshot_rerun", "K5 K8 K4 X6", snapshot_rerun,
@@ -137,5 +127,5 @@ QUERIES = [
              from supplier cross join (select {TODAY} as d, cast(null as varchar) as cse union all select {TODAY} + 1, 'new column') x"""),
     Query("k02_replace_and_append", "K1 K2 K9 S18", appended,
           "select c_nationkey, count(*) as n from customer group by 1 union all select s_nationkey, count(*) from supplier group by 1"),
-    Query("j21_master_metrics", "J21 K3", lambda e: scorecard.master_metrics(e.tables, e.lookup, AS_OF), all_of("metrics")),
+    Query("j21_master_metrics", "J21 K3", lambda e: e.metrics, all_of("metrics")),
 ]

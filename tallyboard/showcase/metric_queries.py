@@ -40,8 +40,7 @@ ARCHIVE = f"""select {TODAY} as date, inst_id, os, count(*) filter (where suppor
   count(*) filter (where support_level = 'EOL') as eol, count(*) as total from recent group by 2, 3"""
 
 
-def series_sql(now_ms: str) -> str:
-    return f"""select s.inst_id, s.bucket, count(*) filter (where e.login) as logins, count(*) filter (where e.byp) as bypass,
+SERIES = """select s.inst_id, s.bucket, count(*) filter (where e.login) as logins, count(*) filter (where e.byp) as bypass,
       case when count(*) filter (where e.byp and contains(e.description, 'all')) > 0 then 'Yes' else 'No' end as all_in_bypass,
       count(*) filter (where e.connector) as connectors from spine s left join ev e on s.inst_id = e.inst_id and s.bucket = e.bucket group by 1, 2"""
 
@@ -49,12 +48,12 @@ def series_sql(now_ms: str) -> str:
 def series_oracle(now_ms: str) -> str:
     start = f"coalesce(min(a.event_time), {now_ms} - 7 * 86400000)"
     days = f"({now_ms} - start_ms) // 86400000"
-    fmt = "case when monthly then '%Y-%m' else '%Y-%m-%d' end"
+    bucket = lambda day: f"case when monthly then strftime({day}, '%Y-%m') else strftime({day}, '%Y-%m-%d') end"
     return oracle(
-        series_sql(now_ms), "roster", "audit",
+        SERIES, "roster", "audit",
         span=f"select *, {days} as days, {days} >= 61 as monthly from (select r.inst_id, {start} as start_ms from roster r left join audit a on a.inst_id = r.inst_id group by 1) t",
-        spine=f"select distinct inst_id, strftime(cast(epoch_ms(start_ms) as date) + cast(i as int), {fmt}) as bucket from (select *, unnest(range(0, days + 2)) as i from span) u",
-        ev=f"""select a.inst_id, strftime(epoch_ms(a.event_time), {fmt}) as bucket, description, description ilike 'log%in success%' as login,
+        spine=f"select distinct inst_id, {bucket('cast(epoch_ms(start_ms) as date) + cast(i as int)')} as bucket from (select *, unnest(range(0, days + 2)) as i from span) u",
+        ev=f"""select a.inst_id, {bucket('epoch_ms(a.event_time)')} as bucket, description, description ilike 'log%in success%' as login,
           description ilike '%bypass%' and (description ilike '%enabled%' or description ilike '%to on %') and description not ilike '%Action)' as byp,
           description ilike '%connector% log%' as connector from audit a join span s on a.inst_id = s.inst_id""")
 
@@ -104,7 +103,7 @@ QUERIES = [
     Query("j13_longest_prefix_exact", "J13", lambda e: release_levels(e, True), prefix_sql(True)),
     Query("j14_downloadable", "J14", lambda e: lookups.downloadable(e.endpoints.select(F.col("sensor_version").alias("version"), "os").distinct(), e.kits),
           oracle("select version, os, dl_available from sensor_lookup", "sensor_lookup")),
-    Query("a05_endpoint_metrics", "A5 A6 A7 A8 A9 F5 F7 J8 J9 X1 X2", lambda e: ep.endpoint_metrics(e.endpoints, e.sf_data, e.lookup), all_of("endpoint_metrics")),
+    Query("a05_endpoint_metrics", "A5 A6 A7 A8 A9 F5 F7 J8 J9 X1 X2", lambda e: ep.endpoint_metrics(e.endpoints, e.licences, e.lookup), all_of("endpoint_metrics")),
     Query("a05_endpoint_counts", "A5 A6 A7 A8 F7", lambda e: ep.endpoint_counts(e.endpoints),
           oracle("""select inst_id, os, sensor_version as version, count(*) filter (where in30) as seen, count(*) filter (where in30 and dep) as deployed,
              count(*) filter (where in30 and dep and deployment_type = 'WORKLOAD') as workload, count(*) filter (where in30 and status = 'BYPASS') as bypass,

@@ -13,7 +13,6 @@ from ..plans import marts
 from ..session import scratch_path
 from . import oracle as o
 from .estate import AS_OF, TODAY, oracle
-from .history_queries import accounts_of, first_scores
 from .metric_queries import FAMILIES, LABEL, OS_KEYS, SUMMARY, TREND
 from .registry import Query
 from .warehouse_queries import all_of
@@ -39,7 +38,7 @@ def pack_sql(source: str, more: str = "") -> str:
 
 def account_members(e):
     """Every (account, installation) pair again, out of lists cut into small parts."""
-    parts = account_lists(first_scores(e), per_part=2)
+    parts = account_lists(e.master, per_part=2)
     return parts.select("account_name", F.explode(F.split("inst_id", ",")).alias("inst_id"))
 
 
@@ -80,19 +79,19 @@ DEPLOYMENT_SQL = "select m.inst_id, m.account_name, m.csm, m.arr, m.licenses, m.
     f" from master m left join ({SUMMARY}) s on m.inst_id = s.inst_id where m.csm is not null group by 1, 2, 3, 4, 5, 6"
 
 QUERIES = [
-    Query("a15_account_rollup", "A15 X7 A16", lambda e: account_rollup(first_scores(e)), all_of("rollup")),
+    Query("a15_account_rollup", "A15 X7 A16", lambda e: account_rollup(e.master), all_of("rollup")),
     Query("a15_account_lists", "A15 X7", account_members, oracle("select account_name, inst_id from master where account_name is not null", "master")),
     Query("a32_engineer_installations", "A32 X8", engineer_parts,
           oracle("select lower(cse) as cse_key, inst_id from sf_data where cse is not null and cse <> 'None'", "sf_data")),
-    Query("m01_master_sheet", "M1 F12 F14 O1", lambda e: marts.master_sheet(first_scores(e)), oracle(sheet_sql("master"), "master")),
-    Query("m01_account_sheet", "M1 F12", lambda e: marts.master_sheet(accounts_of(e)), oracle(sheet_sql("account_master"), "account_master")),
+    Query("m01_master_sheet", "M1 F12 F14 O1", lambda e: marts.master_sheet(e.scored), oracle(sheet_sql("master"), "master")),
+    Query("m01_account_sheet", "M1 F12", lambda e: marts.master_sheet(e.account_master), oracle(sheet_sql("account_master"), "account_master")),
     Query("m02_sensor_versions", "M2 F15 J18", lambda e: marts.versions_sheet(h.sensor_versions(e.endpoints, e.lookup), e.sf_data),
           oracle(f"""select s.account_name, l.inst_id, s.csm, {LABEL} as label, count(*) as n from live l left join sf_data s on l.inst_id = s.inst_id
              where s.csm is not null group by 1, 2, 3, 4""", "live", "sf_data")),
     Query("m03_os_versions", "M3 F15 J18", lambda e: marts.versions_sheet(h.os_versions(e.endpoints), e.sf_data),
           oracle("""select s.account_name, l.inst_id, s.csm, lower(os_version) as label, count(*) as n from live l left join sf_data s on l.inst_id = s.inst_id
              where s.csm is not null group by 1, 2, 3, 4""", "live", "sf_data")),
-    Query("m04_deployment_sheet", "M4 F16 J18", lambda e: marts.deployment_sheet(h.deployment_summary(e.endpoints, e.lookup), first_scores(e), KEYS),
+    Query("m04_deployment_sheet", "M4 F16 J18", lambda e: marts.deployment_sheet(h.deployment_summary(e.endpoints, e.lookup), e.scored, KEYS),
           oracle(DEPLOYMENT_SQL, "live", "master")),
     Query("m05_trend_sheet", "M5 U3", lambda e: marts.trend_sheet(trend_of(e)), oracle(TREND_SHEET, "live", "roster")),
     Query("m06_trend_percent", "M6 A30 W3", lambda e: marts.trend_percent_sheet(trend_of(e)),
@@ -102,17 +101,17 @@ QUERIES = [
              count(*) filter (where support_level = 'EOL') as eol, count(*) as total, 'os_support' as section from recent group by 1, 2""", "recent")),
     Query("m08_consumption", "M8 X14", lambda e: marts.consumption_series(order_archive(e)),
           f"select inst_id, strftime(date, '%Y-%m') as month, date, peak_daily_consumption, deployment from ({ORDER_ARCHIVE}) a"),
-    Query("m09_engineer_master", "M9 F12", lambda e: marts.engineer_packs(first_scores(e), accounts_of(e))["master"], oracle(pack_sql("master"), "master")),
-    Query("m09_engineer_accounts", "M9 F12", lambda e: marts.engineer_packs(first_scores(e), accounts_of(e))["account_master"],
+    Query("m09_engineer_master", "M9 F12", lambda e: marts.engineer_packs(e.scored, e.scored)["master"], oracle(pack_sql("master"), "master")),
+    Query("m09_engineer_accounts", "M9 F12", lambda e: marts.engineer_packs(e.master, e.account_master)["account_master"],
           oracle(pack_sql("account_master"), "account_master")),
-    Query("m09_engineer_reds", "M9 F13", lambda e: marts.engineer_packs(first_scores(e), accounts_of(e))["reds"],
+    Query("m09_engineer_reds", "M9 F13", lambda e: marts.engineer_packs(e.master, e.account_master)["reds"],
           oracle(pack_sql("account_master", "and cua_brag = 'Red'"), "account_master")),
-    Query("m09_engineer_yellows", "M9 F13", lambda e: marts.engineer_packs(first_scores(e), accounts_of(e))["yellows"],
+    Query("m09_engineer_yellows", "M9 F13", lambda e: marts.engineer_packs(e.master, e.account_master)["yellows"],
           oracle(pack_sql("account_master", "and cua_brag = 'Yellow'"), "account_master")),
     Query("m10_master_trend", "M10 W4", lambda e: hist.archive_series(order_archive(e), marts.MASTER_FIELDS), ORDER_ARCHIVE),
     Query("f14_tolerant_select", "F14", lambda e: tolerant_select(e.raw("customer"), ["c_name", "C_CUSTKEY", "no_such_column"]),
           'select c_name, c_custkey as "C_CUSTKEY", cast(null as varchar) as no_such_column from customer'),
-    Query("k06_bi_export", "K6", lambda e: marts.bi_export(accounts_of(e), first_scores(e), e.sf_data),
+    Query("k06_bi_export", "K6", lambda e: marts.bi_export(e.account_master, e.master, e.sf_data),
           oracle("select " + ", ".join(f'a.{c} as "{n}"' for n, c in marts.BI_FIELDS.items())
                  + """, s.account__c, m.inst_id from account_master a left join master m on a.account_name = m.account_name left join sf_data s on m.inst_id = s.inst_id""", "account_master")),
     Query("k06_csv_round_trip", "K6", exported, "select c_custkey, c_name from customer"),

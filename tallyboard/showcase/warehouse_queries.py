@@ -28,6 +28,11 @@ def renewal_list(e):
     return parts.select("account_id", one).groupBy("account_id", "forecast").agg(F.count("*").alias("n"))
 
 
+def last_activities(e):
+    mine = keyed.restrict_to(e.installation, e.roster)
+    return w.last_activity(w.activity(e.activity_timeline, e.account, AS_OF), w.account_info(e.account, mine, e.user))
+
+
 QUERIES = [
     Query("f01_on_roster", "F1", lambda e: keyed.restrict_to(e.endpoints, e.roster).groupBy("inst_id", "status").agg(F.count("*").alias("n")),
           oracle("select inst_id, status, count(*) as n from endpoints where inst_id in (select inst_id from roster) group by 1, 2", "roster", "endpoints")),
@@ -44,9 +49,9 @@ QUERIES = [
     Query("j04_case_counts", "J4 A19 F10 X13 K10", lambda e: w.case_counts(e.case, e.installation, AS_OF, PRODUCT_GROUPS), all_of("case_counts")),
     Query("a20_cta_status", "A20 J6 J7", lambda e: w.cta_status(e.cta, e.installation), all_of("cta_status")),
     Query("j05_latest_consumption", "J5 A21 W1 X6", lambda e: w.latest_consumption(e.deployed_licence, e.installation), all_of("new_deployment")),
-    Query("a16_last_activity", "A16 J6", lambda e: w.last_activity(e.tables["cse_activity"], e.sf_data), all_of("last_activity")),
-    Query("k03_sf_data", "K3 J1 J2 J3 J4", lambda e: e.sf_data, all_of("sf_data")),
-    Query("j21_base_master", "J21 K3", lambda e: scorecard.base_master(e.sf_data, e.alerts, e.tables["new_deployment"]), all_of("base_master")),
+    Query("a16_last_activity", "A16 J6", last_activities, all_of("last_activity")),
+    Query("k03_sf_data", "K3 J1 J2 J3 J4", lambda e: e.sf_plan, all_of("sf_data")),
+    Query("j21_base_master", "J21 K3", lambda e: scorecard.base_master(e.sf_plan, e.alerts, w.latest_consumption(e.deployed_licence, e.installation)), all_of("base_master")),
     Query("w01_latest_row", "W1 A17", lambda e: keyed.latest_row(e.raw("events").select("user_id", "ts", "event_id", "event_type", "value"), ["user_id"], ["ts", "event_id"]),
           "select user_id, max(ts) as ts, max_by(event_id, ts) as event_id, max_by(event_type, ts) as event_type, max_by(value, ts) as value from events group by 1"),
     Query("k03_duplicate_keys", "K3", lambda e: keyed.duplicates(e.raw("orders"), "o_custkey"),

@@ -45,11 +45,11 @@ def endpoint_counts(endpoints: DataFrame) -> DataFrame:
     )
 
 
-def endpoint_metrics(endpoints: DataFrame, licences: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Deployment, contact, bypass and support-level metrics per installation.
+def endpoint_totals(endpoints: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Contact, bypass and support-level metrics per installation; everything but the licence share.
 
     A metric nobody could compute is NULL (no row in its window); a ratio whose
-    denominator is zero or unknown is 0.
+    denominator is zero is 0.
     """
     rated = endpoint_counts(endpoints).join(lookup, ["os", "version"], "left")
     level = lambda name: F.sum(F.when(F.col("support_level") == name, F.col("deployed")).otherwise(0))
@@ -65,10 +65,9 @@ def endpoint_metrics(endpoints: DataFrame, licences: DataFrame, lookup: DataFram
     def share(n: str, whole: str, when: Column, name: str) -> Column:
         return F.when(when, F.coalesce(percent(F.col(n), F.col(whole)), F.lit(0.0))).alias(name)
 
-    return totals.join(licences.select("inst_id", "licenses_purchased"), "inst_id", "left").select(
+    return totals.select(
         "inst_id",
         F.when(seen, F.col("deployed")).alias("deployment"),
-        share("deployed", "licenses_purchased", seen, "deployment_perc"),
         F.when(F.col("workload") > 0, F.col("workload")).alias("workload_deployment"),
         F.when(other, F.col("contact_1d")).alias("last_24_contact"),
         F.when(other, F.col("contact_7d")).alias("last_7d_contact"),
@@ -79,3 +78,14 @@ def endpoint_metrics(endpoints: DataFrame, licences: DataFrame, lookup: DataFram
         F.when(live, F.col("eol")).alias("sensor_eol_support"), share("eol", "versions", live, "eol_perc"),
         F.when(live, F.col("no_dl")).alias("sensor_download_unavailable"),
         share("no_dl", "versions", live, "download_unavailable_perc"))
+
+
+def deployment_share(licences: str) -> Column:
+    """Deployment as a percentage of the licences: 0 when these are unknown, NULL without a deployment count."""
+    return F.when(F.col("deployment").isNotNull(), F.coalesce(percent(F.col("deployment"), F.col(licences)), F.lit(0.0)))
+
+
+def endpoint_metrics(endpoints: DataFrame, licences: DataFrame, lookup: DataFrame) -> DataFrame:
+    """All endpoint metrics, the licence share among them (J8: joined after aggregating)."""
+    return (endpoint_totals(endpoints, lookup).join(licences.select("inst_id", "licenses_purchased"), "inst_id", "left")
+            .withColumn("deployment_perc", deployment_share("licenses_purchased")).drop("licenses_purchased"))

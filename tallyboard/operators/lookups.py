@@ -64,31 +64,27 @@ def sensor_lookup(endpoints: DataFrame, kits: DataFrame, version_support: DataFr
     return override_levels(rated).select("version", "os", "dl_available", "support_level")
 
 
-def _found(lines: Column, term: str) -> Column:
-    """Whether a pattern of literals joined by ``.*`` occurs in one of the lines.
+def _found(term: str) -> str:
+    """SQL test whether a pattern of literals joined by ``.*`` occurs in a ``line``.
 
     Looking for each literal after the first place of the one before is linear in
     the line; a backtracking ``a.*b`` would be quadratic on long text.
     """
-    first, *rest = term.split(".*")
+    tests, start = [], "1"
+    for literal in term.split(".*"):
+        at = f"locate('{literal}', line, {start})"
+        tests.append(f"{at} > 0")
+        start = f"{at} + {len(literal)}"
+    return " and ".join(tests)
 
-    def in_line(line: Column) -> Column:
-        at = F.position(F.lit(first), line)
-        ok, end = at > 0, at + len(first)
-        for part in rest:
-            at = F.position(F.lit(part), line, end)
-            ok, end = ok & (at > 0), at + len(part)
-        return ok
 
-    return F.exists(lines, in_line)
-
-
-def matched_terms(lines: Column, terms: list[str] = INTEGRATION_TERMS) -> Column:
-    """Labels of all patterns found in a lower-case name, given as its lines.
+def matched_terms(lines: str, terms: list[str] = INTEGRATION_TERMS) -> Column:
+    """Labels of all patterns found in the lines of a lower-case name.
 
     A projection: the terms are never joined with the names.
     """
-    return F.array_compact(F.array(*[F.when(_found(lines, t), t.replace(".*", "")) for t in terms]))
+    hits = [f"case when exists({lines}, line -> {_found(t)}) then '{t.replace('.*', '')}' end" for t in terms]
+    return F.expr(f"array_compact(array({', '.join(hits)}))")
 
 
 def connection_names(forwarders: DataFrame, connectors: DataFrame) -> DataFrame:
@@ -104,5 +100,5 @@ def integrations(names: DataFrame, terms: list[str] = INTEGRATION_TERMS) -> Data
     holds at most one entry per term.
     """
     lines = names.select("inst_id", F.split(F.lower("name"), "\n").alias("lines"))
-    hits = lines.select("inst_id", F.explode_outer(matched_terms(F.col("lines"), terms)).alias("term")).distinct()
+    hits = lines.select("inst_id", F.explode_outer(matched_terms("lines", terms)).alias("term")).distinct()
     return hits.groupBy("inst_id").agg(F.array_join(F.array_sort(F.collect_list("term")), ", ").alias("integrations"))

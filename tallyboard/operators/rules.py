@@ -3,79 +3,53 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numbers import ratio
 from ..functions.time import DAY_MS, as_of_ms
 
 
 @dataclass(frozen=True)
 class Rule:
+    """A predicate in SQL over the metric columns; ``{now}`` is ``as_of`` in epoch ms, ``{day}`` a day in ms."""
+
     name: str
     score: int
-    fires: Callable[[dt.datetime], Column]
-
-
-def _at_least(column: str, limit: float) -> Callable[[dt.datetime], Column]:
-    return lambda as_of: F.col(column) >= limit
-
-
-def _above(column: str, limit: float) -> Callable[[dt.datetime], Column]:
-    return lambda as_of: F.col(column) > limit
-
-
-def _at_most(column: str, limit: float) -> Callable[[dt.datetime], Column]:
-    return lambda as_of: F.col(column) <= limit
-
-
-def _older(days: int, *columns: str) -> Callable[[dt.datetime], Column]:
-    def fires(as_of: dt.datetime) -> Column:
-        limit = as_of_ms(as_of) - days * DAY_MS
-        out = F.lit(True)
-        for c in columns:
-            out = out & (F.col(c) < limit)
-        return out
-    return fires
-
-
-def _alerts_per_endpoint() -> Column:
-    return ratio(F.col("open_alerts") + F.col("dismissed_alerts"), F.col("deployment"))
-
+    fires: str
 
-def _decrease() -> Column:
-    return ratio((F.col("previous_deployment") - F.col("deployment")) * 100, F.col("previous_deployment"))
 
+_ALERTS_PER_ENDPOINT = "try_divide(cast(open_alerts + dismissed_alerts as double), cast(deployment as double))"
+_DECREASE = "try_divide(cast((previous_deployment - deployment) * 100 as double), cast(previous_deployment as double))"
+_POLICY_OLDER = "last_created_policy < {{now}} - {days} * {{day}} and last_modified_policy < {{now}} - {days} * {{day}}"
 
 # Names, scores and limits, in the order they are reported.
 RULES = [
-    Rule("> 7 days since login", 1, _above("days_since_login", 7)),
-    Rule("> 15 days since login", 2, _above("days_since_login", 15)),
-    Rule("> 30 days since login", 2, _above("days_since_login", 30)),
-    Rule(">5% in Bypass", 2, _at_least("bypass_perc", 5)),
-    Rule(">10% in Bypass", 3, _at_least("bypass_perc", 10)),
-    Rule(">20% in Bypass", 4, _at_least("bypass_perc", 20)),
-    Rule(">25 in Bypass", 1, _at_least("bypass", 25)),
-    Rule(">50 in Bypass", 1, _at_least("bypass", 50)),
-    Rule("> 10 bypass use last 30d", 2, lambda as_of: (F.col("last_30d_bypass_count") > 10) | F.col("bypass_all")),
-    Rule(">50 in EOL", 1, _at_least("sensor_eol_support", 50)),
-    Rule(">10% in EOL", 1, _at_least("eol_perc", 10)),
-    Rule(">25% in EOL", 2, _at_least("eol_perc", 25)),
-    Rule(">10k alerts open", 1, _at_least("open_alerts", 10_000)),
-    Rule(">=3 alerts per endpoint", 2, lambda as_of: _alerts_per_endpoint() >= 3.0),
-    Rule("Alert count too low for number of endpoints", 2, lambda as_of: _alerts_per_endpoint() < 0.33),
-    Rule("Deployment < 50%", 2, _at_most("deployment_perc", 50)),
-    Rule("Deployment < 75%", 1, _at_most("deployment_perc", 75)),
-    Rule("Deployment = 0", 10, lambda as_of: F.col("deployment") == 0),
-    Rule("no policy add/mod in 90d", 1, _older(90, "last_created_policy", "last_modified_policy")),
-    Rule("no policy add/mod in 180d", 1, _older(180, "last_created_policy", "last_modified_policy")),
-    Rule("no user add in 90d", 1, _older(90, "last_added_user")),
-    Rule(">10% decrease in deployment counts", 3, lambda as_of: _decrease() >= 10),
-    Rule(">2 cbc cases in 30d", 1, _at_least("cbc_cases_30d", 3)),
-    Rule(">5 open cbc cases", 1, _above("open_cbc_cases", 5)),
-    Rule("0 CBC cases opened in 90d", 1, lambda as_of: F.col("cbc_cases_90d") == 0),
+    Rule("> 7 days since login", 1, "days_since_login > 7"),
+    Rule("> 15 days since login", 2, "days_since_login > 15"),
+    Rule("> 30 days since login", 2, "days_since_login > 30"),
+    Rule(">5% in Bypass", 2, "bypass_perc >= 5"),
+    Rule(">10% in Bypass", 3, "bypass_perc >= 10"),
+    Rule(">20% in Bypass", 4, "bypass_perc >= 20"),
+    Rule(">25 in Bypass", 1, "bypass >= 25"),
+    Rule(">50 in Bypass", 1, "bypass >= 50"),
+    Rule("> 10 bypass use last 30d", 2, "last_30d_bypass_count > 10 or bypass_all"),
+    Rule(">50 in EOL", 1, "sensor_eol_support >= 50"),
+    Rule(">10% in EOL", 1, "eol_perc >= 10"),
+    Rule(">25% in EOL", 2, "eol_perc >= 25"),
+    Rule(">10k alerts open", 1, "open_alerts >= 10000"),
+    Rule(">=3 alerts per endpoint", 2, f"{_ALERTS_PER_ENDPOINT} >= 3.0D"),
+    Rule("Alert count too low for number of endpoints", 2, f"{_ALERTS_PER_ENDPOINT} < 0.33D"),
+    Rule("Deployment < 50%", 2, "deployment_perc <= 50"),
+    Rule("Deployment < 75%", 1, "deployment_perc <= 75"),
+    Rule("Deployment = 0", 10, "deployment = 0"),
+    Rule("no policy add/mod in 90d", 1, _POLICY_OLDER.format(days=90)),
+    Rule("no policy add/mod in 180d", 1, _POLICY_OLDER.format(days=180)),
+    Rule("no user add in 90d", 1, "last_added_user < {now} - 90 * {day}"),
+    Rule(">10% decrease in deployment counts", 3, f"{_DECREASE} >= 10"),
+    Rule(">2 cbc cases in 30d", 1, "cbc_cases_30d >= 3"),
+    Rule(">5 open cbc cases", 1, "open_cbc_cases > 5"),
+    Rule("0 CBC cases opened in 90d", 1, "cbc_cases_90d = 0"),
 ]
 
 INPUTS = [
@@ -99,12 +73,11 @@ def score(metrics: DataFrame, as_of: dt.datetime, rules: list[Rule] = RULES) ->
     missing = [c for c in INPUTS if c not in metrics.columns]
     if missing and rules is RULES:
         raise ValueError(f"metrics lack {missing}")
-    fired = F.array_compact(F.array(*[
-        F.when(r.fires(as_of), F.struct(F.lit(r.name).alias("name"), F.lit(r.score).alias("score"))) for r in rules]))
-    total = F.aggregate("_fired", F.lit(0), lambda acc, r: acc + r["score"])
-    return (metrics.withColumn("_fired", fired)
-            .withColumn("violations_triggered", F.array_join(F.transform("_fired", lambda r: r["name"]), ", "))
-            .withColumn("count_of_violations", total)
+    scale = {"now": f"{as_of_ms(as_of)}L", "day": f"{DAY_MS}L"}
+    each = [f"case when {r.fires.format(**scale)} then struct('{r.name}' as name, {r.score} as score) end" for r in rules]
+    return (metrics.withColumn("_fired", F.expr(f"array_compact(array({', '.join(each)}))"))
+            .selectExpr("*", "array_join(_fired.name, ', ') as violations_triggered",
+                        "aggregate(_fired.score, 0, (sum, one) -> sum + one) as count_of_violations")
             .withColumn("cua_brag", band(F.col("count_of_violations")))
             .drop("_fired"))
 

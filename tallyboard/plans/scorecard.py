@@ -8,12 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.audit import audit_metrics
-from ..operators.endpoints import endpoint_metrics
+from ..operators.endpoints import deployment_share, endpoint_totals
 from ..operators.history import with_decline, with_previous
 from ..operators.lookups import connection_names, integrations
 from ..operators.rollup import account_rollup
 from ..operators.rules import score
-from ..sources.warehouse import last_activity
+from ..sources.warehouse import with_last_activity
 
 # Warehouse column -> master column.
 MASTER_NAMES = {
@@ -49,10 +49,11 @@ def master_metrics(t: dict[str, DataFrame], lookup: DataFrame, as_of: dt.datetim
     facts = [
         audit_metrics(t["audit"], as_of),
         integrations(connection_names(t["forwarders"], t["connectors"])),
-        endpoint_metrics(t["endpoints"], t["sf_data"], lookup),
-        last_activity(t["cse_activity"], t["sf_data"]),
+        endpoint_totals(t["endpoints"], lookup),
     ]
-    return reduce(lambda left, right: left.join(right, "inst_id", "left"), facts, base)
+    joined = reduce(lambda left, right: left.join(right, "inst_id", "left"), facts, base)
+    return (with_last_activity(joined, t["cse_activity"])
+            .withColumn("deployment_perc", deployment_share("licenses")))
 
 
 def score_installations(metrics: DataFrame, archive: DataFrame | None, as_of: dt.datetime) -> DataFrame:

@@ -23,6 +23,25 @@ from ..sources import landed, support, warehouse
 AS_OF = dt.datetime(2024, 2, 5)
 PRODUCT_GROUPS = ["Group 0", "Group 1"]
 
+# The given tables.
+GIVEN = {
+    "benchmark": "item_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "pages": "page_id bigint, url string, html string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
+
 _VERSION = "concat('3.', cast({p} % 10 as string), '.', cast(({p} div 10) % 5 as string), '.', cast(100 + {p} % 900 as string))"
 _OS = "case {p} % 3 when 0 then 'WINDOWS' when 1 then 'MAC' else 'LINUX' end"
 
@@ -30,9 +49,13 @@ _OS = "case {p} % 3 when 0 then 'WINDOWS' when 1 then 'MAC' else 'LINUX' end"
 class Estate:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A given table, opened with its declared schema: no file is read to infer one."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.schema(GIVEN[name]).parquet(f"{self.dir}/{name}.parquet")
+        return self._raw[name]
 
     # --- warehouse -------------------------------------------------------
     @cached_property
@@ -205,6 +228,11 @@ class Estate:
     def licences(self) -> DataFrame:
         return restrict_to(warehouse.sibling_licences(self.installation, self.account), self.roster)
 
+    @cached_property
+    def named(self) -> DataFrame:
+        """Installations on the roster with their account's owners."""
+        return restrict_to(warehouse.account_info(self.account, self.installation, self.user), self.roster)
+
     @cached_property
     def sf_plan(self) -> DataFrame:
         return warehouse.build_sf_data(self.roster, self.warehouse, AS_OF, PRODUCT_GROUPS)
@@ -216,7 +244,7 @@ class Estate:
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         return {
-            "sf_data": self.sf_data, "alerts": self.alerts, "audit": self.audit, "endpoints": self.endpoints,
+            "sf_data": self.sf_plan, "alerts": self.alerts, "audit": self.audit, "endpoints": self.endpoints,
             "forwarders": self.forwarders, "connectors": self.connectors,
             "new_deployment": warehouse.latest_consumption(self.deployed_licence, self.installation),
             "cse_activity": warehouse.activity(self.activity_timeline, self.account, AS_OF),

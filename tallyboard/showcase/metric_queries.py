@@ -74,7 +74,7 @@ def pivot_sql() -> str:
 
 def term_hits(e):
     lines = e.forwarders.select("inst_id", F.split(F.lower("name"), "\n").alias("lines"))
-    return lines.select("inst_id", F.array_join(F.array_sort(lookups.matched_terms(F.col("lines"), o.TEXT_TERMS)), ", ").alias("terms"))
+    return lines.select("inst_id", F.array_join(F.array_sort(lookups.matched_terms("lines", o.TEXT_TERMS)), ", ").alias("terms"))
 
 
 def releases(e):

@@ -65,7 +65,7 @@ def exported(e):
 
 
 def engineer_parts(e):
-    parts = marts.engineer_installations(e.sf_data, per_part=3)
+    parts = marts.engineer_installations(e.named, per_part=3)
     return parts.select("cse_key", F.explode(F.split("inst_ids", ",")).alias("inst_id"))
 
 
@@ -85,10 +85,10 @@ QUERIES = [
           oracle("select lower(cse) as cse_key, inst_id from sf_data where cse is not null and cse <> 'None'", "sf_data")),
     Query("m01_master_sheet", "M1 F12 F14 O1", lambda e: marts.master_sheet(e.scored), oracle(sheet_sql("master"), "master")),
     Query("m01_account_sheet", "M1 F12", lambda e: marts.master_sheet(e.account_master), oracle(sheet_sql("account_master"), "account_master")),
-    Query("m02_sensor_versions", "M2 F15 J18", lambda e: marts.versions_sheet(h.sensor_versions(e.endpoints, e.lookup), e.sf_data),
+    Query("m02_sensor_versions", "M2 F15 J18", lambda e: marts.versions_sheet(h.sensor_versions(e.endpoints, e.lookup), e.named),
           oracle(f"""select s.account_name, l.inst_id, s.csm, {LABEL} as label, count(*) as n from live l left join sf_data s on l.inst_id = s.inst_id
              where s.csm is not null group by 1, 2, 3, 4""", "live", "sf_data")),
-    Query("m03_os_versions", "M3 F15 J18", lambda e: marts.versions_sheet(h.os_versions(e.endpoints), e.sf_data),
+    Query("m03_os_versions", "M3 F15 J18", lambda e: marts.versions_sheet(h.os_versions(e.endpoints), e.named),
           oracle("""select s.account_name, l.inst_id, s.csm, lower(os_version) as label, count(*) as n from live l left join sf_data s on l.inst_id = s.inst_id
              where s.csm is not null group by 1, 2, 3, 4""", "live", "sf_data")),
     Query("m04_deployment_sheet", "M4 F16 J18", lambda e: marts.deployment_sheet(h.deployment_summary(e.endpoints, e.lookup), e.scored, KEYS),

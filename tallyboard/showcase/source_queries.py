@@ -225,8 +225,8 @@ QUERIES = [
           "select event_type as account, cast(ts as date) as activity_date, count(*) as n from events where event_type <> 'purchase' group by 1, 2"),
     Query("s15_activity", "S15 F10", lambda e: warehouse.activity(e.activity_timeline, e.account, AS_OF),
           oracle("select * from cse_activity", "cse_activity")),
-    Query("s17_new_keys", "S17", lambda e: landed.new_keys_only(e.roster, e.audit),
-          oracle("select * from roster r where not exists (select 1 from audit a where a.inst_id = r.inst_id)", "roster", "audit")),
+    Query("s17_new_keys", "S17", lambda e: landed.new_keys_only(e.roster, landed.forwarders(forwarder_replies(e))),
+          oracle("select * from roster r where not exists (select 1 from customer where cast(c_nationkey as varchar) = r.inst_id)", "roster")),
     Query("s04_fetch_summary", "S4 F11", lambda e: landed.fetch_summary(landed.endpoints(endpoint_replies(e)), landed.connectors(connector_replies(e))),
           f"""select inst_id, fetch_status, count(*) as rows from (select inst_id, fetch_status from ({ENDPOINTS_SQL.split('where fetch_status <>')[0]}) a
               union all select inst_id, fetch_status from ({CONNECTORS_SQL}) b) u group by 1, 2"""),

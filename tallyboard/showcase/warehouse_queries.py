@@ -30,7 +30,9 @@ def renewal_list(e):
 
 def last_activities(e):
     mine = keyed.restrict_to(e.installation, e.roster)
-    return w.last_activity(w.activity(e.activity_timeline, e.account, AS_OF), w.account_info(e.account, mine, e.user))
+    named = w.account_info(e.account, mine, e.user).select("inst_id", "account_name")
+    return (w.with_last_activity(named, w.activity(e.activity_timeline, e.account, AS_OF))
+            .filter(F.col("last_cse_timeline").isNotNull()).drop("account_name"))
 
 
 QUERIES = [

@@ -123,17 +123,12 @@ def alerts(replies: DataFrame) -> DataFrame:
     """
     status = (F.when(_no_reply(), TIMEOUT)
               .when(F.col("body.results").isNull(), WRONG_BACKEND).otherwise(OK))
-    facets = F.flatten(F.transform(
-        "body.results",
-        lambda f: F.transform(f["values"], lambda v: F.struct(f["field"].alias("field"), v["id"].alias("id"),
-                                                              v["total"].alias("total")))))
-
-    def counter(field: str, value: str) -> Column:
-        totals = F.transform(F.filter("facets", lambda x: (x["field"] == field) & (x["id"] == value)), lambda x: x["total"])
-        return F.when(F.col("fetch_status") == OK, F.coalesce(F.try_element_at(totals, F.lit(-1)), F.lit(0)))
-
-    return (replies.select("inst_id", status.alias("fetch_status"), facets.alias("facets"))
-            .select("inst_id", *[counter(f, v).alias(name) for f, v, name in ALERT_COUNTERS], "fetch_status"))
+    # The last total of a facet value, as the value may be listed twice.
+    counters = [
+        f"""case when fetch_status = 'OK' then coalesce(try_element_at(transform(filter(
+            flatten(transform(filter(body.results, f -> f.field = '{field}'), f -> f.values)), v -> v.id = '{value}'), v -> v.total), -1), 0) end as {name}"""
+        for field, value, name in ALERT_COUNTERS]
+    return replies.withColumn("fetch_status", status).selectExpr("inst_id", *counters, "fetch_status")
 
 
 def kits(replies: DataFrame) -> DataFrame:

@@ -35,22 +35,25 @@ def roster(installations: DataFrame) -> DataFrame:
             .select("inst_id", "backend", "org_id"))
 
 
-def account_info(accounts: DataFrame, installations: DataFrame, users: DataFrame) -> DataFrame:
-    """Account attributes of each installation with its three owners' names."""
+def account_owners(accounts: DataFrame, users: DataFrame) -> DataFrame:
+    """Account attributes with the names of its three owners: the user table joined three times."""
     person = lambda role, *cols: users.select(
         F.col("user_id").alias(f"{role}_id"), *[F.col(c).alias(f"{role}_{c}") for c in cols])
-    owners = (accounts
-              .join(person("csm", "name", "manager_id"), "csm_id", "left")
-              .withColumn("manager_id", F.col("csm_manager_id"))
-              .join(person("manager", "name"), "manager_id", "left")
-              .join(person("cse", "name", "email"), "cse_id", "left"))
-    return (installations.select("inst_id", "account_id").join(owners, "account_id")
-            .select("inst_id", F.col("name").alias("account_name"), "arr", F.col("csm_name").alias("csm"),
+    return (accounts
+            .join(person("csm", "name", "manager_id"), "csm_id", "left")
+            .join(person("manager", "name"), F.col("csm_manager_id") == F.col("manager_id"), "left")
+            .join(person("cse", "name", "email"), "cse_id", "left")
+            .select("account_id", F.col("name").alias("account_name"), "arr", F.col("csm_name").alias("csm"),
                     F.col("manager_name").alias("csm_manager"), F.col("cse_name").alias("cse"), "csm_role",
-                    "gsm_score", "gs_overall", "gs_last_update_date", "account_id", "tier", "previous_tier",
+                    "gsm_score", "gs_overall", "gs_last_update_date", "tier", "previous_tier",
                     "csm_comments", "gs_adoption_comments", "cse_email"))
 
 
+def account_info(accounts: DataFrame, installations: DataFrame, users: DataFrame) -> DataFrame:
+    """Account attributes and owners of each installation."""
+    return installations.select("inst_id", "account_id").join(account_owners(accounts, users), "account_id")
+
+
 def licensed(installations: DataFrame) -> DataFrame:
     """Installations that carry licences: live or unknown status, subscription, real organisation."""
     live = F.col("status").isin(LICENCE_STATUSES) | F.col("status").isNull()
@@ -58,24 +61,33 @@ def licensed(installations: DataFrame) -> DataFrame:
                                 & (F.col("backend") != "None"))
 
 
-def sibling_licences(installations: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Largest licence count among an account's licensed installations, for all of its installations."""
+def account_licences(installations: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Largest licence count among an account's licensed installations, and its parent account."""
     most = licensed(installations).groupBy("account_id").agg(F.max("licences").alias("licenses_purchased"))
     parents = accounts.select("account_id", F.col("parent_account").alias("account__c"))
-    return fan_out(most.join(parents, "account_id", "left"), installations)
+    return most.join(parents, "account_id", "left")
+
+
+def sibling_licences(installations: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The account's licence count for all of its installations."""
+    return fan_out(account_licences(installations, accounts), installations)
 
 
-def installation_info(installations: DataFrame) -> DataFrame:
+def installation_info(installations: DataFrame, *more: Column) -> DataFrame:
     """Creation date and calendar days until half deployed."""
-    return installations.select("inst_id", F.to_date("created").alias("created_date"),
+    return installations.select("inst_id", *more, F.to_date("created").alias("created_date"),
                                 calendar_days(F.col("created"), F.col("half_deployed")).alias("days_to_50perc"))
 
 
-def products(subscriptions: DataFrame, installations: DataFrame) -> DataFrame:
-    """Sorted distinct product groups of the account, for all of its installations."""
+def account_products(subscriptions: DataFrame) -> DataFrame:
+    """Sorted distinct product groups of each account."""
     named = subscriptions.filter(F.col("product_group") != "")
-    per_account = set_list(named, ["account_id"], "product_group").withColumnRenamed("product_group", "products")
-    return fan_out(per_account, installations)
+    return set_list(named, ["account_id"], "product_group").withColumnRenamed("product_group", "products")
+
+
+def products(subscriptions: DataFrame, installations: DataFrame) -> DataFrame:
+    """Product groups of the account, for all of its installations."""
+    return fan_out(account_products(subscriptions), installations)
 
 
 def fiscal_quarter(day: Column) -> Column:
@@ -96,16 +108,21 @@ def renewal_filter(opportunities: DataFrame, as_of: dt.datetime) -> DataFrame:
                                 & contains_any(F.col("product_family"), RENEWAL_FAMILIES))
 
 
-def renewals(opportunities: DataFrame, installations: DataFrame, as_of: dt.datetime,
-             per_part: int = PER_PART) -> DataFrame:
-    """Renewal value, count, forecasts and next date per installation."""
+def account_renewals(opportunities: DataFrame, as_of: dt.datetime, per_part: int = PER_PART) -> DataFrame:
+    """Renewal value, count, forecasts and next date of each account."""
     wanted = renewal_filter(opportunities, as_of)
     totals = wanted.groupBy("account_id").agg(
         F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("acv"),
         F.count("opp_id").alias("opp_ct"), F.min("close_date").alias("renewal_date"))
     forecasts = single_cells(list_parts(wanted, ["account_id"], {"forecast": F.col("forecast")}, F.col("opp_id"), per_part))
-    return fan_out(totals.join(forecasts, "account_id", "left")
-                   .withColumn("renewal_quar", fiscal_quarter(F.col("renewal_date"))), installations)
+    return (totals.join(forecasts, "account_id", "left")
+            .withColumn("renewal_quar", fiscal_quarter(F.col("renewal_date"))))
+
+
+def renewals(opportunities: DataFrame, installations: DataFrame, as_of: dt.datetime,
+             per_part: int = PER_PART) -> DataFrame:
+    """Renewals of the account, for all of its installations."""
+    return fan_out(account_renewals(opportunities, as_of, per_part), installations)
 
 
 def forecast_parts(opportunities: DataFrame, as_of: dt.datetime, per_part: int = PER_PART) -> DataFrame:
@@ -114,8 +131,8 @@ def forecast_parts(opportunities: DataFrame, as_of: dt.datetime, per_part: int =
     return list_parts(wanted, ["account_id"], {"forecast": F.col("forecast")}, F.col("opp_id"), per_part)
 
 
-def case_counts(cases: DataFrame, installations: DataFrame, as_of: dt.datetime, product_groups: list[str]) -> DataFrame:
-    """Case counts of the last 30 and 90 days and of open cases, all and in the product groups.
+def account_cases(cases: DataFrame, as_of: dt.datetime, product_groups: list[str]) -> DataFrame:
+    """Case counts of the last 30 and 90 days and of open cases, all and in the product groups.
 
     One pass over the cases. A window without any case gives NULL, not 0.
     """
@@ -130,24 +147,30 @@ def case_counts(cases: DataFrame, installations: DataFrame, as_of: dt.datetime,
                          else (f"total_cases_{name}", f"cbc_cases_{name}"))
         counts += [F.sum(F.when(inside, 1)).alias(total),
                    F.sum(F.when(inside, F.when(ours, 1).otherwise(0))).alias(subset)]
-    return fan_out(wanted.groupBy("account_id").agg(*counts), installations)
+    return wanted.groupBy("account_id").agg(*counts)
 
 
-def cta_status(ctas: DataFrame, installations: DataFrame) -> DataFrame:
-    """Last closed date and status of each kind of call to action, per installation.
+def case_counts(cases: DataFrame, installations: DataFrame, as_of: dt.datetime, product_groups: list[str]) -> DataFrame:
+    """Case counts of the account, for all of its installations."""
+    return fan_out(account_cases(cases, as_of, product_groups), installations)
 
-    An account with any open one is ``Open``; installations without any keep NULLs.
-    """
+
+def account_ctas(ctas: DataFrame) -> DataFrame:
+    """Last closed date and status of each kind of call to action (A20); any open one makes ``Open``."""
     valid = ctas.filter(F.col("reason").isin(list(CTA_TYPES)) & ~F.col("status").isin(CTA_EXCLUDED))
     is_open = F.col("status").isin(CTA_OPEN)
     picks = [F.max(F.when(F.col("reason") == reason, F.col("closed_date"))).alias(f"last_{short}")
              for reason, short in CTA_TYPES.items()]
     cua = F.col("reason") == next(iter(CTA_TYPES))
     state = F.max(F.when(cua, F.when(is_open, 1).otherwise(0)))
-    per_account = (valid.groupBy("account_id").agg(*picks, state.alias("_open"))
-                   .withColumn("cua_status", F.when(F.col("_open") == 1, "Open").when(F.col("_open") == 0, "Closed"))
-                   .drop("_open"))
-    return (installations.select("inst_id", "account_id").join(per_account, "account_id", "left")
+    return (valid.groupBy("account_id").agg(*picks, state.alias("_open"))
+            .withColumn("cua_status", F.when(F.col("_open") == 1, "Open").when(F.col("_open") == 0, "Closed"))
+            .drop("_open"))
+
+
+def cta_status(ctas: DataFrame, installations: DataFrame) -> DataFrame:
+    """Calls to action of the account for each installation; NULLs where there is none."""
+    return (installations.select("inst_id", "account_id").join(account_ctas(ctas), "account_id", "left")
             .select("inst_id", "last_cua", "cua_status", "last_ta", "last_wb"))
 
 
@@ -184,24 +207,29 @@ def activity_files(spark: SparkSession, pattern: str) -> DataFrame:
     return activity_dates(raw)
 
 
-def last_activity(activities: DataFrame, members: DataFrame) -> DataFrame:
-    """Newest activity of the account, for each of its installations (A16, J6); names match in any case."""
+def with_last_activity(table: DataFrame, activities: DataFrame) -> DataFrame:
+    """Add the newest activity of the account to its installations (A16, J6); names match in any case."""
     newest = (activities.filter(F.col("account") != "")
               .groupBy(F.lower("account").alias("_account")).agg(F.max("activity_date").alias("last_cse_timeline")))
-    return (members.select("inst_id", F.lower("account_name").alias("_account"))
-            .join(newest, "_account").drop("_account"))
+    return table.join(newest, F.lower("account_name") == F.col("_account"), "left").drop("_account")
 
 
 def build_sf_data(roster: DataFrame, w: dict[str, DataFrame], as_of: dt.datetime, product_groups: list[str]) -> DataFrame:
-    """The wide per-installation warehouse table: one left join per fact family (K3)."""
+    """The wide per-installation warehouse table (K3).
+
+    All account facts are joined at account grain, where every side is already
+    partitioned by account and unique on it; the installations meet them in one
+    join at the end.
+    """
     mine = restrict_to(w["installation"], roster)
     facts = [
-        account_info(w["account"], mine, w["user"]),
-        restrict_to(sibling_licences(w["installation"], w["account"]), roster),
-        installation_info(mine),
-        products(w["subscription"], mine),
-        renewals(w["opportunity"], mine, as_of),
-        case_counts(w["case"], mine, as_of, product_groups),
-        cta_status(w["cta"], mine),
+        account_owners(w["account"], w["user"]).withColumn("_account", F.col("account_id")),
+        *[f.withColumnRenamed("account_id", "_account") for f in (
+            account_licences(w["installation"], w["account"]), account_products(w["subscription"]),
+            account_renewals(w["opportunity"], as_of), account_cases(w["case"], as_of, product_groups),
+            account_ctas(w["cta"]))],
     ]
-    return reduce(lambda base, fact: base.join(fact, "inst_id", "left"), facts, roster)
+    spine = mine.select(F.col("account_id").alias("_account")).distinct()
+    by_account = reduce(lambda left, fact: left.join(fact, "_account", "left"), facts, spine)
+    members = installation_info(mine, F.col("account_id").alias("_account"))
+    return roster.join(members, "inst_id", "left").join(by_account, "_account", "left").drop("_account")

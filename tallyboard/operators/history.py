@@ -59,18 +59,21 @@ def previous(archive: DataFrame, columns: dict[str, str], key: str = "inst_id",
 
 
 def with_previous(table: DataFrame, archive: DataFrame | None, as_of: dt.datetime, key: str = "inst_id") -> DataFrame:
-    """Add the deployment and band of the snapshot before ``as_of``; NULL on the first run."""
+    """Add the deployment and band of the snapshot before ``as_of``, and whether there is any such snapshot.
+
+    A rerun finds today's own snapshot in the archive; it does not count.
+    """
     if archive is None:
-        return (table.withColumn("previous_deployment", F.lit(None).cast("bigint"))
-                .withColumn("previous_brag", F.lit(None).cast("string")))
+        return table.withColumns({"previous_deployment": F.lit(None).cast("bigint"),
+                                  "previous_brag": F.lit(None).cast("string"), "first_run": F.lit(True)})
     old = previous(archive, {"deployment": "previous_deployment", "cua_brag": "previous_brag"}, key, as_of)
-    return table.join(old, key, "left")
+    return table.join(old, key, "left").withColumn("first_run", latest_day(archive, as_of).isNull())
 
 
-def with_decline(scored: DataFrame, first_run: bool) -> DataFrame:
-    """Band decline against the previous snapshot (B3); ``False`` on the first run."""
-    change = F.lit("False") if first_run else declined(F.col("cua_brag"), F.col("previous_brag"))
-    return scored.withColumn("brag_decrease", change).drop("previous_deployment", "previous_brag")
+def with_decline(scored: DataFrame) -> DataFrame:
+    """Band decline against the previous snapshot (B3): ``False`` for all on the first run, NULL for a new key later."""
+    change = F.when(F.col("first_run"), "False").otherwise(declined(F.col("cua_brag"), F.col("previous_brag")))
+    return scored.withColumn("brag_decrease", change).drop("previous_deployment", "previous_brag", "first_run")
 
 
 def snapshot_changes(archive: DataFrame, key: str, value: str) -> DataFrame:

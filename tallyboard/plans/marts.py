@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import heading, number_format
 from ..operators import histograms as h
@@ -150,11 +150,18 @@ def write_by_owner(df: DataFrame, owner: str, path: str) -> None:
     """One folder per owner (K7).
 
     The rebalance hint gathers an owner's rows into few files and splits an owner
-    that holds too many rows for one task.
+    that holds too many rows for one task. A mart without rows has no folders, so
+    its columns are kept beside it (K10).
     """
     df.hint("rebalance", owner).write.mode("overwrite").partitionBy(owner).parquet(path)
+    df.limit(0).write.mode("overwrite").parquet(f"{path}.columns")
 
 
-def read_owner(spark, path: str, owner: str, value: str) -> DataFrame:
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """A mart foldered by owner, with the columns and types it was written with."""
+    return spark.read.schema(spark.read.parquet(f"{path}.columns").schema).parquet(path)
+
+
+def read_owner(spark: SparkSession, path: str, owner: str, value: str) -> DataFrame:
     """An owner's mart: a partition-pruned read."""
-    return spark.read.parquet(path).filter(F.col(owner).cast("string") == value)
+    return read_mart(spark, path).filter(F.col(owner) == value)

@@ -59,11 +59,11 @@ def master_metrics(t: dict[str, DataFrame], lookup: DataFrame, as_of: dt.datetim
 def score_installations(metrics: DataFrame, archive: DataFrame | None, as_of: dt.datetime) -> DataFrame:
     """Scores, bands and band decline per installation."""
     scored = score(with_previous(metrics, archive, as_of), as_of)
-    return with_decline(scored, archive is None)
+    return with_decline(scored)
 
 
 def score_accounts(master: DataFrame, archive: DataFrame | None, as_of: dt.datetime) -> DataFrame:
     """Account rollup with its own scores; band decline is not followed at this grain."""
     rolled = account_rollup(master)
     scored = score(with_previous(rolled, archive, as_of, "account_name"), as_of)
-    return (scored.drop("previous_deployment", "previous_brag").withColumn("brag_decrease", F.lit("NA")))
+    return scored.drop("previous_deployment", "previous_brag", "first_run").withColumn("brag_decrease", F.lit("NA"))

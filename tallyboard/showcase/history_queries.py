@@ -67,7 +67,7 @@ def swings(e: Estate) -> DataFrame:
 
 
 def declines(e: Estate) -> DataFrame:
-    return hist.with_decline(hist.with_previous(current(e), monthly(e), SWING_DAY), first_run=False)
+    return hist.with_decline(hist.with_previous(current(e), monthly(e), SWING_DAY))
 
 
 def snapshot_rerun(e: Estate) -> DataFrame:

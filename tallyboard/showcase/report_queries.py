@@ -55,7 +55,7 @@ ORDER_ARCHIVE = """select cast(o_custkey as varchar) as inst_id, cast(o_orderdat
 def owner_marts(e):
     path = scratch_path(e.spark, "by_owner")
     marts.write_by_owner(e.raw("customer"), "c_mktsegment", path)
-    return e.spark.read.parquet(path)
+    return marts.read_mart(e.spark, path)
 
 
 def exported(e):

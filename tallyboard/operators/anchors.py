@@ -18,10 +18,14 @@ def last_contact_day(endpoints: DataFrame) -> Column:
     return endpoints.select(F.to_date(F.max("last_contact_time"))).scalar()
 
 
+def contact_since(newest_day: Column, days: int) -> Column:
+    """Contact on or after midnight, ``days`` before the given newest contact day."""
+    return F.col("last_contact_time") >= F.date_sub(newest_day, days).cast("timestamp_ntz")
+
+
 def since_last_contact(endpoints: DataFrame, days: int) -> Column:
-    """Contact on or after midnight, ``days`` before the newest contact day."""
-    floor = F.date_sub(last_contact_day(endpoints), days)
-    return F.col("last_contact_time") >= floor.cast("timestamp_ntz")
+    """Contact within ``days`` of the newest contact in the table."""
+    return contact_since(last_contact_day(endpoints), days)
 
 
 def since_last_event(audit: DataFrame, days: int = 30) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import percent
 from ..functions.values import DEPLOYED_STATUSES
-from .anchors import since_last_contact
+from .anchors import contact_since, last_contact_day
 
 
 def is_deployed() -> Column:
@@ -29,12 +29,14 @@ def endpoint_counts(endpoints: DataFrame) -> DataFrame:
     A third of all devices may run one version, so rows are counted before any join
     on the version.
     """
-    recent, day, week = (since_last_contact(endpoints, d) for d in (30, 1, 7))
+    # The anchor is a column, so the three windows share one scan for it.
+    anchored = endpoints.withColumn("_newest", last_contact_day(endpoints))
+    recent, day, week = (contact_since(F.col("_newest"), d) for d in (30, 1, 7))
     device, deployed = fetched(), is_deployed()
     empty = F.col("fetch_status") == "NO_DEPLOYMENT"
     other = F.col("deployment_type") != "WORKLOAD"
     live = device & recent & deployed
-    return endpoints.groupBy("inst_id", "os", F.col("sensor_version").alias("version")).agg(
+    return anchored.groupBy("inst_id", "os", F.col("sensor_version").alias("version")).agg(
         _n((device & recent) | empty).alias("seen"),
         _n(live).alias("deployed"),
         _n(live & (F.col("deployment_type") == "WORKLOAD")).alias("workload"),

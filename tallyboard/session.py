@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages and texts are large: bound a batch handed to Python by bytes as well as rows.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
     # Call-site capture costs more than building the column.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

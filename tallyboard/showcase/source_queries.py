@@ -227,9 +227,6 @@ QUERIES = [
           oracle("select * from cse_activity", "cse_activity")),
     Query("s17_new_keys", "S17", lambda e: landed.new_keys_only(e.roster, landed.forwarders(forwarder_replies(e))),
           oracle("select * from roster r where not exists (select 1 from customer where cast(c_nationkey as varchar) = r.inst_id)", "roster")),
-    Query("s04_fetch_summary", "S4 F11", lambda e: landed.fetch_summary(landed.endpoints(endpoint_replies(e)), landed.connectors(connector_replies(e))),
-          f"""select inst_id, fetch_status, count(*) as rows from (select inst_id, fetch_status from ({ENDPOINTS_SQL.split('where fetch_status <>')[0]}) a
-              union all select inst_id, fetch_status from ({CONNECTORS_SQL}) b) u group by 1, 2"""),
     Query("x15_support_level", "X15 S13", lambda e: e.version_support, oracle("select * from version_support", "version_support")),
     Query("x19_json_and_cells", "X3 X11 X18 X19", props_parsed,
           """select event_id, cast(json_extract_string(props, '$.k') as bigint) as k, 'none' as missing, strftime(ts, '%Y-%m-%d') as day, props,

@@ -8,7 +8,6 @@ payload columns keep their types.
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -203,9 +202,3 @@ def rules(replies: DataFrame, customers: DataFrame) -> DataFrame:
 def _by_installation(rows: DataFrame, customers: DataFrame) -> DataFrame:
     owner = customers.groupBy("prod", "org_id").agg(F.min("inst_id").alias("inst_id"))
     return rows.join(owner, ["prod", "org_id"])
-
-
-def fetch_summary(*tables: DataFrame) -> DataFrame:
-    """Rows per fetch status over any of the flattened tables."""
-    both = reduce(DataFrame.unionByName, [t.select("inst_id", "fetch_status") for t in tables])
-    return both.groupBy("inst_id", "fetch_status").agg(F.count("*").alias("rows"))

@@ -39,15 +39,18 @@ def ntz_to_ms(ts: Column) -> Column:
 
 
 def iso_utc(text: Column) -> Column:
-    """ISO-8601 text, with or without an offset, to the UTC wall clock; junk gives NULL."""
-    tail = r"(Z|[+-]\d{2}:?\d{2})$"
-    offset = F.regexp_extract(text, tail, 1)
-    digits = F.replace(offset, F.lit(":"), F.lit(""))
-    minutes = F.when(offset.rlike("^[+-]"),
-                     (F.substring(digits, 2, 2).cast("int") * 60 + F.substring(digits, 4, 2).cast("int"))
-                     * F.when(F.substring(digits, 1, 1) == "-", -1).otherwise(1)).otherwise(F.lit(0))
-    wall = F.regexp_replace(text, r"\s*" + tail, "").try_cast("timestamp_ntz")
-    return wall - F.make_dt_interval(mins=minutes)
+    """ISO-8601 text, with or without an offset, to the UTC wall clock; junk gives NULL.
+
+    The cast reads the wall clock and leaves the offset out; only a text with an
+    offset other than zero is looked at again.
+    """
+    wall = text.try_cast("timestamp_ntz")
+    offset = F.replace(F.regexp_extract(text, r"([+-]\d{2}:?\d{2})$", 1), F.lit(":"), F.lit(""))
+    minutes = ((F.substring(offset, 2, 2).cast("int") * 60 + F.substring(offset, 4, 2).cast("int"))
+               * F.when(offset.startswith("-"), -1).otherwise(1))
+    shifted = text.rlike(r":\d{2}(\.\d+)?[+-]\d{2}:?\d{2}$") & ~text.endswith("+0000") & ~text.endswith("+00:00")
+    return (F.when(text.endswith("Z"), wall)
+            .when(shifted, wall - F.make_dt_interval(mins=minutes)).otherwise(wall))
 
 
 def calendar_days(start: Column, end: Column) -> Column:

@@ -24,7 +24,7 @@ def _n(condition: Column) -> Column:
 
 
 def endpoint_counts(endpoints: DataFrame) -> DataFrame:
-    """Counts per installation, platform and version, the grain at which the lookup is joined.
+    """Counts per installation and live platform and version, the grain at which the lookup is joined.
 
     A third of all devices may run one version, so rows are counted before any join
     on the version.
@@ -36,7 +36,9 @@ def endpoint_counts(endpoints: DataFrame) -> DataFrame:
     empty = F.col("fetch_status") == "NO_DEPLOYMENT"
     other = F.col("deployment_type") != "WORKLOAD"
     live = device & recent & deployed
-    return anchored.groupBy("inst_id", "os", F.col("sensor_version").alias("version")).agg(
+    # Only live devices are told apart by version: all others of an installation share one group.
+    return anchored.groupBy("inst_id", F.when(live, F.col("os")).alias("os"),
+                            F.when(live, F.col("sensor_version")).alias("version")).agg(
         _n((device & recent) | empty).alias("seen"),
         _n(live).alias("deployed"),
         _n(live & (F.col("deployment_type") == "WORKLOAD")).alias("workload"),

@@ -105,7 +105,7 @@ QUERIES = [
           oracle("select version, os, dl_available from sensor_lookup", "sensor_lookup")),
     Query("a05_endpoint_metrics", "A5 A6 A7 A8 A9 F5 F7 J8 J9 X1 X2", lambda e: ep.endpoint_metrics(e.endpoints, e.licences, e.lookup), all_of("endpoint_metrics")),
     Query("a05_endpoint_counts", "A5 A6 A7 A8 F7", lambda e: ep.endpoint_counts(e.endpoints),
-          oracle("""select inst_id, os, sensor_version as version, count(*) filter (where in30) as seen, count(*) filter (where in30 and dep) as deployed,
+          oracle("""select inst_id, case when in30 and dep then os end as os, case when in30 and dep then sensor_version end as version, count(*) filter (where in30) as seen, count(*) filter (where in30 and dep) as deployed,
              count(*) filter (where in30 and dep and deployment_type = 'WORKLOAD') as workload, count(*) filter (where in30 and status = 'BYPASS') as bypass,
              count(*) filter (where other) as seen_other, count(*) filter (where other and dep and in1) as contact_1d, count(*) filter (where other and dep and in7) as contact_7d
              from endpoint_flags group by 1, 2, 3""", "endpoint_flags")),

@@ -225,6 +225,8 @@ QUERIES = [
           "select event_type as account, cast(ts as date) as activity_date, count(*) as n from events where event_type <> 'purchase' group by 1, 2"),
     Query("s15_activity", "S15 F10", lambda e: warehouse.activity(e.activity_timeline, e.account, AS_OF),
           oracle("select * from cse_activity", "cse_activity")),
+    Query("s16_warehouse_scan", "S16", lambda e: warehouse.read_table(e.spark, f"{e.dir}/orders.parquet", "parquet").groupBy("o_orderstatus")
+          .agg(F.count("*").alias("n"), F.max("o_orderdate").alias("newest")), "select o_orderstatus, count(*) as n, max(o_orderdate) as newest from orders group by 1"),
     Query("s17_new_keys", "S17", lambda e: landed.new_keys_only(e.roster, landed.forwarders(forwarder_replies(e))),
           oracle("select * from roster r where not exists (select 1 from customer where cast(c_nationkey as varchar) = r.inst_id)", "roster")),
     Query("x15_support_level", "X15 S13", lambda e: e.version_support, oracle("select * from version_support", "version_support")),

@@ -7,13 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import heading, number_format
+from ..functions.time import ms_to_date
 from ..operators import histograms as h
 from ..operators.audit import bypass_display
 from ..operators.history import archive_series
 from ..operators.keyed import in_band, owned_by, tolerant_select
 from ..operators.lists import list_parts
+from ..operators.ranking import position
 from ..operators.series import activity_series
-from ..functions.time import ms_to_date
 
 # Report columns, in order.
 MASTER_FIELDS = [
@@ -40,6 +41,9 @@ SPELLING = {
     "eol_perc": "EOL_Perc", "orgid": "OrgID", "account_id": "Account_ID",
 }
 EVENT_TIMES = ["last_login", "last_added_user", "last_created_policy", "last_modified_policy"]
+# Row order of the account report sections.
+SECTION_ORDER = {"version_status": ("os", "version"), "os_status": ("os_version",), "signatures": ("av_vdf_version",), "activity": ("bucket",),
+                 "master_trend": ("date",), "consumption": ("date",), "deployment_archive": ("date", "os"), "os_support": ("os",)}
 # BI export column -> source column.
 BI_FIELDS = {
     "account_name": "account_name", "csm": "csm", "cse": "cse", "last_cua_cta": "last_cua_cta",
@@ -146,17 +150,30 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_by_owner(df: DataFrame, owner: str, path: str) -> None:
-    """One folder per owner (K7).
+def write_by_owner(df: DataFrame, owner: str, path: str, order: tuple[str, ...] = ("account_name",)) -> None:
+    """One folder per owner (K7), in report order (O1).
 
     The rebalance hint gathers an owner's rows into few files and splits an owner
     that holds too many rows for one task. A mart without rows has no folders, so
     its columns are kept beside it (K10).
     """
-    df.hint("rebalance", owner).write.mode("overwrite").partitionBy(owner).parquet(path)
+    (df.hint("rebalance", owner).sortWithinPartitions(owner, *order)
+     .write.mode("overwrite").partitionBy(owner).parquet(path))
     df.limit(0).write.mode("overwrite").parquet(f"{path}.columns")
 
 
+def write_by_installation(df: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+    """Files of adjoining installations, so that one account's report reads few of them (M7, O1)."""
+    (df.repartitionByRange("inst_id", *order).sortWithinPartitions("inst_id", *order)
+     .write.mode("overwrite").parquet(path))
+
+
+def owner_positions(master: DataFrame) -> DataFrame:
+    """Place of each installation in its owner's report (O3)."""
+    named = master.filter(F.col("csm").isNotNull()).select("csm", "account_name", "inst_id")
+    return position(named, "csm", ["account_name", "inst_id"])
+
+
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
     """A mart foldered by owner, with the columns and types it was written with."""
     return spark.read.schema(spark.read.parquet(f"{path}.columns").schema).parquet(path)

@@ -105,8 +105,9 @@ def write_marts(job: Refresh, t: dict[str, DataFrame], lookup: DataFrame, master
     trend = job.load("deployment_trend")
     marts.write_by_owner(marts.master_sheet(master), "csm", job.path("mart_master"))
     marts.write_by_owner(marts.master_sheet(accounts), "csm", job.path("mart_account_master"))
-    marts.write_by_owner(marts.versions_sheet(versions, master), "csm", job.path("mart_sensor_versions"))
-    marts.write_by_owner(marts.versions_sheet(h.os_versions(t["endpoints"]), master), "csm", job.path("mart_os_versions"))
+    marts.write_by_owner(marts.versions_sheet(versions, master), "csm", job.path("mart_sensor_versions"), ("account_name", "label"))
+    marts.write_by_owner(marts.versions_sheet(h.os_versions(t["endpoints"]), master), "csm", job.path("mart_os_versions"),
+                         ("account_name", "label"))
     keys = h.labels_of(summary, "key")
     marts.write_by_owner(marts.deployment_sheet(summary, master, keys), "csm", job.path("mart_deployment"))
     job.save("mart_trend", marts.trend_sheet(trend))
@@ -116,7 +117,9 @@ def write_marts(job: Refresh, t: dict[str, DataFrame], lookup: DataFrame, master
     job.save("engineer_installations", marts.engineer_installations(t["sf_data"]))
     archives = {name: job.archive(name) for name in ("master_archive", "deployment_archive")}
     for name, section in marts.account_sections({**t, **{k: a for k, a in archives.items() if a is not None}}, lookup, job.as_of).items():
-        job.save(f"mart_account_{name}", section)
+        marts.write_by_installation(section, job.path(f"mart_account_{name}"), marts.SECTION_ORDER[name])
+    job.save("mart_positions", marts.owner_positions(master))
+    job.save("mart_columns", job.spark.createDataFrame(marts.column_metadata(), "name string, heading string, format string"))
     marts.write_csv(marts.bi_export(accounts, master, t["sf_data"]), job.path("bi_export"))
 
 

@@ -54,7 +54,7 @@ ORDER_ARCHIVE = """select cast(o_custkey as varchar) as inst_id, cast(o_orderdat
 
 def owner_marts(e):
     path = scratch_path(e.spark, "by_owner")
-    marts.write_by_owner(e.raw("customer"), "c_mktsegment", path)
+    marts.write_by_owner(e.raw("customer"), "c_mktsegment", path, ("c_name",))
     return marts.read_mart(e.spark, path)
 
 
@@ -116,6 +116,9 @@ QUERIES = [
                  + """, s.account__c, m.inst_id from account_master a left join master m on a.account_name = m.account_name left join sf_data s on m.inst_id = s.inst_id""", "account_master")),
     Query("k06_csv_round_trip", "K6", exported, "select c_custkey, c_name from customer"),
     Query("k07_owner_marts", "K7 F12", owner_marts, "select * from customer"),
+    Query("o03_owner_positions", "O3 O1", lambda e: marts.owner_positions(e.named),
+          oracle("""select csm, account_name, inst_id, row_number() over (partition by csm order by account_name, inst_id) - 1 as position
+             from account_info join roster using (inst_id) where csm is not null""", "account_info", "roster")),
     Query("o03_positions", "O3 O1", lambda e: position(e.raw("customer").select("c_mktsegment", "c_name", "c_custkey"), "c_mktsegment", ["c_name", "c_custkey"]),
           "select c_mktsegment, c_name, c_custkey, row_number() over (partition by c_mktsegment order by c_name, c_custkey) - 1 as position from customer"),
 ]

@@ -150,6 +150,13 @@ def account_cases(cases: DataFrame, as_of: dt.datetime, product_groups: list[str
     return wanted.groupBy("account_id").agg(*counts)
 
 
+def zero_without_recent_cases(table: DataFrame, cases: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Zeros for every installation when no case at all was opened in 30 days: the feed has stopped."""
+    recent = cases.select(F.coalesce(F.bool_or(day_within(iso_utc(F.col("created")), as_of, 30)), F.lit(False))).scalar()
+    counts = ("total_cases_30d", "cbc_cases_30d")
+    return table.withColumns({c: F.when(recent, F.col(c)).otherwise(F.lit(0)) for c in counts})
+
+
 def case_counts(cases: DataFrame, installations: DataFrame, as_of: dt.datetime, product_groups: list[str]) -> DataFrame:
     """Case counts of the account, for all of its installations."""
     return fan_out(account_cases(cases, as_of, product_groups), installations)
@@ -232,4 +239,5 @@ def build_sf_data(roster: DataFrame, w: dict[str, DataFrame], as_of: dt.datetime
     spine = mine.select(F.col("account_id").alias("_account")).distinct()
     by_account = reduce(lambda left, fact: left.join(fact, "_account", "left"), facts, spine)
     members = installation_info(mine, F.col("account_id").alias("_account"))
-    return roster.join(members, "inst_id", "left").join(by_account, "_account", "left").drop("_account")
+    wide = roster.join(members, "inst_id", "left").join(by_account, "_account", "left").drop("_account")
+    return zero_without_recent_cases(wide, w["case"], as_of)

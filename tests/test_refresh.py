@@ -106,6 +106,8 @@ def test_marts(spark, job):
     assert rows(job.load("mart_trend_percent").filter("section = 'all'"), "version", "perc") == [("3.5.0.1", 42.86), ("3.8.0.1", 57.14)]
     assert "3.8" in job.load("mart_deployment").columns
     assert rows(job.load("mart_account_consumption"), "inst_id", "month", "deployment") == [("1", "2024-01", 40), ("2", "2024-01", 30), ("3", "2024-01", None)]
+    assert rows(job.load("mart_positions"), "csm", "inst_id", "position") == [("Ann", "1", 0), ("Ann", "2", 1), ("Ann", "3", 2)]
+    assert job.load("mart_columns").count() == len(marts.MASTER_FIELDS)
     bi = spark.read.option("header", True).csv(job.path("bi_export"))
     assert len(bi.columns) == 17 and rows(bi, "account_name", "inst_id") == [("Acme", "1"), ("Beta", "2"), ("Beta", "3")]
     for name in ("version_status", "os_status", "os_support", "signatures", "activity", "master_trend", "deployment_archive"):

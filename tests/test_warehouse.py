@@ -115,3 +115,17 @@ def test_sf_data_has_one_row_per_roster_installation(table):
     got = w.build_sf_data(w.roster(tables["installation"]), tables, AS_OF, [])
     assert rows(got, "inst_id", "account_name", "licenses_purchased") == [("1", None, 10), ("2", None, 10)]
     assert len(got.columns) == 38
+
+
+def test_stopped_case_feed_gives_zeros_for_30_days_only(table):
+    tables = {t: table(t) for t in ("account", "user", "subscription", "opportunity", "cta")}
+    tables["installation"] = table("installation", inst("1"), inst("2", "B"))
+    case = {"account_id": "A", "product_group": "ours", "status": "Open"}
+    counts = ["inst_id", "total_cases_30d", "cbc_cases_30d", "total_cases_90d", "open_cases"]
+
+    def build(*created):
+        tables["case"] = table("case", *[{**case, "created": c} for c in created])
+        return rows(w.build_sf_data(w.roster(tables["installation"]), tables, AS_OF, ["ours"]), *counts)
+
+    assert build("2023-12-01T00:00:00Z") == [("1", 0, 0, 1, 1), ("2", 0, 0, None, None)]
+    assert build("2024-01-30T00:00:00Z") == [("1", 1, 1, 1, 1), ("2", None, None, None, None)]

@@ -48,9 +48,9 @@ def iso_utc(text: Column) -> Column:
     offset = F.replace(F.regexp_extract(text, r"([+-]\d{2}:?\d{2})$", 1), F.lit(":"), F.lit(""))
     minutes = ((F.substring(offset, 2, 2).cast("int") * 60 + F.substring(offset, 4, 2).cast("int"))
                * F.when(offset.startswith("-"), -1).otherwise(1))
-    shifted = text.rlike(r":\d{2}(\.\d+)?[+-]\d{2}:?\d{2}$") & ~text.endswith("+0000") & ~text.endswith("+00:00")
-    return (F.when(text.endswith("Z"), wall)
-            .when(shifted, wall - F.make_dt_interval(mins=minutes)).otherwise(wall))
+    utc = text.endswith("Z") | text.endswith("+0000") | text.endswith("+00:00")
+    shifted = text.rlike(r":\d{2}(\.\d+)?[+-]\d{2}:?\d{2}$")
+    return F.when(utc, wall).when(shifted, wall - F.make_dt_interval(mins=minutes)).otherwise(wall)
 
 
 def calendar_days(start: Column, end: Column) -> Column:

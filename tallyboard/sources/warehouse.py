@@ -136,7 +136,8 @@ def account_cases(cases: DataFrame, as_of: dt.datetime, product_groups: list[str
 
     One pass over the cases. A window without any case gives NULL, not 0.
     """
-    created = iso_utc(F.col("created"))
+    cases = cases.select("account_id", "product_group", "status", iso_utc(F.col("created")).alias("opened"))
+    created = F.col("opened")
     windows = {"30d": day_within(created, as_of, 30), "90d": day_within(created, as_of, 90),
                "open": F.col("status") != "Closed"}
     ours = F.col("product_group").isin(product_groups)

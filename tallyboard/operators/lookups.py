@@ -26,17 +26,15 @@ def longest_prefix(versions: DataFrame, lines: DataFrame, include_exact: bool =
     """Support level of the longest release line that is a prefix of the version.
 
     Each distinct version is expanded to its prefixes and met with the lines by
-    equality; only proper prefixes count unless ``include_exact``.
+    equality; only proper prefixes count unless ``include_exact``. The versions are
+    carried through, so they are read once.
     """
     longest = F.length("version") - (0 if include_exact else 1)
-    prefixes = F.transform(F.sequence(F.lit(1), F.greatest(longest, F.lit(1))), lambda n: F.substring("version", F.lit(1), n))
-    tried = (versions.select("version", "os", os_code(F.col("os")).alias("os_code"), F.explode(prefixes).alias("line"))
-             .filter(F.length("line") <= longest))
-    best = (tried.join(lines, ["os_code", "line"])
-            .groupBy("os", "version").agg(F.max(F.struct(F.length("line").alias("n"), "support_level"))["support_level"]
-                                          .alias("support_level")))
-    return (versions.join(best, ["os", "version"], "left")
-            .withColumn("support_level", F.coalesce("support_level", F.lit(fallback))))
+    prefixes = F.when(longest > 0, F.transform(F.sequence(F.lit(1), longest), lambda n: F.substring("version", F.lit(1), n)))
+    tried = versions.select("*", os_code(F.col("os")).alias("os_code"), F.explode_outer(prefixes).alias("line"))
+    match = F.when(F.col("support_level").isNotNull(), F.struct(F.length("line").alias("n"), "support_level"))
+    return (tried.join(lines, ["os_code", "line"], "left").groupBy(*versions.columns)
+            .agg(F.coalesce(F.max(match)["support_level"], F.lit(fallback)).alias("support_level")))
 
 
 def downloadable(versions: DataFrame, kits: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,19 +32,9 @@ def build_session(app: str = "tallyboard", master: str | None = None, **conf: st
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session (one machine, so any folder is shared) may fall back
-    to a temporary folder; on a cluster a missing setting is an error.
-    """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyboard-"))
-    return sc.getCheckpointDir()
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; where it is unset, one under the warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -55,7 +44,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage through a reliable checkpoint, so a lost executor cannot change the rows."""
-    work_dir(df.sparkSession)
     if df.sparkSession.sparkContext.getCheckpointDir() is None:
         df.sparkSession.sparkContext.setCheckpointDir(work_dir(df.sparkSession))
     return df.checkpoint()

@@ -4,24 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, oracle, rows, url_filter
+from ..session import scratch_path
+from . import exact_dedup, mixing, oracle, packing, quality_rules, rows, token_store, url_filter
 
 #: The rules of the URL query.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
              url_filter.Rule("block", "example.com/de/"), url_filter.Rule("allow", "org/fr/")]
 
 
+def tokenizer() -> str:
+    """The vocabulary file of the token queries; every executor has the package that holds it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(rows.read(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(rows.read(spark, sf_dir, "documents"), tokenizer())
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(rows.read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(rows.read(spark, sf_dir, "documents"))
+
+
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_store.write(rows.read(spark, sf_dir, "documents"), path, tokenizer())
+    return token_store.digests(spark, path)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows.read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op3_url_filter, op9_source_mix)}
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op8_token_store, op9_source_mix)}
 ORACLE_SQL = oracle.ORACLE_SQL

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, mixing, oracle, packing, quality_rules, rows, token_store, url_filter
+from . import exact_dedup, language_id, mixing, oracle, packing, quality_model, quality_rules, rows, token_store, url_filter
 
 #: The rules of the URL query.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
@@ -35,6 +36,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(rows.read(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rows.read(spark, sf_dir, "documents")
+    held_out = F.coalesce(rows.fold("doc_id", 4) == 2, F.lit(False))
+    network = language_id.learn(docs.filter(~held_out))
+    return language_id.identify(docs, network).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_store.write(rows.read(spark, sf_dir, "documents"), path, tokenizer())
@@ -45,5 +53,11 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows.read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op8_token_store, op9_source_mix)}
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = rows.read(spark, sf_dir, "labels").filter(rows.fold("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    scored = quality_model.score(rows.read(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", F.coalesce(rows.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op5_language_id, op8_token_store, op9_source_mix, op10_quality_model)}
 ORACLE_SQL = oracle.ORACLE_SQL

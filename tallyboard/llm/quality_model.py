@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rows
+from .hashing import words
 from .token_store import _batches
 
 FOLDS = 4
@@ -57,18 +58,12 @@ def statistics(text: str | None) -> np.ndarray:
     data = (text or "").encode("utf-8", "replace")
     raw = np.frombuffer(data, np.uint8)
     kinds = _KINDS[raw]
-    # Words as runs of bytes that are no white space, and a number for each: a sum of its bytes by place.
-    solid = np.concatenate([[False], kinds < 6, [False]])
-    edges = np.flatnonzero(solid[1:] != solid[:-1])
-    starts, ends = edges[::2], edges[1::2]
+    starts, ends, names = words(raw)
     if not len(starts):
         return out
     n, lengths = len(starts), ends - starts
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([[0], np.cumsum((raw.astype(np.uint64) + 1) * _powers(len(raw)))])
-        names = (sums[ends] - sums[starts]) * _inverse(starts)
-        pairs = names[:-1] * np.uint64(0x9E3779B97F4A7C15) + names[1:]
-        triples = pairs[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + names[2:]
+    pairs = names[:-1] * np.uint64(0x9E3779B97F4A7C15) + names[1:]
+    triples = pairs[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + names[2:]
     _, uses = np.unique(names, return_counts=True)
     count = np.bincount(kinds, minlength=8) / len(raw)
     lines = [x for x in (text or "").split("\n") if x.strip()]
@@ -82,26 +77,6 @@ def statistics(text: str | None) -> np.ndarray:
     return out
 
 
-_BASE = 0x100000001B3
-_TABLES: dict[str, np.ndarray] = {"powers": np.ones(1, np.uint64), "inverse": np.ones(1, np.uint64)}
-
-
-def _table(name: str, base: int, n: int) -> np.ndarray:
-    """Powers of an odd base modulo 2^64, as many as are asked for."""
-    if len(_TABLES[name]) < n:
-        with np.errstate(over="ignore"):
-            _TABLES[name] = np.cumprod(np.concatenate([[1], np.full(2 * n, base, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-    return _TABLES[name]
-
-
-def _powers(n: int) -> np.ndarray:
-    return _table("powers", _BASE, n)[:n]
-
-
-def _inverse(at: np.ndarray) -> np.ndarray:
-    return _table("inverse", pow(_BASE, -1, 1 << 64), int(at.max()) + 1)[at]
-
-
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, stats`` of every whole text, written."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

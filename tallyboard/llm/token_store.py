@@ -24,7 +24,7 @@ from .tokens import END_ID, Encoder, with_end
 SCHEMA = "doc_id bigint, shard int, place bigint, start bigint, ids array<int>"
 STRIPE_BYTES = 64 << 20
 ROW_GROUP = 1000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def _batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:

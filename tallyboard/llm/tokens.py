@@ -15,9 +15,11 @@ import pyarrow.compute as pc
 
 END_ID = 2
 #: Encoded pieces a worker keeps; when there are more it starts anew.
-KEEP = 1_500_000
+KEEP = 500_000
 #: Pieces are encoded in one go, this white space between them, which is a token of its own before a space.
 BETWEEN = "\x0b"
+#: Pieces that go to the library together: it needs some hundred bytes for a token.
+TOGETHER = 10_000
 #: A space beside other white space.
 RUNS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
@@ -64,7 +66,8 @@ class _Pieces:
         get = self.numbers.get
         out = [get(p, -1) for p in distinct]
         if new := [p for p, n in zip(distinct, out) if n < 0]:
-            self._put(new)
+            for i in range(0, len(new), TOGETHER):
+                self._put(new[i:i + TOGETHER])
             out = [self.numbers[p] for p in distinct]
         return np.array(out, np.int64)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, language_id, mixing, near_dedup, oracle, packing, quality_model, quality_rules, rows, token_store, url_filter
+from . import exact_dedup, html_main, language_id, mixing, near_dedup, oracle, packing, quality_model, quality_rules, rows, token_store, url_filter
 
 #: The rules of the URL query.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
@@ -47,6 +47,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(rows.read(spark, sf_dir, "documents"))
 
 
+def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(rows.read(spark, sf_dir, "pages"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_store.write(rows.read(spark, sf_dir, "documents"), path, tokenizer())
@@ -63,5 +67,5 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(rows.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op5_language_id, op6_near_dedup, op8_token_store, op9_source_mix, op10_quality_model)}
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op5_language_id, op6_near_dedup, op7_html_main, op8_token_store, op9_source_mix, op10_quality_model)}
 ORACLE_SQL = oracle.ORACLE_SQL

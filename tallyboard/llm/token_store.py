@@ -60,7 +60,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
                 ["doc_id", "shard", "place", "start", "ids"])
             start, place = start + int(ends[-1]), place + len(batch)
 
-    (dealt.mapInArrow(encode, SCHEMA).write.option("orc.compress", "zlib").option("orc.stripe.size", stripe_bytes)
+    (dealt.mapInArrow(encode, SCHEMA).write.option("orc.compress", "zstd").option("orc.stripe.size", stripe_bytes)
      .option("orc.row.index.stride", row_group).option("orc.create.index", "true")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
 

@@ -13,9 +13,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .hashing import string_hashes
+
 END_ID = 2
-#: Encoded pieces a worker keeps; when there are more it starts anew.
-KEEP = 500_000
+#: Encoded pieces a worker keeps, at some 50 bytes each; when there are more it starts anew.
+KEEP = 4_000_000
 #: Pieces are encoded in one go, this white space between them, which is a token of its own before a space.
 BETWEEN = "\x0b"
 #: Pieces that go to the library together: it needs some hundred bytes for a token.
@@ -25,14 +27,14 @@ RUNS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
 class _Pieces:
-    """Distinct strings with their ids, numbered as they come."""
+    """Distinct strings with their ids, numbered as they come and found by a 96-bit hash."""
 
     def __init__(self, encode, prefix: str):
         self.encode, self.prefix = encode, prefix
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.keys, self.checks, self.numbers = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int32)
         self.ids, self.ends, self.count = np.empty(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -41,8 +43,6 @@ class _Pieces:
             joined = (BETWEEN + self.prefix).join(["", *pieces, ""])
             ids = np.array(self.encode([joined])[0].ids, np.uint32)
             cuts = np.flatnonzero(ids == ids[0])
-            # The last one stands before a space with nothing after it, so it may be in a longer token.
-            cuts = cuts if len(cuts) == len(pieces) + 1 else np.append(cuts, len(ids) - 1)
             if len(cuts) == len(pieces) + 1:
                 return np.delete(ids[:cuts[-1]], cuts[:-1]), np.diff(cuts) - 1
         found = [e.ids for e in self.encode([self.prefix + p for p in pieces])]
@@ -57,19 +57,28 @@ class _Pieces:
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         self.ids[start:start + total] = ids
         self.ends[self.count + 1:self.count + 1 + len(pieces)] = start + np.cumsum(lengths)
-        self.numbers.update(zip(pieces, range(self.count, self.count + len(pieces))))
         self.count += len(pieces)
 
-    def number(self, distinct: list[str]) -> np.ndarray:
+    def number(self, distinct: pa.Array) -> np.ndarray:
+        """The numbers of distinct strings; new ones are encoded."""
         if self.count > KEEP:
             self.clear()
-        get = self.numbers.get
-        out = [get(p, -1) for p in distinct]
-        if new := [p for p, n in zip(distinct, out) if n < 0]:
+        keys, checks = string_hashes(distinct)
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        known = (self.keys[at] == keys) & (self.checks[at] == checks) if len(self.keys) else np.zeros(len(keys), bool)
+        out = np.where(known, self.numbers[at], 0).astype(np.int64) if len(self.keys) else np.zeros(len(keys), np.int64)
+        if not known.all():
+            new = np.flatnonzero(~known)
+            first = self.count
             for i in range(0, len(new), TOGETHER):
-                self._put(new[i:i + TOGETHER])
-            out = [self.numbers[p] for p in distinct]
-        return np.array(out, np.int64)
+                self._put(distinct.take(pa.array(new[i:i + TOGETHER])).to_numpy(zero_copy_only=False).tolist())
+            out[new] = np.arange(first, self.count)
+            order = np.argsort(keys[new])
+            new = new[order]
+            place = np.searchsorted(self.keys, keys[new])
+            self.keys, self.checks, self.numbers = (np.insert(a, place, v) for a, v in (
+                (self.keys, keys[new]), (self.checks, checks[new]), (self.numbers, out[new].astype(np.int32))))
+        return out
 
 
 def _gather(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -134,14 +143,14 @@ class Encoder:
         offsets -= offsets[0]
         heads = np.zeros(len(index), bool)
         heads[offsets[:-1]] = True
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        distinct = coded.dictionary
         starts, lengths = np.zeros(len(index), np.int64), np.zeros(len(index), np.int64)
         base = 0
         tables = []
         for pieces, here in ((self.first, heads), (self.rest, ~heads)):
-            used = np.unique(index[here])
+            used = np.flatnonzero(np.bincount(index[here], minlength=len(distinct)))
             names = np.zeros(len(distinct), np.int64)
-            names[used] = pieces.number(distinct[used].tolist())
+            names[used] = pieces.number(distinct.take(pa.array(used)))
             n = names[index[here]]
             starts[here], lengths[here] = pieces.ends[n] + base, pieces.ends[n + 1] - pieces.ends[n]
             tables.append(pieces.ids[:pieces.ends[pieces.count]])

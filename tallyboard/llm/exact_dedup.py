@@ -84,10 +84,14 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block
     columns are ignored, or returned whole as ``row`` with ``carry``. An empty
     table gives no rows.
     """
-    kept_columns = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
-    base = docs.select(F.col(key).alias("doc_id"), unified(text).alias("unified"), *kept_columns)
-    cut = base.withColumn("blocks", _blocks(F.col("unified"), block)).withColumn("sha", F.sha2(F.col("unified").cast("binary"), 256))
-    table = rows.numbered(cut.drop("unified"), "blocks")
+    cut = lambda df, source: (df.withColumn("unified", unified(source)).withColumn("blocks", _blocks(F.col("unified"), block))
+                              .withColumn("sha", F.sha2(F.col("unified").cast("binary"), 256)).drop("unified"))
+    if carry:
+        # The rows are written as they are, and cut as they are read: their texts are there once.
+        table = rows.numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "rows")
+        table = cut(table.withColumn("doc_id", F.col("row")[key]), F.col("row")[text])
+    else:
+        table = rows.numbered(cut(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text").drop("text"), "blocks")
     blocks = table.select("row_id", F.size("blocks").alias("n"), F.posexplode("blocks").alias("pos", "block"))
     heads = table.select("row_id", "doc_id", "sha", *(["row"] if carry else []))
 

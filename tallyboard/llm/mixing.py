@@ -121,3 +121,25 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     partial = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("bucket_start") - F.col("before")))
     out = met.select("row_id", F.col("doc_id").alias(key), "size", "source_size", "target", (F.col("passes") * F.col("size") + partial).alias("taken"))
     return (out.join(sized.select("row_id", "row"), "row_id") if carry else out).drop("row_id")
+
+
+def taken_rows(docs: DataFrame, text: str = "text", most: int = MOST, **settings) -> DataFrame:
+    """The rows the mix takes, with their columns as they were.
+
+    A row comes once for each whole pass over its source. The row that a source's
+    last block cuts comes once more, with its words before the cut, a space between. Columns that
+    count the text's characters, ``n_chars``, follow the cut. Rows without words
+    come once where their source is taken at all.
+    """
+    got = mix(docs, text=text, most=most, carry=True, **settings)
+    size, taken = F.col("size"), F.col("taken")
+    whole = F.when(size > 0, F.expr("taken div nullif(size, 0)")).otherwise(F.when(F.col("target") > 0, 1).otherwise(0)).cast("int")
+    left = F.when(size > 0, taken - whole * size).otherwise(0).cast("int")
+    copies = F.concat(F.array_repeat(F.lit(-1), whole), F.when(left > 0, F.array(left)).otherwise(F.array().cast("array<int>")))
+    each = got.withColumn("cut", F.explode(copies))
+    row = F.col("row")
+    cut_text = F.when(F.col("cut") < 0, row[text]).otherwise(F.array_join(F.slice(rows.words(row[text]), 1, F.greatest("cut", F.lit(1))), " "))
+    out = each.withColumn("cut_text", cut_text)
+    columns = [F.col("cut_text").alias(c) if c == text else F.when(F.col("cut") < 0, row[c]).otherwise(F.length("cut_text")).cast(docs.schema[c].dataType).alias(c)
+               if c == "n_chars" else row[c].alias(c) for c in docs.columns]
+    return out.select(*columns)

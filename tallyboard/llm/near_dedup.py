@@ -259,8 +259,11 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry:
     columns are ignored, or returned whole as ``row`` with ``carry``.
     """
     spark = docs.sparkSession
-    kept = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
-    table = rows.numbered(docs.select(F.col(key).alias("doc_id"), rows.whole(text).alias("text"), *kept), "documents")
+    if carry:
+        table = rows.numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "rows")
+        table = table.select("row_id", F.col("row")[key].alias("doc_id"), rows.whole(F.col("row")[text]).alias("text"), "row")
+    else:
+        table = rows.numbered(docs.select(F.col(key).alias("doc_id"), rows.whole(text).alias("text")), "documents")
     total = table.count()
     weights = spark.sparkContext.broadcast(Weights(_common_runs(table, max(1, total)), max(1, total)))
     classes = components(_links(table, weights), "row_id", "head").withColumnRenamed("id", "row_id")

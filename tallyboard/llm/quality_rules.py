@@ -39,13 +39,21 @@ class Limits:
     max_word_distance: float = 0.36
 
 
-def _left(text: Column, outside: str) -> Column:
-    """How many characters are left when runs of ``outside`` are gone."""
-    return F.length(F.regexp_replace(text, outside, "")).cast("long")
+def _kinds(text: Column) -> Column:
+    """Counts of characters by kind. Most are white space or plain letters; what is left without them is counted by class."""
+    left = lambda t, outside: F.length(F.regexp_replace(t, outside, "")).cast("long")
 
+    def of(solid: Column) -> Column:
+        return rows.let(F.regexp_replace(solid, "[a-z]+", ""), lambda rest: F.struct(
+            F.length(solid).cast("long").alias("solid"), (F.length(text) - F.length(solid)).cast("long").alias("space"),
+            left(rest, r"[^\p{Lu}]+").alias("upper"), left(rest, r"[^\p{Nd}]+").alias("digit"), left(rest, r"[^\p{P}]+").alias("punct"),
+            left(rest, r"[^\p{S}]+").alias("symbol"), left(rest, "[^" + "".join("\\" + c for c in SYMBOLS) + "]+").alias("n_symbols")))
 
-def _repeat_words(words: Column, window: int) -> Column:
-    """Words that stand in a window of so many words that the text has twice or more."""
+    return rows.let(F.regexp_replace(text, rows.SPACES, ""), of)
+
+
+def _repeats(words: Column, window: int) -> Column:
+    """How many words there are, and how many stand in a window of so many words that the text has twice or more."""
     def covered(hashes: Column) -> Column:
         def starts(s: Column) -> Column:
             same = lambda k, j: F.element_at(s, k)["h"] == F.element_at(s, j)["h"]
@@ -60,10 +68,11 @@ def _repeat_words(words: Column, window: int) -> Column:
 
     def of(w: Column) -> Column:
         hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (window - 1)), lambda i: F.xxhash64(F.slice(w, i, window)))
-        return F.when(F.size(w) < window, 0).otherwise(
+        repeats = F.when(F.size(w) < window, 0).otherwise(
             rows.let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h))))
+        return F.struct(F.size(w).cast("long").alias("n_words"), repeats.cast("long").alias("n_repeat_words"))
 
-    return rows.let(words, of).cast("long")
+    return rows.let(words, of)
 
 
 def _dup_lines(text: Column) -> Column:
@@ -71,31 +80,36 @@ def _dup_lines(text: Column) -> Column:
     return rows.let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def _measured(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """``doc_id, text, lang`` and the counts of character classes and common words."""
-    t = F.col("text")
+def _said(text: Column) -> Column:
+    """How many runs of letters a text has, and how often each of the common words, case aside."""
     known = sorted({w for listed in COMMON_WORDS.values() for w in listed.split()})
-    letters = F.filter(F.split(F.lower(t), r"[^\p{L}]+"), lambda w: w != "")
+    letters = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+    counts = lambda common: F.transform(F.array_distinct(common), lambda w: F.struct(
+        w.alias("word"), (F.size(common) - F.size(F.array_remove(common, w))).cast("long").alias("n")))
+    return rows.let(letters, lambda x: F.struct(F.size(x).cast("long").alias("letter_words"), rows.let(F.filter(x, lambda w: w.isin(known)), counts).alias("said")))
+
+
+def measured(docs: DataFrame, key: str, text: str, lang: str, window: int) -> DataFrame:
+    """All counts of each document, from one pass over the texts, written."""
+    t = F.col("text")
     base = docs.select(F.col(key).alias("doc_id"), rows.whole(text).alias("text"),
                        F.when(F.col(lang).isin(*COMMON_WORDS), F.col(lang)).otherwise("other").alias("lang"))
-    base = base.withColumn("chars", F.length(t).cast("long")).withColumn(
-        "heard", rows.let(letters, lambda x: F.struct(F.size(x).alias("n"), F.filter(x, lambda w: w.isin(known)).alias("common"))))
-    classes = {"upper": _left(t, r"[^\p{Lu}]+"), "digit": _left(t, r"[^\p{Nd}]+"), "punct": _left(t, r"[^\p{P}]+"), "symbol": _left(t, r"[^\p{S}]+"),
-               "space": F.col("chars") - F.length(F.translate(t, rows.SPACE_CHARS, ""))}
-    counts = base.withColumns(classes)
-    return counts.withColumn("other", F.col("chars") - sum(F.col(c) for c in classes))
+    found = base.select("doc_id", "lang", F.length(t).cast("long").alias("chars"), _kinds(t).alias("kinds"), _said(t).alias("heard"),
+                        _repeats(rows.words(t), window).alias("repeats"), _dup_lines(t).alias("n_dup_lines"))
+    return rows.stored(found.select("doc_id", "lang", "chars", "kinds.*", "heard.*", "repeats.*", "n_dup_lines").withColumn(
+        "other", F.col("chars") - sum(F.col(c) for c in CLASSES if c != "other")), "measured")
 
 
-def references(measured: DataFrame) -> DataFrame:
+def references(counts: DataFrame) -> DataFrame:
     """``lang, ref_chars, ref_words``: shares of the classes, and of the common words, by language; a handful of rows."""
-    chars = measured.groupBy("lang").agg(F.sum("chars").alias("all"), F.sum("heard.n").alias("all_words"), *[F.sum(c).alias(c) for c in CLASSES])
-    said = measured.select("lang", F.explode("heard.common").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    said = said.groupBy("lang").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("word", "n")))).alias("said"))
+    chars = counts.groupBy("lang").agg(F.sum("chars").alias("all"), F.sum("letter_words").alias("all_words"), *[F.sum(c).alias(c) for c in CLASSES])
+    said = counts.select("lang", F.inline("said")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    said = said.groupBy("lang").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("word", "n")))).alias("words"))
     share = lambda n, of: n.cast("double") / F.nullif(of, F.lit(0)).cast("double")
     none = F.create_map().cast("map<string,bigint>")
     return chars.join(said, "lang", "left").select(
         "lang", F.array(*[share(F.col(c), F.col("all")) for c in CLASSES]).alias("ref_chars"),
-        F.transform_values(F.coalesce("said", none), lambda _, n: share(n, F.col("all_words"))).alias("ref_words"))
+        F.transform_values(F.coalesce("words", none), lambda _, n: share(n, F.col("all_words"))).alias("ref_words"))
 
 
 def _distance(pairs: Column) -> Column:
@@ -112,11 +126,10 @@ def _char_distance() -> Column:
 
 
 def _word_distance() -> Column:
-    n, common, ref = F.col("heard.n"), F.col("heard.common"), F.col("ref_words")
-    count = lambda w: F.size(common) - F.size(F.array_remove(common, w))
-    said = F.transform(F.array_distinct(common), lambda w: F.struct((count(w) / n).alias("p"), F.coalesce(F.try_element_at(ref, w), F.lit(0.0)).alias("q")))
-    rest_q = 1 - F.aggregate(F.map_values(ref), F.lit(0.0), lambda a, x: a + x)
-    rest = F.array(F.struct(((n - F.size(common)) / n).alias("p"), rest_q.alias("q")))
+    n, ref = F.col("letter_words"), F.col("ref_words")
+    said = F.transform("said", lambda x: F.struct((x["n"] / n).alias("p"), F.coalesce(F.try_element_at(ref, x["word"]), F.lit(0.0)).alias("q")))
+    add = lambda values, of: F.aggregate(values, F.lit(0.0), lambda a, x: a + of(x))
+    rest = F.array(F.struct((1 - add(F.col("said"), lambda x: x["n"] / n)).alias("p"), (1 - add(F.map_values(ref), lambda x: x)).alias("q")))
     return _distance(F.filter(F.concat(said, rest), lambda x: x["p"] > 0))
 
 
@@ -129,19 +142,13 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     a list of common words, or none, is compared with all such documents together.
     An empty table gives no rows; repeated rows stay; other columns are ignored.
     """
-    measured = _measured(docs, key, text, lang)
+    counts = measured(docs, key, text, lang, limits.window)
     # One row for each listed language and one for all others: small whatever the input.
-    refs = F.broadcast(rows.stored(references(measured), "language-references"))
-    w = rows.words(F.col("text"))
-    n = F.col("n_words")
-    counted = (measured.join(refs, "lang", "left")
-               .withColumn("n_words", F.size(w).cast("long"))
-               .withColumn("word_chars", F.col("chars") - F.col("space"))
-               .withColumn("n_symbols", F.col("chars") - F.length(F.translate("text", SYMBOLS, "")))
-               .withColumn("n_dup_lines", _dup_lines(F.col("text")))
-               .withColumn("n_repeat_words", _repeat_words(w, limits.window))
+    refs = F.broadcast(rows.stored(references(counts), "language-references"))
+    counted = (counts.join(refs, "lang", "left").withColumn("word_chars", F.col("solid"))
                .withColumn("char_distance", F.when(F.col("chars") >= limits.min_chars, _char_distance()))
-               .withColumn("word_distance", F.when(F.col("heard.n") >= limits.min_letter_words, _word_distance())))
+               .withColumn("word_distance", F.when(F.col("letter_words") >= limits.min_letter_words, _word_distance())))
+    n = F.col("n_words")
     failed = (n < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * n)
     usual = (F.coalesce("char_distance", F.lit(0.0)) <= limits.max_char_distance) & (F.coalesce("word_distance", F.lit(0.0)) <= limits.max_word_distance)
     return counted.select(F.col("doc_id").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

@@ -59,6 +59,7 @@ class _Rows(HTMLParser):
 def extract_rows(html: str, container: str, row: str, cell: str) -> list[list[str]]:
     parser = _Rows(container, row, cell)
     parser.feed(html or "")
+    parser.close()
     parser.close_row()
     return parser.rows
 

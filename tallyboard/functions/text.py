@@ -20,13 +20,9 @@ def contains_any(text: Column, needles: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [text.contains(n) for n in needles])
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
-
-
-def version_family(version: Column, chars: int = 3) -> Column:
-    """``3.8.0.627`` -> ``3.8``."""
-    return F.substring(version, 1, chars)
+def version_family(version: Column) -> Column:
+    """``3.8.0.627`` -> ``3.8``, ``3.10.0.1`` -> ``3.10``."""
+    return F.substring_index(version, ".", 2)
 
 
 def os_code(name: Column) -> Column:
@@ -51,30 +47,3 @@ def display_cell(text: Column) -> Column:
 def cell_number(text: Column) -> Column:
     """The number in a text cell that is nothing but a number, else NULL."""
     return F.when(text.rlike(r"^[0-9]+(\.[0-9]+)?$"), text.try_cast("double"))
-
-
-# Headings that differ from the plain rule.
-_HEADINGS = {
-    "Count of Violations": "CUA Score",
-    "Violations Triggered": "Score Detail",
-    "brag decrease": "BRAG Decrease",
-    "last cse timeline": "Last CSE Timeline",
-    "csm comments": "CSM Comments",
-    "gs adoption comments": "GS Adoption Comments",
-}
-
-
-def heading(column: str) -> str:
-    """Report heading of a column name."""
-    words = column.replace("___", " - ").replace("_", " ")
-    for spelling in ("Perc", "perc"):
-        words = words.replace(spelling, "%")
-    words = _HEADINGS.get(words, words)
-    return words.title() if words.islower() else words
-
-
-def number_format(label: str) -> str:
-    """``percent``, ``money`` or ``plain``, by heading."""
-    if "%" in label and label != "Days To 50%":
-        return "percent"
-    return "money" if "ARR" in label or "ACV" in label else "plain"

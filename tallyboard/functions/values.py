@@ -10,7 +10,6 @@ from __future__ import annotations
 DEPLOYED_STATUSES = ["REGISTERED", "BYPASS"]
 
 # Keyword searches whose results make up the audit table.
-AUDIT_SEARCHES = ["log* success*", "bypass", "policy", "Added user"]
 
 # Case-insensitive patterns that classify audit events.
 LOGIN = "log%in success%"
@@ -24,7 +23,6 @@ BYPASS = "%bypass%"
 BYPASS_ON = ["%enabled%", "%to on %"]
 BYPASS_NOT = "%Action)"
 BYPASS_ALL = "%all"
-BYPASS_ALL_FROM = 1_000_000
 
 # Alert facets as (facet field, value id, counter).
 ALERT_COUNTERS = [

@@ -50,14 +50,12 @@ def audit_metrics(audit: DataFrame, as_of: dt.datetime) -> DataFrame:
         last(is_login()).alias("last_login"),
         _count_in(near_last, is_connector_login()).alias("last_30d_connector_count"),
         F.sum(devices).alias("last_30d_bypass_count"),
-        F.max(F.when(recent, bypass_all())).alias("_marker"),
+        F.max(F.when(recent, bypass_all())).alias("bypass_all"),
         last(_text().ilike(v.POLICY_CREATED)).alias("last_created_policy"),
         last(_text().ilike(v.POLICY_MODIFIED)).alias("last_modified_policy"),
         last(_text().ilike(v.USER_ADDED)).alias("last_added_user"),
     )
-    everything = F.col("_marker") | (F.col("last_30d_bypass_count") >= v.BYPASS_ALL_FROM)
-    return (out.withColumn("days_since_login", whole_days_since(F.col("last_login"), as_of))
-            .withColumn("bypass_all", everything).drop("_marker"))
+    return out.withColumn("days_since_login", whole_days_since(F.col("last_login"), as_of))
 
 
 def bypass_display() -> Column:

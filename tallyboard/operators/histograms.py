@@ -62,14 +62,6 @@ def widen(long: DataFrame, columns: list[str], by: list[str], label: str = "labe
     return wide.select(*by, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in columns])
 
 
-def labels_of(long: DataFrame, label: str = "label", limit: int = 1000) -> list[str]:
-    """The labels to widen by, sorted; refuses a label set too large for columns."""
-    rows = long.select(label).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} labels: keep the long form")
-    return sorted(r[0] for r in rows)
-
-
 def nonzero(long: DataFrame, label: str = "label") -> DataFrame:
     """Labels that occur at all in the selection (F15); in long form a zero column is simply absent."""
     return long.filter(F.col("n") > 0)

@@ -37,6 +37,14 @@ def latest_row(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(packed.alias("_top")).select(*keys, "_top.*")
 
 
+def one_row(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """One row per key: the greatest, by ``order`` first. What was landed twice counts once; one pre-aggregated pass."""
+    rest = [c for c in df.columns if c not in keys]
+    lead = [c for c in order or [] if c in rest]
+    top = F.max(F.struct(*lead, *[c for c in rest if c not in lead])).alias("_top")
+    return df.groupBy(*keys).agg(top).select(*[F.col(c) if c in keys else F.col(f"_top.{c}").alias(c) for c in df.columns])
+
+
 def duplicates(df: DataFrame, key: str) -> DataFrame:
     """Keys that are not unique, with their row counts."""
     return df.groupBy(key).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)

@@ -1,43 +1,11 @@
-"""Text lists of group members that stay bounded whatever the group holds.
+"""Text lists of a group's distinct values, for values out of a small domain.
 
-A list of all members of a group is one cell, and a hot group would put a third
-of the table into it. Members are spread by hash over as many parts as the group
-needs, each part is listed on its own, and only a group that fits one part gets
-a single cell. The parts together are always the whole list.
+Lists of a group's members are no cells: they are long tables with a row per member.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-PER_PART = 10_000
-
-
-def list_parts(df: DataFrame, keys: list[str], values: dict[str, Column], member: Column,
-               per_part: int = PER_PART, sep: str = ",", distinct: bool = False) -> DataFrame:
-    """Rows ``(keys, part, parts, <one sorted list per value>)``.
-
-    ``member`` must differ between the members of a group: it decides the part.
-    """
-    named = df.select(*keys, member.alias("_member"), *[c.alias(n) for n, c in values.items()])
-    # Counting first keeps the hot group spread: the count is pre-aggregated on the map side.
-    sizes = named.groupBy(*keys).agg(F.count("*").alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(per_part)).cast("int")
-    spread = (named.join(sizes, keys)
-              .withColumn("parts", parts)
-              .withColumn("part", F.pmod(F.xxhash64("_member"), F.col("parts")).cast("int")))
-    gather = F.collect_set if distinct else F.collect_list
-    lists = [_text(gather(F.col(n)), sep).alias(n) for n in values]
-    return spread.groupBy(*keys, "part", "parts").agg(*lists)
-
-
-def _text(items: Column, sep: str) -> Column:
-    return F.when(F.size(items) > 0, F.array_join(F.array_sort(items), sep))
-
-
-def single_cells(parts: DataFrame) -> DataFrame:
-    """The groups whose list is one cell; larger groups are read from the parts."""
-    return parts.filter(F.col("parts") == 1).drop("part", "parts")
+from pyspark.sql import DataFrame, functions as F
 
 
 def set_list(df: DataFrame, keys: list[str], value: str, sep: str = ", ") -> DataFrame:
@@ -46,5 +14,6 @@ def set_list(df: DataFrame, keys: list[str], value: str, sep: str = ", ") -> Dat
     Duplicates are gone before the values are gathered, so a hot key costs no more
     than its distinct values.
     """
+    items = F.array_sort(F.collect_list(value))
     return (df.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
-            .groupBy(*keys).agg(_text(F.collect_list(value), sep).alias(value)))
+            .groupBy(*keys).agg(F.array_join(items, sep).alias(value)))

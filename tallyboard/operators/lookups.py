@@ -85,10 +85,14 @@ def matched_terms(lines: str, terms: list[str] = INTEGRATION_TERMS) -> Column:
     return F.expr(f"array_compact(array({', '.join(hits)}))")
 
 
+def all_names(forwarders: DataFrame, connectors: DataFrame) -> DataFrame:
+    """Names of forwarders and connectors, as they come: for uses that make what they find distinct."""
+    return reduce(DataFrame.union, [t.select("inst_id", "name") for t in (forwarders, connectors)])
+
+
 def connection_names(forwarders: DataFrame, connectors: DataFrame) -> DataFrame:
     """Distinct names of forwarders and connectors."""
-    names = [t.select("inst_id", "name") for t in (forwarders, connectors)]
-    return reduce(DataFrame.union, names).distinct()
+    return all_names(forwarders, connectors).distinct()
 
 
 def integrations(names: DataFrame, terms: list[str] = INTEGRATION_TERMS) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import percent, ratio
-from .lists import PER_PART, list_parts, single_cells
+from ..functions.values import INTEGRATION_TERMS
 
 # Account columns by how they are made, in report order.
 SPEC: list[tuple[str, str]] = [
@@ -15,7 +15,7 @@ SPEC: list[tuple[str, str]] = [
     ("next_renewal_qt", "max"), ("gs_meter", "max"), ("gs_overall", "max"), ("gs_last_updated", "max"),
     ("last_cua_cta", "max"), ("cua_status", "max"), ("last_ta", "max"), ("last_wb", "max"),
     ("last_cse_timeline", "max"), ("last_login", "max"), ("days_since_login", "min"),
-    ("last_30d_login_count", "sum"), ("last_30d_connector_count", "sum"), ("integrations", "list"),
+    ("last_30d_login_count", "sum"), ("last_30d_connector_count", "sum"), ("integrations", "terms"),
     ("last_added_user", "min"), ("last_created_policy", "min"), ("last_modified_policy", "min"),
     ("created_date", "max"), ("days_to_50perc", "max"), ("licenses", "max"), ("deployment", "sum"),
     ("deployment_perc", "of licenses"), ("last_24_contact", "sum"), ("last_7d_contact", "sum"),
@@ -27,15 +27,18 @@ SPEC: list[tuple[str, str]] = [
     ("cbc_cases_30d", "max"), ("open_cases", "max"), ("open_cbc_cases", "max"), ("open_alerts", "sum"),
     ("dismissed_alerts", "sum"), ("terminated_alerts", "sum"), ("denied_alerts", "sum"),
     ("allow_and_log_alerts", "sum"), ("ran_alerts", "sum"), ("not_ran_alerts", "sum"),
-    ("policy_applied_alerts", "sum"), ("policy_not_applied_alerts", "sum"), ("prod", "max"), ("orgid", "list"),
-    ("account_id", "max"), ("inst_id", "list"), ("account__c", "list"), ("peak_daily_consumption", "sum"),
+    ("policy_applied_alerts", "sum"), ("policy_not_applied_alerts", "sum"), ("prod", "max"),
+    ("account_id", "max"), ("members", "members"), ("peak_daily_consumption", "sum"),
     ("average_monthly_consumption", "mean"),
 ]
 # Beyond the report: what the rules need at account grain.
 RULE_SPEC = [("cbc_cases_90d", "min"), ("bypass_all", "any")]
 
 
-def _column(name: str, kind: str) -> Column | None:
+TERM_LABELS = sorted({t.replace(".*", "") for t in INTEGRATION_TERMS})
+
+
+def _column(name: str, kind: str) -> Column:
     simple = {"max": F.max, "min": F.min, "sum": F.sum, "any": F.bool_or}
     if kind in simple:
         return simple[kind](name)
@@ -43,31 +46,25 @@ def _column(name: str, kind: str) -> Column | None:
         return ratio(F.sum(name), F.count("inst_id"))
     if kind == "of licenses":
         return percent(F.sum("deployment"), F.max("licenses"))
-    if kind == "list":
-        return None
+    if kind == "members":
+        return F.count("inst_id")
+    if kind == "terms":
+        # A flag for each known term: the cell is bounded whatever the account holds.
+        has = lambda t: F.bool_or(F.array_contains(F.split(name, ", "), t))
+        found = F.array_join(F.array_compact(F.array(*[F.when(has(t), F.lit(t)) for t in TERM_LABELS])), ", ")
+        return F.nullif(found, F.lit(""))
     return percent(F.sum(kind), F.sum("deployment"))
 
 
-def list_columns() -> list[str]:
-    return [name for name, kind in SPEC if kind == "list"]
-
-
-def account_lists(master: DataFrame, per_part: int = PER_PART) -> DataFrame:
-    """Every account's concatenated columns (installations, organisations, ...), whole, in parts."""
-    return list_parts(master.filter(F.col("account_name").isNotNull()), ["account_name"],
-                      {c: F.col(c) for c in list_columns()}, F.col("inst_id"), per_part)
+def account_members(master: DataFrame) -> DataFrame:
+    """The installations and organisations of each account, a row each."""
+    return master.filter(F.col("account_name").isNotNull()).select("account_name", "inst_id", "orgid", "account__c")
 
 
-def account_rollup(master: DataFrame, per_part: int = PER_PART) -> DataFrame:
-    """One row per account.
+def account_rollup(master: DataFrame) -> DataFrame:
+    """One row per account, from one pass: every cell is a pre-aggregated max, min, sum or flag.
 
-    Every number is a pre-aggregated max, min or sum. Concatenated columns are
-    filled for accounts whose list fits one cell; larger accounts keep NULL there
-    and are read from ``account_lists``.
+    ``members`` counts the installations; ``account_members`` has them.
     """
-    aggs = [c.alias(name) for name, kind in SPEC + RULE_SPEC if (c := _column(name, kind)) is not None]
-    named = master.filter(F.col("account_name").isNotNull())
-    facts = named.groupBy("account_name").agg(*aggs)
-    cells = single_cells(account_lists(master, per_part))
-    return (facts.join(cells, "account_name", "left")
-            .select("account_name", *[name for name, _ in SPEC], *[name for name, _ in RULE_SPEC]))
+    aggs = [_column(name, kind).alias(name) for name, kind in SPEC + RULE_SPEC]
+    return master.filter(F.col("account_name").isNotNull()).groupBy("account_name").agg(*aggs)

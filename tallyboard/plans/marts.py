@@ -6,40 +6,47 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import heading, number_format
 from ..functions.time import ms_to_date
 from ..operators import histograms as h
 from ..operators.audit import bypass_display
 from ..operators.history import archive_series
 from ..operators.keyed import in_band, owned_by, tolerant_select
-from ..operators.lists import list_parts
 from ..operators.ranking import position
+from ..operators.rollup import account_members
 from ..operators.series import activity_series
 
-# Report columns, in order.
-MASTER_FIELDS = [
-    "account_name", "csm", "csm_manager", "cse", "cs_tier", "prev_cs_tier", "arr", "acv", "products", "next_renewal",
-    "next_renewal_qt", "forecast", "gs_meter", "gs_overall", "csm_comments", "gs_adoption_comments", "last_cua_cta",
-    "cua_status", "last_ta", "last_wb", "last_cse_timeline", "cua_brag", "count_of_violations",
-    "violations_triggered", "brag_decrease", "last_login", "days_since_login", "last_30d_login_count",
-    "last_30d_connector_count", "integrations", "last_added_user", "last_created_policy", "last_modified_policy",
-    "created_date", "days_to_50perc", "licenses", "deployment", "deployment_perc", "peak_daily_consumption",
-    "average_monthly_consumption", "last_7d_contact", "last_24_contact", "workload_deployment", "bypass",
-    "bypass_perc", "last_30d_bypass_count", "sensor_download_unavailable", "download_unavailable_perc",
-    "sensor_standard_support", "standard_perc", "sensor_extended_support", "extended_perc", "sensor_eol_support",
-    "eol_perc", "total_cases_30d", "cbc_cases_30d", "open_cases", "open_cbc_cases", "open_alerts",
-    "dismissed_alerts", "terminated_alerts", "denied_alerts", "allow_and_log_alerts", "ran_alerts",
-    "not_ran_alerts", "policy_applied_alerts", "policy_not_applied_alerts", "prod", "orgid", "account_id", "inst_id",
+# Report columns in order, with heading and number format.
+REPORT_COLUMNS = [
+    ("account_name", "Account Name", "plain"), ("csm", "CSM", "plain"), ("csm_manager", "CSM Manager", "plain"), ("cse", "CSE", "plain"),
+    ("cs_tier", "CS Tier", "plain"), ("prev_cs_tier", "Prev CS Tier", "plain"), ("arr", "ARR", "money"), ("acv", "ACV", "money"),
+    ("products", "Products", "plain"), ("next_renewal", "Next Renewal", "plain"), ("next_renewal_qt", "Next Renewal Qt", "plain"),
+    ("forecast", "Forecast", "plain"), ("gs_meter", "GS Meter", "plain"), ("gs_overall", "GS Overall", "plain"),
+    ("csm_comments", "CSM Comments", "plain"), ("gs_adoption_comments", "GS Adoption Comments", "plain"), ("last_cua_cta", "Last CUA CTA", "plain"),
+    ("cua_status", "CUA Status", "plain"), ("last_ta", "Last TA", "plain"), ("last_wb", "Last WB", "plain"),
+    ("last_cse_timeline", "Last CSE Timeline", "plain"), ("cua_brag", "CUA Brag", "plain"), ("count_of_violations", "CUA Score", "plain"),
+    ("violations_triggered", "Score Detail", "plain"), ("brag_decrease", "BRAG Decrease", "plain"), ("last_login", "Last Login", "plain"),
+    ("days_since_login", "Days Since Login", "plain"), ("last_30d_login_count", "Last 30d Login Count", "plain"),
+    ("last_30d_connector_count", "Last 30d Connector Count", "plain"), ("integrations", "Integrations", "plain"),
+    ("last_added_user", "Last Added User", "plain"), ("last_created_policy", "Last Created Policy", "plain"),
+    ("last_modified_policy", "Last Modified Policy", "plain"), ("created_date", "Created Date", "plain"), ("days_to_50perc", "Days To 50%", "plain"),
+    ("licenses", "Licenses", "plain"), ("deployment", "Deployment", "plain"), ("deployment_perc", "Deployment %", "percent"),
+    ("peak_daily_consumption", "Peak Daily Consumption", "plain"), ("average_monthly_consumption", "Average Monthly Consumption", "plain"),
+    ("last_7d_contact", "Last 7d contact", "plain"), ("last_24_contact", "Last 24 contact", "plain"),
+    ("workload_deployment", "Workload Deployment", "plain"), ("bypass", "Bypass", "plain"), ("bypass_perc", "Bypass %", "percent"),
+    ("last_30d_bypass_count", "Last 30d Bypass Count", "plain"), ("sensor_download_unavailable", "Sensor Download Unavailable", "plain"),
+    ("download_unavailable_perc", "Download Unavailable %", "percent"), ("sensor_standard_support", "Sensor Standard Support", "plain"),
+    ("standard_perc", "Standard %", "percent"), ("sensor_extended_support", "Sensor Extended Support", "plain"),
+    ("extended_perc", "Extended %", "percent"), ("sensor_eol_support", "Sensor EOL Support", "plain"), ("eol_perc", "EOL %", "percent"),
+    ("total_cases_30d", "Total Cases 30D", "plain"), ("cbc_cases_30d", "Cbc Cases 30D", "plain"), ("open_cases", "Open Cases", "plain"),
+    ("open_cbc_cases", "Open Cbc Cases", "plain"), ("open_alerts", "Open Alerts", "plain"), ("dismissed_alerts", "Dismissed Alerts", "plain"),
+    ("terminated_alerts", "Terminated Alerts", "plain"), ("denied_alerts", "Denied Alerts", "plain"),
+    ("allow_and_log_alerts", "Allow and Log Alerts", "plain"), ("ran_alerts", "Ran Alerts", "plain"), ("not_ran_alerts", "Not Ran Alerts", "plain"),
+    ("policy_applied_alerts", "Policy Applied Alerts", "plain"), ("policy_not_applied_alerts", "Policy Not Applied Alerts", "plain"),
+    ("prod", "Prod", "plain"), ("orgid", "OrgID", "plain"), ("account_id", "Account ID", "plain"), ("inst_id", "Inst Id", "plain"),
 ]
-# Report spelling of the columns whose heading is not plain title case.
-SPELLING = {
-    "account_name": "Account_Name", "csm": "CSM", "csm_manager": "CSM_Manager", "cse": "CSE", "cs_tier": "CS_Tier",
-    "prev_cs_tier": "Prev_CS_Tier", "arr": "ARR", "acv": "ACV", "gs_meter": "GS_Meter", "gs_overall": "GS_Overall",
-    "last_cua_cta": "Last_CUA_CTA", "cua_status": "CUA_Status", "last_ta": "Last_TA", "last_wb": "Last_WB",
-    "cua_brag": "CUA_Brag", "count_of_violations": "Count_of_Violations",
-    "violations_triggered": "Violations_Triggered", "sensor_eol_support": "Sensor_EOL_Support",
-    "eol_perc": "EOL_Perc", "orgid": "OrgID", "account_id": "Account_ID",
-}
+MASTER_FIELDS = [name for name, _, _ in REPORT_COLUMNS]
+#: An account has no installation of its own, but a number of them.
+ACCOUNT_FIELDS = [f for f in MASTER_FIELDS if f not in ("orgid", "inst_id")] + ["members"]
 EVENT_TIMES = ["last_login", "last_added_user", "last_created_policy", "last_modified_policy"]
 # Row order of the account report sections.
 SECTION_ORDER = {"version_status": ("os", "version"), "os_status": ("os_version",), "signatures": ("av_vdf_version",), "activity": ("bucket",),
@@ -53,7 +60,7 @@ BI_FIELDS = {
 }
 
 
-def master_sheet(table: DataFrame, owner: str = "all") -> DataFrame:
+def master_sheet(table: DataFrame, owner: str = "all", fields: list[str] = MASTER_FIELDS) -> DataFrame:
     """Ordered report columns of one owner's rows (M1): event times as dates, bypass as shown."""
     shown = owned_by(table, owner)
     for c in EVENT_TIMES:
@@ -61,13 +68,12 @@ def master_sheet(table: DataFrame, owner: str = "all") -> DataFrame:
             shown = shown.withColumn(c, ms_to_date(F.col(c)))
     if "bypass_all" in shown.columns:
         shown = shown.withColumn("last_30d_bypass_count", bypass_display())
-    return tolerant_select(shown, MASTER_FIELDS)
+    return tolerant_select(shown, fields)
 
 
-def column_metadata(fields: list[str] = MASTER_FIELDS) -> list[tuple[str, str, str]]:
+def column_metadata() -> list[tuple[str, str, str]]:
     """(column, heading, number format) of every report column."""
-    spelled = [(f, heading(SPELLING.get(f) or f)) for f in fields]
-    return [(f, label, number_format(label)) for f, label in spelled]
+    return list(REPORT_COLUMNS)
 
 
 def with_account(long: DataFrame, accounts: DataFrame, owner: str = "all") -> DataFrame:
@@ -81,7 +87,7 @@ def versions_sheet(long: DataFrame, accounts: DataFrame, owner: str = "all") ->
 
 
 def deployment_sheet(summary: DataFrame, master: DataFrame, keys: list[str], owner: str = "all") -> DataFrame:
-    """Account facts and one column per platform, support level and version family (M4, F16)."""
+    """Account facts and one column per given platform, support level and version family (M4, F16)."""
     wide = h.widen(summary, keys, ["inst_id"], "key")
     facts = master.select("inst_id", "account_name", "csm", "arr", "licenses", "deployment")
     joined = owned_by(facts.join(wide, "inst_id", "left"), owner)
@@ -89,6 +95,12 @@ def deployment_sheet(summary: DataFrame, master: DataFrame, keys: list[str], own
     return joined.select("inst_id", *[cell(c) for c in h.ordered_columns([*facts.columns, *keys])])
 
 
+def deployment_rows(summary: DataFrame, master: DataFrame, owner: str = "all") -> DataFrame:
+    """Account facts and a row per platform, support level and version family, whatever they are (M4); installations without devices have one row."""
+    facts = master.select("inst_id", "account_name", "csm", "arr", "licenses", "deployment")
+    return owned_by(facts.join(summary, "inst_id", "left"), owner)
+
+
 def trend_sheet(trend: DataFrame, major: str = "3") -> DataFrame:
     """Trend rows of the versions of one major line (M5); the section is the backend."""
     return trend.filter(F.col("version").like(f"{major}%")).select(F.col("backend").alias("section"), "date", "version", "n")
@@ -126,23 +138,24 @@ def engineer_packs(master: DataFrame, accounts: DataFrame) -> dict[str, DataFram
     """Master, account master, reds and yellows keyed by engineer, names in any case."""
     keyed = lambda df: (df.filter(F.col("cse").isNotNull() & (F.col("cse") != "None"))
                         .withColumn("cse_key", F.lower("cse")))
-    sheet = lambda df: tolerant_select(keyed(df), ["cse_key", *MASTER_FIELDS])
-    return {"master": sheet(master), "account_master": sheet(accounts), "reds": sheet(in_band(accounts, "Red")),
+    sheet = lambda df, fields=ACCOUNT_FIELDS: tolerant_select(keyed(df), ["cse_key", *fields])
+    return {"master": sheet(master, MASTER_FIELDS), "account_master": sheet(accounts), "reds": sheet(in_band(accounts, "Red")),
             "yellows": sheet(in_band(accounts, "Yellow"))}
 
 
-def engineer_installations(sf_data: DataFrame, per_part: int | None = None) -> DataFrame:
-    """Installations of each engineer, names in any case (A32): one row each, or listed in bounded parts."""
-    named = (sf_data.filter(F.col("cse").isNotNull() & (F.col("cse") != "None"))
-             .select(F.lower("cse").alias("cse_key"), "inst_id"))
-    return named if per_part is None else list_parts(named, ["cse_key"], {"inst_ids": F.col("inst_id")}, F.col("inst_id"), per_part)
+def engineer_installations(sf_data: DataFrame) -> DataFrame:
+    """Installations of each engineer, names in any case, one row each."""
+    return (sf_data.filter(F.col("cse").isNotNull() & (F.col("cse") != "None"))
+            .select(F.lower("cse").alias("cse_key"), "inst_id"))
+
 
+def bi_export(account_master: DataFrame, master: DataFrame, sf_data: DataFrame) -> DataFrame:
+    """17 columns per account and installation, joined on the installation itself (K6).
 
-def bi_export(account_master: DataFrame, members: DataFrame, sf_data: DataFrame) -> DataFrame:
-    """17 columns per account and installation, joined on the installation itself (K6)."""
-    pairs = members.select("account_name", "inst_id")
+    Every account comes from its members, so the members lead: the side with the hot accounts is one that can be split.
+    """
     ids = sf_data.select("inst_id", "account__c")
-    rows = account_master.drop("inst_id", "account__c").join(pairs, "account_name", "left").join(ids, "inst_id", "left")
+    rows = (account_members(master).drop("account__c").join(account_master, "account_name").join(ids, "inst_id", "left"))
     return rows.select(*[F.col(old).alias(new) for new, old in BI_FIELDS.items()], "account__c", "inst_id")
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import histograms as h
 from ..operators import history
+from ..operators.keyed import one_row, require_unique
 from ..operators.lookups import sensor_lookup
-from ..operators.rollup import account_lists
+from ..operators.rollup import account_members
 from ..sources import landed, support, warehouse
 from . import marts, scorecard
 
@@ -55,8 +56,9 @@ def raw_tables(feeds: dict[str, DataFrame], roster: DataFrame, as_of: dt.datetim
     return {
         "customers": customers,
         "audit": landed.audit(feeds["audit"]),
-        "endpoints": landed.in_contact(landed.endpoints(feeds["endpoints"]), as_of),
-        "alerts": landed.alerts(feeds["alerts"]),
+        # A page or reply that was landed twice counts once.
+        "endpoints": one_row(landed.in_contact(landed.endpoints(feeds["endpoints"]), as_of), ["inst_id", "id", "fetch_status"], ["last_contact_time"]),
+        "alerts": one_row(landed.alerts(feeds["alerts"]), ["inst_id"]),
         "kits": landed.kits(feeds["kits"]),
         "connectors": landed.connectors(feeds["connectors"]),
         "forwarders": landed.forwarders(feeds["forwarders"]),
@@ -83,12 +85,15 @@ def run(job: Refresh, feeds: dict[str, DataFrame], w: dict[str, DataFrame]) -> N
     t = {name: job.save(name, df) for name, df in
          {**raw_tables(feeds, roster, job.as_of), **warehouse_tables(w, job.as_of, job.product_groups)}.items()}
     lookup = job.save("sensor_lookup", sensor_lookup(t["endpoints"], t["kits"], t["version_support"]))
+    for name in ("sf_data", "alerts", "new_deployment"):
+        require_unique(t[name], "inst_id")
 
     metrics = scorecard.master_metrics(t, lookup, job.as_of)
     master = job.save("master", scorecard.score_installations(metrics, job.archive("master_archive"), job.as_of))
     accounts = job.save("account_master",
                         scorecard.score_accounts(master, job.archive("account_master_archive"), job.as_of))
-    job.save("account_lists", account_lists(master))
+    job.save("account_members", account_members(master))
+    job.save("account_forecasts", warehouse.account_forecasts(w["opportunity"], job.as_of))
 
     history.write_day(history.snapshot(master, job.as_of), job.path("master_archive"))
     history.write_day(history.snapshot(accounts, job.as_of, "account_name"), job.path("account_master_archive"))
@@ -104,12 +109,11 @@ def write_marts(job: Refresh, t: dict[str, DataFrame], lookup: DataFrame, master
     summary = job.save("deployment_summary", h.deployment_summary(t["endpoints"], lookup))
     trend = job.load("deployment_trend")
     marts.write_by_owner(marts.master_sheet(master), "csm", job.path("mart_master"))
-    marts.write_by_owner(marts.master_sheet(accounts), "csm", job.path("mart_account_master"))
+    marts.write_by_owner(marts.master_sheet(accounts, fields=marts.ACCOUNT_FIELDS), "csm", job.path("mart_account_master"))
     marts.write_by_owner(marts.versions_sheet(versions, master), "csm", job.path("mart_sensor_versions"), ("account_name", "label"))
     marts.write_by_owner(marts.versions_sheet(h.os_versions(t["endpoints"]), master), "csm", job.path("mart_os_versions"),
                          ("account_name", "label"))
-    keys = h.labels_of(summary, "key")
-    marts.write_by_owner(marts.deployment_sheet(summary, master, keys), "csm", job.path("mart_deployment"))
+    marts.write_by_owner(marts.deployment_rows(summary, master), "csm", job.path("mart_deployment"))
     job.save("mart_trend", marts.trend_sheet(trend))
     job.save("mart_trend_percent", marts.trend_percent_sheet(trend))
     for name, pack in marts.engineer_packs(master, accounts).items():
@@ -134,12 +138,17 @@ def open_warehouse(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {t: warehouse.read_table(spark, f"{path.rstrip('/')}/{t}", "parquet") for t in WAREHOUSE}
 
 
+def refresh_new(job: Refresh, table: str, rows: DataFrame, roster: DataFrame) -> None:
+    """Add the rows of installations of which the table has none yet (S17): audit, endpoints, alerts, connectors, dashboards."""
+    loaded = job.archive(table)
+    wanted = roster if loaded is None else landed.new_keys_only(roster, loaded.select("inst_id").distinct())
+    fresh = rows.join(wanted.select("inst_id"), "inst_id", "left_semi")
+    # The new rows depend on the table they are added to: fix them before the append.
+    path = job.path(f"_new_{table}")
+    history.replace(fresh, path)
+    history.append(job.spark.read.parquet(path), job.path(table))
+
+
 def refresh_new_audit(job: Refresh, replies: DataFrame, roster: DataFrame) -> None:
     """Load the audit log of installations that have none yet."""
-    loaded = job.archive("audit")
-    wanted = roster if loaded is None else landed.new_keys_only(roster, loaded)
-    rows = landed.audit(replies).join(wanted.select("inst_id"), "inst_id", "left_semi")
-    # The new rows depend on the table they are added to: fix them before the append.
-    path = job.path("_new_audit")
-    history.replace(rows, path)
-    history.append(job.spark.read.parquet(path), job.path("audit"))
+    refresh_new(job, "audit", landed.audit(replies), roster)

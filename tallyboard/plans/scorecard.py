@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.audit import audit_metrics
 from ..operators.endpoints import deployment_share, endpoint_totals
 from ..operators.history import with_decline, with_previous
-from ..operators.lookups import connection_names, integrations
+from ..operators.lookups import all_names, integrations
 from ..operators.rollup import account_rollup
 from ..operators.rules import score
 from ..sources.warehouse import with_last_activity
@@ -48,7 +48,7 @@ def master_metrics(t: dict[str, DataFrame], lookup: DataFrame, as_of: dt.datetim
     base = base_master(t["sf_data"], t["alerts"], t["new_deployment"])
     facts = [
         audit_metrics(t["audit"], as_of),
-        integrations(connection_names(t["forwarders"], t["connectors"])),
+        integrations(all_names(t["forwarders"], t["connectors"])),
         endpoint_totals(t["endpoints"], lookup),
     ]
     joined = reduce(lambda left, right: left.join(right, "inst_id", "left"), facts, base)

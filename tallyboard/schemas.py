@@ -16,7 +16,7 @@ _ENDPOINT = (
 LANDED = {
     "orgs": "inst_id string, status int, body struct<organization:struct<orgKey:string>>",
     "audit": "inst_id string, search string, status int, "
-             "body struct<entries:array<struct<loginName:string,eventTime:bigint,description:string>>>",
+             "body struct<entries:array<struct<loginName:string,eventTime:bigint,description:string,flagged:boolean,verbose:boolean>>>",
     "endpoints": "inst_id string, page int, status int, "
                  f"body struct<num_found:bigint,results:array<struct<{_ENDPOINT}>>>",
     "alerts": "inst_id string, status int, "

@@ -32,9 +32,17 @@ def build_session(app: str = "tallyboard", master: str | None = None, **conf: st
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; where it is unset, one under the warehouse."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session works under its warehouse; on a cluster
+    a missing setting is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

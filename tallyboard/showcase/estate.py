@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import lookups
 from ..operators.keyed import restrict_to
 from ..plans import scorecard
-from ..session import scratch_path
 from ..sources import landed, support, warehouse
 
 AS_OF = dt.datetime(2024, 2, 5)
@@ -158,8 +157,9 @@ class Estate:
 
     @cached_property
     def kits(self) -> DataFrame:
-        return self.raw("part").filter("p_size >= 20").selectExpr(
-            "'all' as backend", "case p_partkey % 3 when 0 then 'WINDOWS' when 1 then 'MAC' else 'UBUNTU' end as os",
+        return self.raw("part").selectExpr(
+            # Small parts are kits of a platform nobody runs: their versions stay without one.
+            "'all' as backend", "case when p_size < 20 then 'OTHER' else case p_partkey % 3 when 0 then 'WINDOWS' when 1 then 'MAC' else 'UBUNTU' end end as os",
             f"{_VERSION.format(p='p_partkey')} as version")
 
     @cached_property
@@ -210,12 +210,6 @@ class Estate:
         return self.raw("documents").selectExpr("cast(doc_id as string) as inst_id", "text as name")
 
     # --- derived by the library ------------------------------------------
-    def stored(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a table once under the work folder and read it back, as a run does."""
-        path = scratch_path(self.spark, name)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
     @cached_property
     def roster(self) -> DataFrame:
         return warehouse.roster(self.installation)
@@ -239,7 +233,7 @@ class Estate:
 
     @cached_property
     def sf_data(self) -> DataFrame:
-        return self.stored("sf_data", self.sf_plan)
+        return self.sf_plan
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -260,7 +254,7 @@ class Estate:
 
     @cached_property
     def master(self) -> DataFrame:
-        return self.stored("master", self.scored)
+        return self.scored
 
     @cached_property
     def account_master(self) -> DataFrame:

@@ -56,7 +56,7 @@ _add("products", ["installation", "subscription"], """select i.inst_id, string_a
 
 _add("renewals", ["installation", "opportunity", "calendar"], f"""select r.*, coalesce((select label from calendar where renewal_date between first_day and last_day), 'Unknown') as renewal_quar
   from (select i.inst_id, cast(sum(cast(o.amount as decimal(18,2))) as double) as acv, count(o.opp_id) as opp_ct, min(o.close_date) as renewal_date,
-    string_agg(o.forecast, ',' order by o.forecast) as forecast
+    string_agg(distinct o.forecast, ',' order by o.forecast) as forecast
   from opportunity o join installation i on o.account_id = i.account_id
   where o.close_date > {TODAY} and o.type like '%Renewal%' and ({_FAMILY}) group by 1) r""")
 
@@ -102,8 +102,7 @@ _add("audit_metrics", ["audit_flags"], f"""select *, (cast({NOW_MS} // 1000 - la
   max(case when description ilike '%Created policy%' then event_time end) as last_created_policy,
   max(case when description ilike '%Policy% was modified%' then event_time end) as last_modified_policy,
   max(case when description ilike '%Added user%' then event_time end) as last_added_user,
-  bool_or(case when in30 then byp and marker end)
-    or coalesce(sum(case when in30 and byp and not marker then length(description) - length(replace(description, ',', '')) + 1 end), 0) >= 1000000 as bypass_all
+  bool_or(case when in30 then byp and marker end) as bypass_all
   from audit_flags group by 1) t""")
 
 _add("endpoint_flags", ["endpoints", "sensor_lookup", "anchor"], """select e.*, l.support_level, l.dl_available, e.last_contact_time >= (select d - 30 from anchor) as in30,
@@ -200,12 +199,13 @@ _SUM = ["last_30d_login_count", "last_30d_connector_count", "deployment", "last_
         "sensor_download_unavailable", "sensor_standard_support", "sensor_extended_support", "sensor_eol_support", *ALERTS.values(), "peak_daily_consumption"]
 _RATIO = {"bypass_perc": "bypass", "download_unavailable_perc": "sensor_download_unavailable", "standard_perc": "sensor_standard_support",
           "extended_perc": "sensor_extended_support", "eol_perc": "sensor_eol_support"}
-_add("rollup", ["master"], "select account_name, " + ", ".join(
+_add("account_terms", ["master"], "select account_name, unnest(string_split(integrations, ', ')) as term from master where account_name is not null and integrations <> ''")
+_add("rollup", ["master", "account_terms"], "select account_name, " + ", ".join(
     [f"max({c}) as {c}" for c in _MAX] + [f"min({c}) as {c}" for c in _MIN] + [f"{total(c)} as {c}" for c in _SUM]
     + [f"{pct('sum(' + n + ')', 'sum(deployment)')} as {c}" for c, n in _RATIO.items()]
     + [f"{pct('sum(deployment)', 'max(licenses)')} as deployment_perc", "bool_or(bypass_all) as bypass_all",
        "sum(average_monthly_consumption) / count(inst_id) as average_monthly_consumption"]
-    + [f"string_agg({c}, ',' order by {c}) as {c}" for c in ("integrations", "orgid", "inst_id", "account__c")])
-    + " from master where account_name is not null group by 1")
+    + ["(select string_agg(distinct t.term, ', ' order by t.term) from account_terms t where t.account_name = m.account_name) as integrations", "count(inst_id) as members"])
+    + " from master m where account_name is not null group by 1")
 _add("rollup_first", ["rollup"], "select *, cast(null as bigint) as previous_deployment from rollup")
 _add("account_master", ["rollup_first"], f"select * exclude (previous_deployment), 'NA' as brag_decrease from ({scored('rollup_first')}) m")

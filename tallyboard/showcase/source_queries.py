@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import numbers, text, time
 from ..functions.values import THREAT_METRICS, THREAT_TYPES
+from ..operators import keyed
 from ..sources import landed, support, warehouse
 from .estate import AS_OF, NOW, Estate, oracle
 from .registry import Query
@@ -29,9 +30,9 @@ CUSTOMERS_SQL = """select r.inst_id, r.backend as prod, r.org_id, coalesce(o.org
   left join (select cast(s_suppkey as varchar) as inst_id, 'K' || s_suppkey as org_key from supplier where s_acctbal <= 4000) o on r.inst_id = o.inst_id"""
 
 
-def audit_replies(e: Estate) -> DataFrame:
+def audit_replies(e: Estate, marks: str = "") -> DataFrame:
     entry = ("named_struct('loginName', event_type, 'eventTime', event_id, 'description', "
-             "concat('<b>', event_type, '</b> set <i>', props, '</i> ', repeat(concat(event_type, ' <u>on</u> '), 6)))")
+             f"concat('<b>', event_type, '</b> set <i>', props, '</i> ', repeat(concat(event_type, ' <u>on</u> '), 6)){marks})")
     return e.raw("events").selectExpr("cast(user_id as string) as inst_id", "'bypass' as search", "200 as status",
                                       f"named_struct('entries', array({entry}, {entry})) as body")
 
@@ -189,10 +190,18 @@ QUERIES = [
           oracle(f"select * from ({CUSTOMERS_SQL}) c where org_key <> ''", "roster")),
     Query("s03_audit_flatten", "S3 X10 F19", lambda e: landed.audit(audit_replies(e)),
           """select distinct cast(user_id as varchar) as inst_id, event_type as "user", event_id as event_time,
-             regexp_replace(substr('<b>' || event_type || '</b> set <i>' || props || '</i> ' || repeat(event_type || ' <u>on</u> ', 6), 1, 100), '<.*?>', '', 'g') as description from events"""),
+             regexp_replace('<b>' || event_type || '</b> set <i>' || props || '</i> ' || repeat(event_type || ' <u>on</u> ', 6), '<.*?>', '', 'g') as description from events"""),
+    Query("s03_audit_criteria", "S3 F19", lambda e: landed.audit(audit_replies(e, ", 'flagged', event_id % 7 = 0, 'verbose', case when event_id % 11 > 1 then false when event_id % 11 = 1 then true end")),
+          """select distinct cast(user_id as varchar) as inst_id, event_type as "user", event_id as event_time,
+             regexp_replace('<b>' || event_type || '</b> set <i>' || props || '</i> ' || repeat(event_type || ' <u>on</u> ', 6), '<.*?>', '', 'g') as description
+             from events where event_id % 7 <> 0 and event_id % 11 <> 1"""),
     Query("s03_audit_whole_text", "S3", lambda e: landed.audit(talk_replies(e), max_chars=None),
           """select distinct cast(conv_id as varchar) as inst_id, role as "user", turn as event_time, regexp_replace('<p>' || text || '</p>', '<.*?>', '', 'g') as description from conversations"""),
     Query("s04_endpoint_flatten", "S4 F19 X13", endpoints_flat, ENDPOINTS_SQL),
+    Query("s04_duplicate_pages", "S4 K3", lambda e: keyed.one_row(e.endpoints.union(e.endpoints), ["inst_id", "id"], ["last_contact_time"]).select("inst_id", "id", "last_contact_time"),
+          oracle("select inst_id, id, max(last_contact_time) as last_contact_time from endpoints group by 1, 2", "endpoints")),
+    Query("s05_duplicate_replies", "S5 K3", lambda e: keyed.one_row(e.alerts.union(e.alerts), ["inst_id"]),
+          oracle("select *, 'OK' as fetch_status from alerts", "alerts")),
     Query("s05_alert_facets", "S5", lambda e: e.alerts, oracle("select *, 'OK' as fetch_status from alerts", "alerts")),
     Query("f19_alert_criteria", "F19", lambda e: landed.alert_criteria(e.raw("events").selectExpr(
         "event_id", "cast(value as int) as severity", "case event_type when 'error' then 'THREAT' when 'view' then 'THREAT' else 'OTHER' end as category",

@@ -21,13 +21,6 @@ def quarters(e):
     return e.raw("orders").select("o_orderkey", day.alias("day"), w.fiscal_quarter(day).alias("quarter"))
 
 
-def renewal_list(e):
-    """Every forecast of an account, from the parts of its list."""
-    parts = w.forecast_parts(e.opportunity, AS_OF, per_part=50)
-    one = F.explode(F.split("forecast", ",")).alias("forecast")
-    return parts.select("account_id", one).groupBy("account_id", "forecast").agg(F.count("*").alias("n"))
-
-
 def last_activities(e):
     mine = keyed.restrict_to(e.installation, e.roster)
     named = w.account_info(e.account, mine, e.user).select("inst_id", "account_name")
@@ -43,8 +36,10 @@ QUERIES = [
     Query("f17_installation_info", "F17 X12", lambda e: w.installation_info(e.installation), all_of("installation_info")),
     Query("j20_products", "J20 A22 X7", lambda e: w.products(e.subscription, e.installation), all_of("products")),
     Query("j03_renewals", "J3 A18 F3 F4 F10 J15 X7", lambda e: w.renewals(e.opportunity, e.installation, AS_OF), all_of("renewals")),
-    Query("a18_forecast_parts", "A18 X7", renewal_list,
+    Query("a18_forecast_parts", "A18 X7", lambda e: w.account_forecasts(e.opportunity, AS_OF).select("account_id", "forecast", "n"),
           oracle(f"select account_id, forecast, count(*) as n from opportunity where close_date > {TODAY} and type like '%Renewal%' and ({o._FAMILY}) group by 1, 2", "opportunity")),
+    Query("a18_account_forecasts", "A18 X7", lambda e: w.account_forecasts(e.opportunity, AS_OF).withColumn("amount", F.col("amount").cast("double")),
+          oracle(f"select account_id, forecast, count(opp_id) as n, cast(sum(cast(amount as decimal(18,2))) as double) as amount, min(close_date) as first_date from opportunity where close_date > {TODAY} and type like '%Renewal%' and ({o._FAMILY}) group by 1, 2", "opportunity")),
     Query("j15_fiscal_quarter", "J15", quarters,
           oracle("""select o_orderkey, day, coalesce((select label from calendar where day between first_day and last_day), 'Unknown') as quarter
              from (select o_orderkey, cast(o_orderdate as date) + 8400 as day from orders) d""", "calendar")),

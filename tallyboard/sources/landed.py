@@ -8,6 +8,7 @@ payload columns keep their types.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -48,21 +49,24 @@ def new_keys_only(roster: DataFrame, loaded: DataFrame, key: str = "inst_id") ->
     return roster.join(loaded.select(key), key, "left_anti")
 
 
-def audit(replies: DataFrame, max_chars: int | None = 100) -> DataFrame:
-    """Audit rows of all keyword searches, each event once (S3).
+def audit(replies: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """Audit rows of all keyword searches, neither flagged nor verbose, each event once.
 
-    The audit table holds the first ``max_chars`` characters of a description,
-    tags removed after the cut; ``None`` keeps whole descriptions.
+    Events are told apart by their whole descriptions, tags removed. A cut to the
+    first ``max_chars`` characters, where one is wanted, comes last.
     """
     entry = replies.select("inst_id", F.explode("body.entries").alias("e"))
-    text = F.col("e.description") if max_chars is None else F.substring("e.description", 1, max_chars)
-    return entry.select("inst_id", F.col("e.loginName").alias("user"), F.col("e.eventTime").alias("event_time"),
-                        strip_tags(text).alias("description")).dropDuplicates()
+    events = audit_criteria(entry).select(
+        "inst_id", F.col("e.loginName").alias("user"), F.col("e.eventTime").alias("event_time"),
+        strip_tags(F.col("e.description")).alias("description")).dropDuplicates()
+    return events if max_chars is None else events.withColumn("description", F.substring("description", 1, max_chars))
 
 
 def audit_criteria(entries: DataFrame) -> DataFrame:
-    """Audit rows that are neither flagged nor verbose."""
-    return entries.filter(~F.col("flagged") & ~F.col("verbose"))
+    """Entries that are neither flagged nor verbose (F19); a reply that does not say counts as neither."""
+    have = entries.schema["e"].dataType.fieldNames()
+    marks = [F.coalesce(F.col(f"e.{m}"), F.lit(False)) for m in ("flagged", "verbose") if m in have]
+    return reduce(lambda df, mark: df.filter(~mark), marks, entries)
 
 
 _ENDPOINT_TEXT = {

@@ -18,7 +18,7 @@ from ..functions.values import (CSE_ACTIVITY, CTA_EXCLUDED, CTA_OPEN, CTA_TYPES,
                                 FISCAL_QUARTERS, LICENCE_STATUSES, RENEWAL_FAMILIES)
 from ..operators.anchors import after_today, day_within, within_year
 from ..operators.keyed import fan_out, latest_max, restrict_to
-from ..operators.lists import PER_PART, list_parts, set_list, single_cells
+from ..operators.lists import set_list
 
 
 def read_table(spark: SparkSession, source: str, format: str | None = None, **options: str) -> DataFrame:
@@ -108,27 +108,24 @@ def renewal_filter(opportunities: DataFrame, as_of: dt.datetime) -> DataFrame:
                                 & contains_any(F.col("product_family"), RENEWAL_FAMILIES))
 
 
-def account_renewals(opportunities: DataFrame, as_of: dt.datetime, per_part: int = PER_PART) -> DataFrame:
-    """Renewal value, count, forecasts and next date of each account."""
-    wanted = renewal_filter(opportunities, as_of)
-    totals = wanted.groupBy("account_id").agg(
-        F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("acv"),
-        F.count("opp_id").alias("opp_ct"), F.min("close_date").alias("renewal_date"))
-    forecasts = single_cells(list_parts(wanted, ["account_id"], {"forecast": F.col("forecast")}, F.col("opp_id"), per_part))
-    return (totals.join(forecasts, "account_id", "left")
-            .withColumn("renewal_quar", fiscal_quarter(F.col("renewal_date"))))
+def account_forecasts(opportunities: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Renewals of each account by forecast category: how many, their value and first date (A18). The only pass."""
+    return renewal_filter(opportunities, as_of).groupBy("account_id", "forecast").agg(
+        F.count("opp_id").alias("n"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("amount"), F.min("close_date").alias("first_date"))
 
 
-def renewals(opportunities: DataFrame, installations: DataFrame, as_of: dt.datetime,
-             per_part: int = PER_PART) -> DataFrame:
-    """Renewals of the account, for all of its installations."""
-    return fan_out(account_renewals(opportunities, as_of, per_part), installations)
+def account_renewals(opportunities: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Renewal value, count, distinct forecasts and next date of each account."""
+    names = F.array_sort(F.collect_list("forecast"))  # distinct already
+    totals = account_forecasts(opportunities, as_of).groupBy("account_id").agg(
+        F.sum("amount").cast("double").alias("acv"), F.sum("n").alias("opp_ct"), F.min("first_date").alias("renewal_date"),
+        F.when(F.size(names) > 0, F.array_join(names, ",")).alias("forecast"))
+    return totals.withColumn("renewal_quar", fiscal_quarter(F.col("renewal_date")))
 
 
-def forecast_parts(opportunities: DataFrame, as_of: dt.datetime, per_part: int = PER_PART) -> DataFrame:
-    """The whole forecast list of every account, in parts."""
-    wanted = renewal_filter(opportunities, as_of)
-    return list_parts(wanted, ["account_id"], {"forecast": F.col("forecast")}, F.col("opp_id"), per_part)
+def renewals(opportunities: DataFrame, installations: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Renewals of the account, for all of its installations."""
+    return fan_out(account_renewals(opportunities, as_of), installations)
 
 
 def account_cases(cases: DataFrame, as_of: dt.datetime, product_groups: list[str]) -> DataFrame:
@@ -151,11 +148,11 @@ def account_cases(cases: DataFrame, as_of: dt.datetime, product_groups: list[str
     return wanted.groupBy("account_id").agg(*counts)
 
 
-def zero_without_recent_cases(table: DataFrame, cases: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Zeros for every installation when no case at all was opened in 30 days: the feed has stopped."""
-    recent = cases.select(F.coalesce(F.bool_or(day_within(iso_utc(F.col("created")), as_of, 30)), F.lit(False))).scalar()
-    counts = ("total_cases_30d", "cbc_cases_30d")
-    return table.withColumns({c: F.when(recent, F.col(c)).otherwise(F.lit(0)) for c in counts})
+def zero_without_recent_cases(table: DataFrame, counts: DataFrame) -> DataFrame:
+    """Zeros for every installation when no account has a case of the last 30 days: the feed has stopped."""
+    recent = counts.select(F.coalesce(F.bool_or(F.col("total_cases_30d").isNotNull()), F.lit(False))).scalar()
+    zeroed = ("total_cases_30d", "cbc_cases_30d")
+    return table.withColumns({c: F.when(recent, F.col(c)).otherwise(F.lit(0)) for c in zeroed})
 
 
 def case_counts(cases: DataFrame, installations: DataFrame, as_of: dt.datetime, product_groups: list[str]) -> DataFrame:
@@ -230,15 +227,16 @@ def build_sf_data(roster: DataFrame, w: dict[str, DataFrame], as_of: dt.datetime
     join at the end.
     """
     mine = restrict_to(w["installation"], roster)
+    by_cases = account_cases(w["case"], as_of, product_groups)
     facts = [
         account_owners(w["account"], w["user"]).withColumn("_account", F.col("account_id")),
         *[f.withColumnRenamed("account_id", "_account") for f in (
             account_licences(w["installation"], w["account"]), account_products(w["subscription"]),
-            account_renewals(w["opportunity"], as_of), account_cases(w["case"], as_of, product_groups),
+            account_renewals(w["opportunity"], as_of), by_cases,
             account_ctas(w["cta"]))],
     ]
     spine = mine.select(F.col("account_id").alias("_account")).distinct()
     by_account = reduce(lambda left, fact: left.join(fact, "_account", "left"), facts, spine)
     members = installation_info(mine, F.col("account_id").alias("_account"))
     wide = roster.join(members, "inst_id", "left").join(by_account, "_account", "left").drop("_account")
-    return zero_without_recent_cases(wide, w["case"], as_of)
+    return zero_without_recent_cases(wide, by_cases)

@@ -15,10 +15,10 @@ AS_OF = dt.datetime(2024, 1, 31, 12, 0)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from conftest import AS_OF, one, rows
 from tallyboard.operators import history as hist
 from tallyboard.operators import keyed
-from tallyboard.operators.lists import list_parts, set_list, single_cells
+from tallyboard.operators.lists import set_list
 from tallyboard.operators.ranking import position
-from tallyboard.operators.rollup import RULE_SPEC, SPEC, account_lists, account_rollup
+from tallyboard.operators.rollup import RULE_SPEC, SPEC, account_members, account_rollup
 from tallyboard.session import scratch_path, work_dir
 
 TEXT = {"csm", "csm_manager", "cse", "csm_role", "cs_tier", "prev_cs_tier", "csm_comments", "gs_adoption_comments", "forecast", "products", "next_renewal_qt",
@@ -23,17 +23,17 @@ def kind(name):
             else "boolean" if name == "bypass_all" else "bigint")
 
 
-MASTER = "account_name string, " + ", ".join(f"{n} {kind(n)}" for n, _ in SPEC + RULE_SPEC)
+MASTER = "account_name string, inst_id string, orgid string, account__c string, " + ", ".join(f"{n} {kind(n)}" for n, _ in SPEC + RULE_SPEC)
 
 
 def test_spec_covers_the_report():
-    assert len(SPEC) == 70 and len({n for n, _ in SPEC}) == 70
+    assert len(SPEC) == 68 and len({n for n, _ in SPEC}) == 68
 
 
 def test_rollup_families(table):
     master = table(
         MASTER,
-        {"account_name": "A", "inst_id": "2", "orgid": "20", "arr": 5.0, "licenses": 9, "deployment": 30, "bypass": 3, "days_since_login": 4, "integrations": "splunk",
+        {"account_name": "A", "inst_id": "2", "orgid": "20", "arr": 5.0, "licenses": 9, "deployment": 30, "bypass": 3, "days_since_login": 4, "integrations": "elk, splunk",
          "average_monthly_consumption": 10.0, "cbc_cases_90d": 0, "bypass_all": True, "last_30d_bypass_count": 2, "sensor_eol_support": 1},
         {"account_name": "A", "inst_id": "1", "orgid": "10", "arr": 7.0, "licenses": 100, "deployment": 20, "bypass": 4, "days_since_login": 9, "integrations": "elk",
          "average_monthly_consumption": None, "cbc_cases_90d": 3, "bypass_all": False, "last_30d_bypass_count": 5, "sensor_eol_support": None},
@@ -43,31 +43,29 @@ def test_rollup_families(table):
     a, zero = one(got, account_name="A"), one(got, account_name="Zero")
     assert (a["arr"], a["licenses"], a["deployment"], a["deployment_perc"], a["bypass"], a["bypass_perc"]) == (7.0, 100, 50, 50.0, 7, 14.0)
     assert (a["days_since_login"], a["average_monthly_consumption"], a["eol_perc"]) == (4, 10.0, 2.0)
-    assert (a["inst_id"], a["orgid"], a["integrations"], a["account__c"]) == ("1,2,3", "10,20", "elk,splunk", None)
+    assert (a["members"], a["integrations"], zero["integrations"]) == (3, "elk, splunk", None)
     assert (a["cbc_cases_90d"], a["bypass_all"], a["last_30d_bypass_count"]) == (0, True, 7)
-    assert (zero["bypass_perc"], zero["deployment_perc"], zero["inst_id"]) == (None, None, "9")
+    assert (zero["bypass_perc"], zero["deployment_perc"], zero["members"]) == (None, None, 1)
     assert got.count() == 2
     assert got.columns == ["account_name", *[n for n, _ in SPEC], *[n for n, _ in RULE_SPEC]]
 
 
-def test_hot_account_lists_stay_whole_and_bounded(spark):
-    """One account holds a third of all installations: its lists are cut into parts, none is lost."""
-    n = 3000
-    master = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), (F.col("id") % 50).cast("string"))).alias("account_name"),
-        F.col("id").cast("string").alias("inst_id"), *[F.col("id").cast("string").alias(c) for c in ("integrations", "orgid", "account__c")])
-    parts = account_lists(master, per_part=100)
-    members = parts.select("account_name", F.explode(F.split("inst_id", ",")).alias("i"))
-    assert members.count() == n and members.distinct().count() == n
-    sizes = parts.select("account_name", F.size(F.split("inst_id", ",")).alias("n"))
-    assert sizes.agg(F.max("n")).first()[0] < 200
-    assert "hot" not in {r.account_name for r in single_cells(parts).collect()}
+@pytest.mark.parametrize("size", [3, 10_001])
+def test_accounts_have_one_shape_at_every_size(spark, size):
+    """Members are rows, counts and flags are cells, whatever the account holds."""
+    master = spark.range(size + 5).select(
+        F.when(F.col("id") < size, "hot").otherwise("small").alias("account_name"), F.col("id").cast("string").alias("inst_id"),
+        *[F.lit(None).cast(kind(n)).alias(n) for n, _ in SPEC + RULE_SPEC if n not in ("members", "integrations")],
+        F.when(F.col("id") % 2 == 0, "elk").otherwise("elk, splunk").alias("integrations"),
+        F.col("id").cast("string").alias("orgid"), F.col("id").cast("string").alias("account__c"))
+    got = account_rollup(master)
+    assert (one(got, account_name="hot")["members"], one(got, account_name="hot")["integrations"]) == (size, "elk, splunk")
+    assert got.columns == ["account_name", *[n for n, _ in SPEC], *[n for n, _ in RULE_SPEC]]
+    assert account_members(master).filter("account_name = 'hot'").distinct().count() == size
 
 
 def test_lists_are_sorted_and_skip_unknowns(table):
     rows_ = table("k string, v string, id int", {"k": "a", "v": "y", "id": 1}, {"k": "a", "v": "x", "id": 2}, {"k": "a", "v": "x", "id": 3}, {"k": "a", "id": 4}, {"k": "b", "id": 5})
-    got = single_cells(list_parts(rows_, ["k"], {"v": F.col("v")}, F.col("id")))
-    assert rows(got) == [("a", "x,x,y"), ("b", None)]
     assert rows(set_list(rows_, ["k"], "v")) == [("a", "x, y")]
 
 

@@ -88,8 +88,9 @@ def test_master_and_scores(job):
 def test_accounts(job):
     accounts = job.load("account_master")
     beta = one(accounts, account_name="Beta")
-    assert (beta["inst_id"], beta["deployment"], beta["brag_decrease"]) == ("2,3", 30, "NA")
-    assert rows(job.load("account_lists"), "account_name", "parts") == [("Acme", 1), ("Beta", 1)]
+    assert (beta["members"], beta["deployment"], beta["brag_decrease"]) == (2, 30, "NA")
+    assert rows(job.load("account_members"), "account_name", "inst_id") == [("Acme", "1"), ("Beta", "2"), ("Beta", "3")]
+    assert job.load("account_forecasts").columns == ["account_id", "forecast", "n", "amount", "first_date"]
 
 
 def test_same_day_rerun_is_idempotent(job):
@@ -104,7 +105,7 @@ def test_marts(spark, job):
     assert marts.read_mart(spark, job.path("mart_cse_reds")).count() == 0
     assert rows(job.load("mart_sensor_versions"), "inst_id", "label", "n") == [("1", "3.8.0.1 (windows) (st)", 40), ("2", "3.5.0.1 (windows) (Unavailable) (eol)", 30)]
     assert rows(job.load("mart_trend_percent").filter("section = 'all'"), "version", "perc") == [("3.5.0.1", 42.86), ("3.8.0.1", 57.14)]
-    assert "3.8" in job.load("mart_deployment").columns
+    assert ("2", "family", "3.5", 30) in rows(job.load("mart_deployment"), "inst_id", "kind", "key", "n")
     assert rows(job.load("mart_account_consumption"), "inst_id", "month", "deployment") == [("1", "2024-01", 40), ("2", "2024-01", 30), ("3", "2024-01", None)]
     assert rows(job.load("mart_positions"), "csm", "inst_id", "position") == [("Ann", "1", 0), ("Ann", "2", 1), ("Ann", "3", 2)]
     assert job.load("mart_columns").count() == len(marts.MASTER_FIELDS)
@@ -145,4 +146,4 @@ def test_column_metadata():
     meta = {c: (label, fmt) for c, label, fmt in marts.column_metadata()}
     assert meta["eol_perc"] == ("EOL %", "percent") and meta["arr"] == ("ARR", "money")
     assert meta["days_to_50perc"] == ("Days To 50%", "plain") and meta["csm_comments"][0] == "CSM Comments"
-    assert meta["last_7d_contact"][0] == "Last 7D Contact" and meta["count_of_violations"][0] == "CUA Score"
+    assert meta["last_7d_contact"][0] == "Last 7d contact" and meta["allow_and_log_alerts"][0] == "Allow and Log Alerts" and len(meta) == 71 and meta["count_of_violations"][0] == "CUA Score"

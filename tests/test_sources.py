@@ -37,15 +37,23 @@ def test_customers_keep_failed_lookups(table, feed):
     assert rows(landed.with_org_key(got), "inst_id") == [("1",)]
 
 
-def test_audit_cuts_then_strips_and_dedupes(feed):
+def test_audit_tells_events_apart_by_whole_texts(feed):
     long = "<b>Bypass</b> " + "x" * 200
     entry = {"loginName": "u", "eventTime": 5, "description": long}
-    replies = feed("audit", {"inst_id": "1", "search": "bypass", "status": 200, "body": {"entries": [entry, {**entry, "eventTime": 6}]}},
+    other = {**entry, "description": long + " enabled for d1,d2"}
+    replies = feed("audit", {"inst_id": "1", "search": "bypass", "status": 200, "body": {"entries": [entry, {**entry, "eventTime": 6}, other]}},
                    {"inst_id": "1", "search": "policy", "status": 200, "body": {"entries": [entry]}},
                    {"inst_id": "2", "search": "policy", "status": 200, "body": {"entries": []}}, {"inst_id": "3", "search": "policy"})
-    got = rows(landed.audit(replies))
-    assert got == [("1", "u", 5, "Bypass " + "x" * 86), ("1", "u", 6, "Bypass " + "x" * 86)]
-    assert {len(r[3]) for r in rows(landed.audit(replies, max_chars=None))} == {len("Bypass ") + 200}
+    whole = "Bypass " + "x" * 200
+    assert rows(landed.audit(replies)) == [("1", "u", 5, whole), ("1", "u", 5, whole + " enabled for d1,d2"), ("1", "u", 6, whole)]
+    assert rows(landed.audit(replies, max_chars=10), "description") == [("Bypass xxx",)] * 3
+
+
+def test_audit_leaves_out_flagged_and_verbose(feed):
+    entry = {"loginName": "u", "eventTime": 5, "description": "a"}
+    replies = feed("audit", {"inst_id": "1", "search": "s", "status": 200, "body": {"entries": [
+        entry, {**entry, "description": "b", "flagged": True}, {**entry, "description": "c", "verbose": True}, {**entry, "description": "d", "flagged": False, "verbose": False}]}})
+    assert rows(landed.audit(replies), "description") == [("a",), ("d",)]
 
 
 def test_endpoint_fetch_status(feed):

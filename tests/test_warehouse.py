@@ -49,13 +49,13 @@ def test_renewals(table):
         (i, 30.0, 3, "Best,Commit", dt.date(2024, 2, 1), "2025 Q1") for i in ("1", "2")]
 
 
-def test_forecast_list_of_a_large_account_is_whole_in_parts(table):
-    opps = table("opportunity", *[opp(str(i)) for i in range(40)])
-    parts = w.forecast_parts(opps, AS_OF, per_part=7)
-    sizes = [len(r.forecast.split(",")) for r in parts.collect()]
-    assert sum(sizes) == 40 and len(sizes) > 3
-    got = one(w.renewals(opps, table("installation", inst("1")), AS_OF, per_part=7), inst_id="1")
-    assert (got["opp_ct"], got["forecast"]) == (40, None)
+@pytest.mark.parametrize("n", [3, 10_001])
+def test_forecasts_have_one_shape_at_every_size(table, n):
+    opps = table("opportunity", *[opp(str(i), forecast="Best" if i % 3 else "Commit") for i in range(n)])
+    long = rows(w.account_forecasts(opps, AS_OF), "account_id", "forecast", "n")
+    assert sum(r[2] for r in long) == n and [r[1] for r in long] == ["Best", "Commit"]
+    got = one(w.renewals(opps, table("installation", inst("1")), AS_OF), inst_id="1")
+    assert (got["opp_ct"], got["forecast"]) == (n, "Best,Commit")
 
 
 @pytest.mark.parametrize("day, want", [

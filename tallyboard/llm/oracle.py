@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .quality_rules import COMMON_WORDS, Limits
+
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 OP1 = r"""
@@ -26,6 +28,50 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parsed LEFT JOIN fits USING (r)
 """
 
+_LIMITS = Limits()
+_LANGS = ", ".join(f"'{lang}'" for lang in COMMON_WORDS)
+_KNOWN = ", ".join(f"'{w}'" for w in sorted({w for listed in COMMON_WORDS.values() for w in listed.split()}))
+_CLASSES = ("upper", "digit", "punct", "symbol", "space", "other")
+_PART = "CASE WHEN {x} > 0 THEN {x} * log2({x} / (({a} + {b}) / 2)) ELSE 0 END"
+
+
+def _js(value: str) -> str:
+    return "sqrt(greatest(0, least(1, sum(" + " + ".join(_PART.format(x=x, a="p", b="q") for x in "pq") + f") / 2))) AS {value}"
+
+
+OP4 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, CASE WHEN lang IN ({_LANGS}) THEN lang ELSE 'other' END AS lang FROM documents),
+cut AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}]+'), lambda w: w <> '') AS ls,
+         list_filter(string_split(t, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+counted AS (
+  SELECT *, CAST(length(t) AS DOUBLE) AS chars, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')) AS upper, length(t) - length(regexp_replace(t, '\p{{Nd}}', '', 'g')) AS digit,
+         length(t) - length(regexp_replace(t, '\p{{P}}', '', 'g')) AS punct, length(t) - length(regexp_replace(t, '\p{{S}}', '', 'g')) AS symbol FROM cut),
+kinds AS (SELECT *, length(t) - word_chars AS space, word_chars - upper - digit - punct - symbol AS other FROM counted),
+windows AS (SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS w FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM kinds)),
+again AS (SELECT r, w FROM windows GROUP BY 1, 2 HAVING count(*) > 1),
+covered AS (SELECT r, count(DISTINCT i + j) AS n FROM windows JOIN again USING (r, w), range(8) t(j) GROUP BY 1),
+said AS (SELECT r, lang, w, count(*) AS n FROM (SELECT r, lang, unnest(ls) AS w FROM kinds) WHERE w IN ({_KNOWN}) GROUP BY ALL),
+totals AS (SELECT lang, sum(len(ls)) AS all_words, sum(chars) AS all_chars, {", ".join(f"sum({c}) AS {c}" for c in _CLASSES)} FROM kinds GROUP BY 1),
+ref_words AS (SELECT lang, w, sum(n) / CAST(all_words AS DOUBLE) AS q FROM said JOIN totals USING (lang) GROUP BY lang, w, all_words),
+pairs AS (
+  SELECT k.r, coalesce(s.n, 0) / CAST(len(k.ls) AS DOUBLE) AS p, f.q FROM kinds k JOIN ref_words f USING (lang) LEFT JOIN said s ON s.r = k.r AND s.w = f.w WHERE len(k.ls) >= {_LIMITS.min_letter_words}),
+both_ AS (SELECT * FROM pairs UNION ALL SELECT r, 1 - sum(p), 1 - sum(q) FROM pairs GROUP BY r),
+by_words AS (SELECT r, {_js("word_distance")} FROM both_ GROUP BY r),
+char_pairs AS ({" UNION ALL ".join(f"SELECT r, k.{c} / k.chars AS p, t.{c} / t.all_chars AS q FROM kinds k JOIN totals t USING (lang) WHERE chars >= {_LIMITS.min_chars}" for c in _CLASSES)}),
+by_chars AS (SELECT r, {_js("char_distance")} FROM char_pairs GROUP BY r),
+judged AS (
+  SELECT *, n_words < {_LIMITS.min_words} OR 100 * coalesce(covered.n, 0) > {_LIMITS.max_repeat_percent} * n_words AS base_failed
+  FROM kinds LEFT JOIN covered USING (r) LEFT JOIN by_words USING (r) LEFT JOIN by_chars USING (r))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(char_distance, 0) <= {_LIMITS.max_char_distance} AND coalesce(word_distance, 0) <= {_LIMITS.max_word_distance} AS kept,
+       round(char_distance, 6) AS char_distance, round(word_distance, 6) AS word_distance
+FROM judged
+"""
+
 OP9 = rf"""
 WITH sized AS (
   SELECT row_number() OVER () AS r, doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
@@ -57,4 +103,4 @@ SELECT doc_id, size, source_size, target,
 FROM laid JOIN plan ON laid.source IS NOT DISTINCT FROM plan.source
 """
 
-ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_url_filter": OP3, "op9_source_mix": OP9}
+ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_url_filter": OP3, "op4_quality_rules": OP4, "op9_source_mix": OP9}

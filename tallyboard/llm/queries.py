@@ -33,7 +33,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(rows.read(spark, sf_dir, "documents"))
+    judged = quality_rules.judge(rows.read(spark, sf_dir, "documents"))
+    return judged.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Hexadecimal digits of a digest that the join compares.
 SHORT = 8
+#: Up to so many rules go to every task; more are dealt out by the short key, as the expressions are.
+SENT_RULES = 20_000
 
 
 @dataclass(frozen=True)
@@ -68,6 +70,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], key: str = "page_id", url: st
         F.substring("digest", 1, SHORT).alias("short"), F.col("digest").alias("rule_digest"),
         F.struct(F.length("rule").alias("length"), (F.length("rule") - F.col("path_length")).alias("host_length"),
                  F.when(F.col("verdict") == "block", 1).otherwise(0).alias("blocks"), "rule", "verdict").alias("fit"))
+    if len(rules) <= SENT_RULES:
+        listed = F.broadcast(listed)
     lengths = sorted({len(r.path) for r in rules})
 
     parsed = pages.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))

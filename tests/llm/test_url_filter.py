@@ -26,7 +26,9 @@ def brute(url):
     return host, path, best[3], best[4]
 
 
-def test_rules(spark):
+@pytest.mark.parametrize("sent", [20_000, 0])
+def test_rules(spark, monkeypatch, sent):
+    monkeypatch.setattr("tallyboard.llm.url_filter.SENT_RULES", sent)
     pages = spark.createDataFrame([(i, u, "h", "v") for i, u in enumerate(URLS)] + [(0, URLS[0], "h", "v")], "page_id long, url string, html string, verdict string")
     got = sorted(tuple(r) for r in judge(pages, RULES).collect())
     want = sorted([(i, *brute(u)) for i, u in enumerate(URLS)] + [(0, *brute(URLS[0]))], key=lambda r: (r[0], r[1]))

@@ -26,9 +26,12 @@ def write_day(day: DataFrame, path: str) -> None:
      .partitionBy("date").parquet(path))
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """All days of an archive; columns added later are NULL in older days (K4)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_archive(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """All days of an archive; columns added later are NULL in older days (K4).
+
+    With a declared schema no file is opened to find the columns.
+    """
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def append(table: DataFrame, path: str) -> None:

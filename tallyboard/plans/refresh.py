@@ -21,6 +21,10 @@ from ..sources import landed, support, warehouse
 from . import marts, scorecard
 
 
+#: What a run asks of the days before.
+BEFORE = "inst_id string, account_name string, deployment bigint, cua_brag string, date date"
+
+
 @dataclass
 class Refresh:
     """Where a run reads and writes, and the day it stands for."""
@@ -40,10 +44,10 @@ class Refresh:
     def load(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
-    def archive(self, table: str) -> DataFrame | None:
-        """An archive written by earlier runs, or None before the first."""
+    def archive(self, table: str, schema: str | None = None) -> DataFrame | None:
+        """An archive written by earlier runs, or None before the first; with only the declared columns, if given."""
         try:
-            return history.read_archive(self.spark, self.path(table))
+            return history.read_archive(self.spark, self.path(table), schema)
         except AnalysisException as missing:
             if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
@@ -89,9 +93,9 @@ def run(job: Refresh, feeds: dict[str, DataFrame], w: dict[str, DataFrame]) -> N
         require_unique(t[name], "inst_id")
 
     metrics = scorecard.master_metrics(t, lookup, job.as_of)
-    master = job.save("master", scorecard.score_installations(metrics, job.archive("master_archive"), job.as_of))
+    master = job.save("master", scorecard.score_installations(metrics, job.archive("master_archive", BEFORE), job.as_of))
     accounts = job.save("account_master",
-                        scorecard.score_accounts(master, job.archive("account_master_archive"), job.as_of))
+                        scorecard.score_accounts(master, job.archive("account_master_archive", BEFORE), job.as_of))
     job.save("account_members", account_members(master))
     job.save("account_forecasts", warehouse.account_forecasts(w["opportunity"], job.as_of))
 

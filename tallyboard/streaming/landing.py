@@ -10,19 +10,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import LANDED
 
 
+def _landed(spark: SparkSession, target: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(target)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def land_new_files(spark: SparkSession, feed: str, source: str, target: str, checkpoint: str,
-                   flatten: Callable[[DataFrame], DataFrame], max_files: int = 10_000) -> StreamingQuery:
-    """Append the flattened rows of new files of a feed to ``target/batch=<n>``."""
+                   flatten: Callable[[DataFrame], DataFrame], max_files: int = 10_000, once: bool = False) -> StreamingQuery:
+    """Append the flattened rows of new files of a feed to ``target/batch=<n>``.
+
+    With ``once`` a row that an earlier batch has landed for its installation is not landed again.
+    """
     replies = (spark.readStream.schema(LANDED[feed]).option("maxFilesPerTrigger", max_files).json(source))
 
     def write(batch: DataFrame, number: int) -> None:
-        flatten(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+        rows, path = flatten(batch), f"{target.rstrip('/')}/batch={number}"
+        if once and (landed := _landed(spark, target)) is not None:
+            mine = landed.filter(F.col("batch") != number).join(rows.select("inst_id").distinct(), "inst_id", "left_semi")
+            rows = rows.subtract(mine.select(*rows.columns))
+        rows.write.mode("overwrite").parquet(path)
 
     return (replies.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

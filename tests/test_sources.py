@@ -174,3 +174,14 @@ def test_streaming_landing_reads_each_file_once(spark, tmp_path):
         (tmp_path / "in" / f"{number}.json").write_text(reply(inst))
         land_new_files(spark, "audit", source, target, checkpoint, landed.audit).awaitTermination()
     assert rows(spark.read.parquet(target), "inst_id") == [("1",), ("2",)]
+
+
+def test_streaming_landing_lands_an_event_once(spark, tmp_path):
+    """Two searches of two runs find one event; an event of another run is new."""
+    source, target, checkpoint = (str(tmp_path / d) for d in ("in", "out", "ckpt"))
+    (tmp_path / "in").mkdir()
+    for number, texts in enumerate((["a", "b"], ["b", "c"])):
+        entries = [{"loginName": "u", "eventTime": 1, "description": t} for t in texts]
+        (tmp_path / "in" / f"{number}.json").write_text(json.dumps({"inst_id": "1", "status": 200, "body": {"entries": entries}}))
+        land_new_files(spark, "audit", source, target, checkpoint, landed.audit, once=True).awaitTermination()
+    assert rows(spark.read.parquet(target), "description") == [("a",), ("b",), ("c",)]

@@ -102,7 +102,8 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", block
         .select("n", "name", "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.row_id").alias("keep_row")), "groups")
     copies = members.join(groups, ["n", "name"]).select("row_id", "keep_id", "keep_row", "group_size")
     single = F.col("group_size").isNull()
-    return heads.join(copies, "row_id", "left").select(
+    # Whole rows are no side to broadcast to, however few copies there are here: the plan is that of a large table.
+    return (heads.hint("merge") if carry else heads).join(copies, "row_id", "left").select(
         *(["row"] if carry else []),
         F.col("doc_id").alias(key),
         F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),

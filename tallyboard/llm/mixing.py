@@ -120,7 +120,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     met = placed.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.bucket") == F.col("p.bucket")))
     partial = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("bucket_start") - F.col("before")))
     out = met.select("row_id", F.col("doc_id").alias(key), "size", "source_size", "target", (F.col("passes") * F.col("size") + partial).alias("taken"))
-    return (out.join(sized.select("row_id", "row"), "row_id") if carry else out).drop("row_id")
+    return (out.hint("merge").join(sized.select("row_id", "row"), "row_id") if carry else out).drop("row_id")
 
 
 def taken_rows(docs: DataFrame, text: str = "text", most: int = MOST, **settings) -> DataFrame:

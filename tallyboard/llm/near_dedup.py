@@ -6,8 +6,8 @@ consistent weighted sampling draws from each text samples that two texts share
 with the probability of their weighted Jaccard similarity; bands of samples are
 the buckets. In a bucket, every text is compared with one of them, the first, by
 the weighted Jaccard similarity of the whole texts. Those that are not like it go
-on to smaller buckets, of the same band and another one, so that a bucket which
-holds several groups comes apart without all its pairs. Links make components.
+on to smaller buckets, of that band and one more, so that a bucket which holds
+several groups comes apart without all its pairs. Links make components.
 
 Inverse document frequency here tells common runs from others. A run in fewer
 than ``COMMON`` of the documents has the full weight; the frequencies of the
@@ -38,7 +38,7 @@ SIMILARITY = 0.8
 BANDS, SAMPLES = 12, 4
 COMMON = 0.01
 IDF_FLOOR = 0.6
-#: How often a bucket that holds unlike texts is split by another band.
+#: How often buckets that hold unlike texts are split by one more band.
 SPLITS = 2
 #: Documents a chunk has at least when common runs are looked for.
 CHUNK = 1000
@@ -147,8 +147,8 @@ def signatures(runs: np.ndarray, weights: np.ndarray, offsets: np.ndarray, sampl
 _GAMMA = _quantiles()
 
 
-def _bands(texts: list[bytes], weights: Weights) -> np.ndarray:
-    """The keys of each text's bands: a row for each text; texts without words have the same in all."""
+def _bands(texts: list[bytes], weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of each text's bands, a row for each text, and the texts' weights; texts without words have the same keys in all."""
     runs, uses, offsets = counted(*shingles(texts, WORDS))
     keys = np.zeros((len(texts), BANDS), np.uint64)
     full = np.flatnonzero(np.diff(offsets))
@@ -165,7 +165,7 @@ def _bands(texts: list[bytes], weights: Weights) -> np.ndarray:
                 for row in drawn[band * SAMPLES:(band + 1) * SAMPLES]:
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + row)
                 keys[part, band] = key
-    return keys
+    return keys, np.bincount(np.repeat(np.arange(len(texts)), np.diff(offsets)), value, len(texts))
 
 
 def _digest(text: bytes) -> bytes:
@@ -192,8 +192,11 @@ def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarra
 
 
 def _first_in_bucket(members: DataFrame) -> DataFrame:
-    """Members (``row_id, digest, key, used``) with ``head, head_digest`` of their bucket, if they are not it."""
-    heads = members.groupBy("key").agg(F.min(F.struct("row_id", "digest")).alias("head"), F.count("*").alias("n")).filter("n > 1")
+    """Members (``row_id, weight, digest, key, mask``) with ``head, head_digest`` of their bucket, if they are not it.
+
+    The head is the lightest: texts that share a passage and little else are most like the one that has least beside it.
+    """
+    heads = members.groupBy("key").agg(F.min(F.struct("weight", "row_id", "digest")).alias("head"), F.count("*").alias("n")).filter("n > 1")
     heads = rows.stored(heads.select("key", F.col("head.row_id").alias("head"), F.col("head.digest").alias("head_digest")), "heads")
     return members.join(heads, "key").filter(F.col("row_id") != F.col("head"))
 
@@ -210,21 +213,31 @@ def _compare(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
                 out.append(_similarity(_weighted((text or "").encode("utf-8", "replace"), weights.value), kept) >= SIMILARITY)
             yield pa.RecordBatch.from_arrays([batch["row_id"], batch["head"], pa.array(out, pa.bool_())], ["row_id", "head", "alike"])
 
-    both = pairs.join(texts, "row_id").join(texts.select(F.col("row_id").alias("head"), F.col("text").alias("head_text")), "head")
+    # Texts are no side to broadcast, however few they are here: the plan is that of a large table.
+    heads = texts.select(F.col("row_id").alias("head"), F.col("text").alias("head_text"))
+    both = pairs.hint("merge").join(texts, "row_id").hint("merge").join(heads, "head")
     return rows.stored(both.select("row_id", "head", "text", "head_text").mapInArrow(compare, "row_id long, head long, alike boolean"), "compared")
 
 
+def _buckets(signed: DataFrame, masks) -> DataFrame:
+    """Members ``row_id, weight, digest, key, mask`` of the buckets that each row's sets of bands (bits of a mask) name: all keys of the set in one."""
+    each = signed.withColumn("mask", F.explode(masks))
+    own = F.filter("keys", lambda _, band: F.getbit(F.col("mask"), band) == 1)
+    return each.select("row_id", "weight", "digest", F.xxhash64("mask", own).alias("key"), "mask")
+
+
 def _links(table: DataFrame, weights) -> DataFrame:
     """``row_id, head`` of rows with equal or similar texts."""
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches, "text"):
             texts = _encoded(batch["text"])
-            keys = _bands(texts, weights.value)
+            keys, weight = _bands(texts, weights.value)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch["row_id"], pa.array([_digest(t) for t in texts], pa.binary()), lists], ["row_id", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([batch["row_id"], pa.array(weight), pa.array([_digest(t) for t in texts], pa.binary()), lists], ["row_id", "weight", "digest", "keys"])
 
-    signed = rows.stored(table.select("row_id", "text").mapInArrow(sample, "row_id long, digest binary, keys array<long>"), "signatures")
-    members = signed.select("row_id", "digest", F.posexplode("keys").alias("band", "key")).select("row_id", "digest", "key", F.array("band").alias("used"))
+    signed = rows.stored(table.select("row_id", "text").mapInArrow(sample, "row_id long, weight double, digest binary, keys array<long>"), "signatures")
+    alone = [F.lit(1 << band).cast("long") for band in range(BANDS)]
+    members = _buckets(signed, F.array(*alone))
     links, texts = None, None
     for level in range(SPLITS + 1):
         met = rows.stored(_first_in_bucket(members), "met")
@@ -234,18 +247,18 @@ def _links(table: DataFrame, weights) -> DataFrame:
         if texts is None:
             # All that is compared later is among these.
             asked = pairs.select("row_id").union(pairs.select("head")).distinct()
-            texts = rows.stored(table.select("row_id", "text").join(asked, "row_id"), "candidate-texts")
+            texts = rows.stored(table.select("row_id", "text").hint("merge").join(asked, "row_id"), "candidate-texts")
         compared = _compare(pairs, texts, weights)
         found = met.filter(equal).select("row_id", "head").union(compared.filter("alike").select("row_id", "head"))
         links = found if links is None else links.union(found)
         if level == SPLITS:
             break
-        rest = unlike.join(compared.filter("NOT alike").select("row_id", "head"), ["row_id", "head"]).select("row_id", "digest", "key", "used")
+        rest = unlike.join(compared.filter("NOT alike").select("row_id", "head"), ["row_id", "head"])
+        rest = rest.groupBy("row_id").agg(F.collect_set("mask").alias("masks"))  # a bit for each band: no more than there are sets of bands
         if rest.isEmpty():
             break
-        split = rest.join(signed.select("row_id", "keys"), "row_id").select("row_id", "digest", "key", "used", F.posexplode("keys").alias("band", "other"))
-        members = split.filter(~F.array_contains("used", F.col("band"))).select(
-            "row_id", "digest", F.xxhash64("key", "band", "other").alias("key"), F.array_append("used", F.col("band")).alias("used"))
+        wider = F.flatten(F.transform("masks", lambda m: F.filter(F.array(*[m.bitwiseOR(b) for b in alone]), lambda w: w != m)))
+        members = _buckets(signed.join(rest, "row_id"), F.array_distinct(wider))
     return links
 
 
@@ -275,7 +288,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry:
     placed = members.join(groups, "component").select(
         "row_id", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("row_id") == F.col("first.row_id")).alias("kept"))
     single = F.col("kept").isNull()
-    return heads.join(placed, "row_id", "left").select(
+    return (heads.hint("merge") if carry else heads).join(placed, "row_id", "left").select(
         *(["row"] if carry else []), F.col("doc_id").alias(key),
         F.when(single, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.coalesce("kept", F.lit(True)).alias("kept"))

@@ -51,7 +51,7 @@ def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFr
     numbers given while writing stay as they are.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,10 @@ with the probability of their weighted Jaccard similarity; bands of samples are
 the buckets. In a bucket, every text is compared with one of them, the first, by
 the weighted Jaccard similarity of the whole texts. Those that are not like it go
 on to smaller buckets, of that band and one more, so that a bucket which holds
-several groups comes apart without all its pairs. Links make components.
+several groups comes apart without all its pairs. Links make components. Where a
+bucket is still in several components then, its texts are joined exactly: two
+texts as similar as asked share one of the rarest runs of each, by weight a known
+part of the text, and all pairs that do so are compared.
 
 Inverse document frequency here tells common runs from others. A run in fewer
 than ``COMMON`` of the documents has the full weight; the frequencies of the
@@ -40,6 +43,10 @@ COMMON = 0.01
 IDF_FLOOR = 0.6
 #: How often buckets that hold unlike texts are split by one more band.
 SPLITS = 2
+#: Counters by which the exact join tells rare runs from others.
+COUNTERS = 1 << 16
+#: Room for rounding in bounds on weights.
+_SLACK = 1e-6
 #: Documents a chunk has at least when common runs are looked for.
 CHUNK = 1000
 _AT_ONCE = 1 << 16
@@ -226,8 +233,72 @@ def _buckets(signed: DataFrame, masks) -> DataFrame:
     return each.select("row_id", "weight", "digest", F.xxhash64("mask", own).alias("key"), "mask")
 
 
-def _links(table: DataFrame, weights) -> DataFrame:
-    """``row_id, head`` of rows with equal or similar texts."""
+def _run_uses(texts: DataFrame) -> np.ndarray:
+    """How many of the texts have the runs of each counter."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uses = np.zeros(COUNTERS, np.int64)
+        for batch in _batches(batches, "text"):
+            runs = counted(*shingles(_encoded(batch["text"]), WORDS))[0]
+            uses += np.bincount((runs % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        has = np.flatnonzero(uses)
+        yield pa.RecordBatch.from_arrays([pa.array(has), pa.array(uses[has])], ["at", "uses"])
+
+    out = np.zeros(COUNTERS, np.int64)
+    for r in texts.select("text").mapInArrow(count, "at long, uses long").groupBy("at").agg(F.sum("uses").alias("uses")).collect():
+        out[r["at"]] = r["uses"]
+    return out
+
+
+def _prefix(texts: list[bytes], weights: Weights, uses: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The rarest runs of each text (a repeated run counts as several): text, run, weight of the text, weight of this and all less rare runs.
+
+    A text shares ``SIMILARITY`` of its weight at least with one that is alike, so
+    the rarest shared run has that much of the weight from there on. The order
+    is the same for all texts; that it is by rarity is for speed only.
+    """
+    runs, times, offsets = counted(*shingles(texts, WORDS))
+    at = np.repeat(np.arange(len(runs)), times)
+    copy = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    row = np.repeat(np.arange(len(texts)), np.diff(offsets))[at]
+    token = mix(runs[at] + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.lexsort((token, uses[(runs[at] % np.uint64(COUNTERS)).astype(np.int64)], row))
+    row, token, value = row[order], token[order], weights.of(runs).astype(np.float64)[at[order]]
+    weight = np.bincount(row, value, len(texts))
+    before = np.cumsum(value) - value
+    left = weight[row] - (before - (np.cumsum(weight) - weight)[row])
+    kept = left >= SIMILARITY * weight[row] * (1 - _SLACK)
+    return row[kept], token[kept], weight[row[kept]], left[kept]
+
+
+def _near_pairs(rest: DataFrame, texts: DataFrame, weights) -> DataFrame:
+    """``row_id, head`` of all pairs of rows of ``rest`` (``row_id, component``) in two components that can be alike.
+
+    Of the lighter text the rarest shared run comes earlier still: the shared
+    weight is S / (1 + S) of both texts' together, or 2 S / (1 + S) of the lighter.
+    """
+    mine = rows.stored(texts.hint("merge").join(rest, "row_id"), "rest-texts")
+    uses = mine.sparkSession.sparkContext.broadcast(_run_uses(mine))
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _batches(batches, "text"):
+            row, token, weight, left = _prefix(_encoded(batch["text"]), weights.value, uses.value)
+            light = left >= 2 * SIMILARITY / (1 + SIMILARITY) * weight * (1 - _SLACK)
+            ids, component = (batch[c].to_numpy()[row] for c in ("row_id", "component"))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, component, token.view(np.int64), weight, left, light)], ["row_id", "component", "token", "weight", "left", "light"])
+
+    schema = "row_id long, component long, token long, weight double, left double, light boolean"
+    found = rows.stored(mine.select("row_id", "component", "text").mapInArrow(prefix, schema), "prefixes")
+    wanted = found.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max("light").alias("light")).filter("light AND least < most")
+    found = rows.stored(found.join(wanted.select("token"), "token"), "shared-prefixes")
+    a, b = found.alias("a"), found.filter("light").alias("b")
+    share = SIMILARITY / (1 + SIMILARITY) * (1 - _SLACK)
+    near = (f"a.token = b.token AND a.component <> b.component AND (b.weight < a.weight OR b.weight = a.weight AND b.row_id < a.row_id) "
+            f"AND b.weight >= a.weight * {SIMILARITY * (1 - _SLACK)!r} AND least(a.left, b.left) >= (a.weight + b.weight) * {share!r}")
+    return rows.stored(a.join(b, F.expr(near)).select("a.row_id", F.col("b.row_id").alias("head")).distinct(), "near-pairs")
+
+
+def _classes(table: DataFrame, weights) -> DataFrame:
+    """``id, component`` of rows with equal or similar texts, connected by links."""
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches, "text"):
             texts = _encoded(batch["text"])
@@ -238,9 +309,10 @@ def _links(table: DataFrame, weights) -> DataFrame:
     signed = rows.stored(table.select("row_id", "text").mapInArrow(sample, "row_id long, weight double, digest binary, keys array<long>"), "signatures")
     alone = [F.lit(1 << band).cast("long") for band in range(BANDS)]
     members = _buckets(signed, F.array(*alone))
-    links, texts = None, None
+    links, texts, first = None, None, None
     for level in range(SPLITS + 1):
         met = rows.stored(_first_in_bucket(members), "met")
+        first = met if first is None else first
         equal = F.col("digest") == F.col("head_digest")
         unlike = met.filter(~equal)
         pairs = rows.stored(unlike.select("row_id", "head").distinct(), "candidates")
@@ -259,7 +331,17 @@ def _links(table: DataFrame, weights) -> DataFrame:
             break
         wider = F.flatten(F.transform("masks", lambda m: F.filter(F.array(*[m.bitwiseOR(b) for b in alone]), lambda w: w != m)))
         members = _buckets(signed.join(rest, "row_id"), F.array_distinct(wider))
-    return links
+
+    # All are compared with the head of a bucket, not with each other: one component, or the pairs between its components are open.
+    labels = components(links, "row_id", "head")
+    placed = first.join(labels.withColumnRenamed("id", "row_id"), "row_id", "left").select("key", "row_id", F.coalesce("component", "row_id").alias("component"))
+    placed = rows.stored(placed, "placed")
+    several = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
+    rest = rows.stored(placed.join(several.select("key"), "key").select("row_id", "component").distinct(), "rest")
+    if rest.isEmpty():
+        return labels
+    compared = _compare(_near_pairs(rest, texts, weights), texts, weights)
+    return components(labels.select(F.col("id").alias("row_id"), F.col("component").alias("head")).union(compared.filter("alike").select("row_id", "head")), "row_id", "head")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
@@ -279,7 +361,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", carry:
         table = rows.numbered(docs.select(F.col(key).alias("doc_id"), rows.whole(text).alias("text")), "documents")
     total = table.count()
     weights = spark.sparkContext.broadcast(Weights(_common_runs(table, max(1, total)), max(1, total)))
-    classes = components(_links(table, weights), "row_id", "head").withColumnRenamed("id", "row_id")
+    classes = _classes(table, weights).withColumnRenamed("id", "row_id")
 
     heads = table.select("row_id", "doc_id", *(["row"] if carry else []))
     members = rows.stored(classes.join(heads.select("row_id", "doc_id"), "row_id"), "members")

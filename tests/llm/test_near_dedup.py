@@ -64,6 +64,20 @@ def test_groups_as_by_all_pairs(docs):
     assert got(n.near_groups(docs(*rows))) == brute(rows)
 
 
+def test_chains_stay_whole(docs):
+    """The lightest of three is like the second alone; the second and the third meet in buckets whose head is the first."""
+    rng = random.Random(11)
+    new = lambda n: [f"u{rng.random()}" for _ in range(n)]
+    rows = []
+    for g in range(40):
+        a = new(200)
+        b = a + new(14)
+        rows += [(3 * g + i, " ".join(t)) for i, t in enumerate([a, b, new(42) + b])]
+    want = brute(rows)
+    assert want == sorted(((i, i - i % 3) for i in range(120)), key=str)
+    assert got(n.near_groups(docs(*rows))) == want
+
+
 def test_large_group_of_near_copies_stays_whole(docs):
     rng = random.Random(5)
     base = [f"w{rng.randint(0, 900)}" for _ in range(200)]

@@ -199,12 +199,12 @@ def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarra
 
 
 def _first_in_bucket(members: DataFrame) -> DataFrame:
-    """Members (``row_id, weight, digest, key, mask``) with ``head, head_digest`` of their bucket, if they are not it.
+    """Members (``row_id, weight, key, mask``) with the ``head`` of their bucket, if they are not it.
 
     The head is the lightest: texts that share a passage and little else are most like the one that has least beside it.
     """
-    heads = members.groupBy("key").agg(F.min(F.struct("weight", "row_id", "digest")).alias("head"), F.count("*").alias("n")).filter("n > 1")
-    heads = rows.stored(heads.select("key", F.col("head.row_id").alias("head"), F.col("head.digest").alias("head_digest")), "heads")
+    heads = members.groupBy("key").agg(F.min(F.struct("weight", "row_id")).alias("head"), F.count("*").alias("n")).filter("n > 1")
+    heads = rows.stored(heads.select("key", F.col("head.row_id").alias("head")), "heads")
     return members.join(heads, "key").filter(F.col("row_id") != F.col("head"))
 
 
@@ -227,10 +227,10 @@ def _compare(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
 
 
 def _buckets(signed: DataFrame, masks) -> DataFrame:
-    """Members ``row_id, weight, digest, key, mask`` of the buckets that each row's sets of bands (bits of a mask) name: all keys of the set in one."""
+    """Members ``row_id, weight, key, mask`` of the buckets that each row's sets of bands (bits of a mask) name: all keys of the set in one."""
     each = signed.withColumn("mask", F.explode(masks))
     own = F.filter("keys", lambda _, band: F.getbit(F.col("mask"), band) == 1)
-    return each.select("row_id", "weight", "digest", F.xxhash64("mask", own).alias("key"), "mask")
+    return each.select("row_id", "weight", F.xxhash64("mask", own).alias("key"), "mask")
 
 
 def _run_uses(texts: DataFrame) -> np.ndarray:
@@ -307,25 +307,27 @@ def _classes(table: DataFrame, weights) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["row_id"], pa.array(weight), pa.array([_digest(t) for t in texts], pa.binary()), lists], ["row_id", "weight", "digest", "keys"])
 
     signed = rows.stored(table.select("row_id", "text").mapInArrow(sample, "row_id long, weight double, digest binary, keys array<long>"), "signatures")
+    # Equal texts are linked by their digest, and one of them goes through the bands.
+    equal = signed.groupBy("digest").agg(F.min("row_id").alias("head"), F.count("*").alias("n")).filter("n > 1").select("digest", "head")
+    equal = rows.stored(equal, "equal-heads")  # a stage of its own, so that the join can be split where many are equal
+    links = rows.stored(signed.select("row_id", "digest").join(equal, "digest").filter("row_id <> head").select("row_id", "head"), "equal")
+    signed = rows.stored(signed.drop("digest").join(links.select("row_id"), "row_id", "left_anti"), "distinct-signatures")
     alone = [F.lit(1 << band).cast("long") for band in range(BANDS)]
     members = _buckets(signed, F.array(*alone))
-    links, texts, first = None, None, None
+    texts, first = None, None
     for level in range(SPLITS + 1):
         met = rows.stored(_first_in_bucket(members), "met")
         first = met if first is None else first
-        equal = F.col("digest") == F.col("head_digest")
-        unlike = met.filter(~equal)
-        pairs = rows.stored(unlike.select("row_id", "head").distinct(), "candidates")
+        pairs = rows.stored(met.select("row_id", "head").distinct(), "candidates")
         if texts is None:
             # All that is compared later is among these.
             asked = pairs.select("row_id").union(pairs.select("head")).distinct()
             texts = rows.stored(table.select("row_id", "text").hint("merge").join(asked, "row_id"), "candidate-texts")
         compared = _compare(pairs, texts, weights)
-        found = met.filter(equal).select("row_id", "head").union(compared.filter("alike").select("row_id", "head"))
-        links = found if links is None else links.union(found)
+        links = links.union(compared.filter("alike").select("row_id", "head"))
         if level == SPLITS:
             break
-        rest = unlike.join(compared.filter("NOT alike").select("row_id", "head"), ["row_id", "head"])
+        rest = met.join(compared.filter("NOT alike").select("row_id", "head"), ["row_id", "head"])
         rest = rest.groupBy("row_id").agg(F.collect_set("mask").alias("masks"))  # a bit for each band: no more than there are sets of bands
         if rest.isEmpty():
             break

@@ -78,6 +78,18 @@ def test_chains_stay_whole(docs):
     assert got(n.near_groups(docs(*rows))) == want
 
 
+def test_equal_texts_meet_without_bands(docs):
+    """All bands of four texts lie in the passage they share, and none are alike: the copies of the heaviest are one class still."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    longer = lambda name, size: passage + " " + " ".join(f"{name}x{i}" for i in range(size))
+    copy = longer("b13083", 9)
+    rows = [(0, passage), (1, longer("a6448", 8)), (2, longer("a19927", 8)), (3, copy), (4, copy.replace(" ", "  "))]
+    rows += [(10 + i, " ".join(f"f{i}x{j}" for j in range(20))) for i in range(100)]
+    want = brute(rows)
+    assert want == sorted([(i, i) for i, _ in rows if i != 4] + [(4, 3)], key=str)
+    assert got(n.near_groups(docs(*rows))) == want
+
+
 def test_large_group_of_near_copies_stays_whole(docs):
     rng = random.Random(5)
     base = [f"w{rng.randint(0, 900)}" for _ in range(200)]

@@ -59,6 +59,24 @@ def test_near_copies(stages):
             assert near_dedup.similarity(a[1].encode(), b[1].encode(), weights) < 0.95
 
 
+def test_near_copies_as_by_all_pairs(docs, spark):
+    """The stage keeps one document of each class that comparing all pairs at its threshold gives: chains, a cloud, near copies."""
+    from test_near_dedup import brute, changed
+
+    rng = random.Random(21)
+    new = lambda n: [f"u{rng.random()}" for _ in range(n)]
+    rows, passage = [], new(60)
+    for _ in range(20):
+        a = new(200)
+        b = a + new(14)
+        rows += [" ".join(a), " ".join(b), " ".join(new(42) + b)]
+    rows += [" ".join(passage + new(rng.randint(6, 14))) for _ in range(40)]
+    rows += [changed(rng, passage + rows[-1].split()[60:] + new(100), k) for k in (0, 1, 2)]
+    rows = list(enumerate(rows))
+    after = corpus_pipeline.drop_near_copies(spark, docs(*rows), "").select("doc_id", "text").collect()
+    assert sorted(tuple(r) for r in after) == sorted(rows[i] for i in {c for _, c in brute(rows)})
+
+
 def test_mix_follows_its_targets(spark, stages):
     before, after = stages[0][3:5]
     words = lambda rows: Counter({s: sum(len(r[1].split()) for r in rows if r[3] == s) for s in {r[3] for r in rows}})

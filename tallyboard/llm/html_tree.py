@@ -11,7 +11,7 @@ import numpy as np
 # Elements of HTML.
 BLOCKS = set("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset
 h1 h2 h3 h4 h5 h6 header hgroup hr label legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul""".split())
-RAW = set("script style textarea template noscript iframe noembed noframes svg math object title head".split())
+RAW = set("script style textarea template noscript iframe noembed noframes svg annotation object title head".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: An element that ends others of its kind, up to the ones that hold them.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -28,6 +28,9 @@ HINTS = [re.compile(x) for x in (
     r"share|social|follow|like|tweet", r"form|search|login|signup|sign-up|subscribe|newsletter|register|input", r"meta|byline|author|date|tag|categor|caption|credit")]
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)/?>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?/][^>]*>", re.S)
+#: What can stand in a head, up to its end; pages may leave out the tags that end it, and then it ends before anything else.
+_HEAD = re.compile(r"(?:\s++|<!--.*?(?:-->|\Z)|<![^>]*+>|<(title|script|style|noscript|template|noframes|object)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
+                   r"|<(?:base|basefont|bgsound|link|meta|head|html)\b[^>]*+>|</(?!head\b|body\b)[^>]*+>)*+(?:</head\s*>)?", re.S | re.I)
 _ATTR = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _KIND = {tag: i for i, tags in enumerate(KINDS) for tag in tags}
 _STOPS = re.compile(r"[.!?…]")
@@ -96,7 +99,7 @@ class Pages:
             tag = tag.lower()
             if tag in RAW:
                 if not ends and not attributes.endswith("/"):
-                    after = _after(tag).search(source, at)
+                    after = _HEAD.match(source, at) if tag == "head" else _after(tag).search(source, at)
                     at = after.end() if after else len(source)
                     if tag == "textarea":
                         self.controls[stack[-1]] += 1
@@ -148,7 +151,7 @@ class Pages:
 
 @functools.lru_cache(100)
 def _after(tag: str) -> re.Pattern:
-    return re.compile(rf"</{tag}\s*>", re.I) if tag != "head" else re.compile(r"</head\s*>|(?=<body\b)", re.I)
+    return re.compile(rf"</{tag}\s*>", re.I)
 
 
 class Nodes:

@@ -42,6 +42,23 @@ def test_broken_pages(model):
     assert isinstance(one(model, deep), str)
 
 
+def read(source):
+    pages = Pages()
+    pages.add(source)
+    return " ".join(t for t in pages.texts if t)
+
+
+def test_head_without_its_end(model):
+    for top in ("<head><title>T</title>", "<html><head><meta charset=x><!-- <p> --><script>var a='<p>x</p>';</script><link href=a>\n<style>b{}</style>"):
+        assert one(model, f"{top}<article><h1>A title</h1><p>{LONG}<p>{LONG}</article>") == "\n\n".join(["A title", LONG, LONG])
+        assert read(f"{top}words <p>more") == "words more"
+    assert read("<head><title>T</title></head ><p>a") == read("<head><meta a=b></meta><body><p>a") == "a" and read("<head><title>T") == ""
+
+
+def test_math_is_text():
+    assert read("<p>For <math><mi>x</mi> <mo>=</mo> <mn>2</mn><annotation encoding=tex>x=2</annotation></math> it holds.") == "For x = 2 it holds."
+
+
 def test_table(spark):
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (3, "v", page(f"<article><h1>Caf&eacute; &#8364;</h1><p>{LONG}</p></article>"), "x"), (3, "v", "<p></p>", "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -11,8 +10,6 @@ from pyspark.sql import types as T  # noqa: E402
 from tallyboard.schemas import TABLES, WAREHOUSE  # noqa: E402
 from tallyboard.session import build_session  # noqa: E402
 
-AS_OF = dt.datetime(2024, 1, 31, 12, 0)
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -35,23 +32,3 @@ def table(spark):
         return spark.createDataFrame(data, struct)
 
     return make
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    found = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    return sorted(found, key=lambda r: tuple((v is None, str(v)) for v in r))
-
-
-def one(df, **key):
-    """The single row with the given key, as a dict."""
-    found = df
-    for k, v in key.items():
-        found = found.filter(f"{k} = '{v}'")
-    got = found.collect()
-    assert len(got) == 1, got
-    return got[0].asDict(recursive=True)
-
-
-def ms(year, month, day, hour=0, minute=0, second=0):
-    return int(dt.datetime(year, month, day, hour, minute, second, tzinfo=dt.timezone.utc).timestamp() * 1000)

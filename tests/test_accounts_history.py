@@ -4,7 +4,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, one, rows
+from estate_helpers import AS_OF, one, rows
 from tallyboard.operators import history as hist
 from tallyboard.operators import keyed
 from tallyboard.operators.lists import set_list

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, ms, rows
+from estate_helpers import AS_OF, ms, rows
 from tallyboard.functions import numbers, text, time
 from tallyboard.functions.html import extract_rows
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, ms, one, rows
+from estate_helpers import AS_OF, ms, one, rows
 from tallyboard.operators import audit as a
 from tallyboard.operators import endpoints as ep
 from tallyboard.operators import histograms as h

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import AS_OF
+from estate_helpers import AS_OF
 from tallyboard.operators import audit as a
 from tallyboard.operators import endpoints as ep
 from tallyboard.operators import histograms as h

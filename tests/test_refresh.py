@@ -5,7 +5,7 @@ import json
 
 import pytest
 
-from conftest import AS_OF, one, rows
+from estate_helpers import AS_OF, one, rows
 from tallyboard.plans import marts, refresh
 from tallyboard.schemas import WAREHOUSE
 from tallyboard.sources.landed import read_feed

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import AS_OF, ms, one, rows
+from estate_helpers import AS_OF, ms, one, rows
 from tallyboard.operators import rules as r
 
 DDL = ("k string, days_since_login bigint, bypass_perc double, bypass bigint, last_30d_bypass_count bigint, bypass_all boolean, "

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, ms, one
+from estate_helpers import AS_OF, ms, one
 from tallyboard.operators import audit as a
 from tallyboard.operators import endpoints as ep
 from tallyboard.operators.series import daily_activity

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, rows
+from estate_helpers import AS_OF, rows
 from tallyboard.schemas import LANDED
 from tallyboard.sources import landed, support, warehouse
 from tallyboard.streaming.landing import land_new_files

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import AS_OF, one, rows
+from estate_helpers import AS_OF, one, rows
 from tallyboard.functions.values import FISCAL_CALENDAR_END, FISCAL_QUARTERS
 from tallyboard.sources import warehouse as w
 

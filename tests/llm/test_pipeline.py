@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from llm_helpers import brute, changed
 from tallyboard.llm import mixing, near_dedup, queries
 
 EN = "the cat and dog went to other town with them when it was late in year for this that from have been".split()
@@ -61,8 +62,6 @@ def test_near_copies(stages):
 
 def test_near_copies_as_by_all_pairs(docs, spark):
     """The stage keeps one document of each class that comparing all pairs at its threshold gives: chains, a cloud, near copies."""
-    from test_near_dedup import brute, changed
-
     rng = random.Random(21)
     new = lambda n: [f"u{rng.random()}" for _ in range(n)]
     rows, passage = [], new(60)

@@ -58,3 +58,10 @@ def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFr
 def numbered(df: DataFrame, name: str, column: str = "row_id") -> DataFrame:
     """The rows with a number of their own in ``column``, written, so that repeated rows stay apart."""
     return stored(df.withColumn(column, F.monotonically_increasing_id()), name)
+
+
+def ascii_lower(text: str | Column) -> Column:
+    """The text with only A-Z lower-cased."""
+    text = F.col(text) if isinstance(text, str) else text
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))

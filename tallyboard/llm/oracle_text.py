@@ -52,3 +52,52 @@ folded AS (
          list_reduce(list_prepend(other, steps), lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) AS folded_root FROM ways)
 SELECT *, folded_root = root AS verified FROM folded
 """
+
+
+def _modulo(product: str) -> str:
+    return f"CAST(({product}) % 18446744073709551616::UHUGEINT AS UBIGINT)"
+
+
+def _times(value: str, factor: int) -> str:
+    return _modulo(f"CAST({value} AS UHUGEINT) * {factor}::UHUGEINT")
+
+
+_SHIFTED = "xor({x}, {x} >> {n})"
+_DIGIT = "substr('0123456789abcdef', CAST(1 + {bits} AS BIGINT), 1)"
+_BIT = "{value} * CAST(2 * sum(CASE WHEN (v >> {at}) & 1 = 1 THEN weight ELSE 0 END) > sum(weight) AS BIGINT)"
+_WORD = " || ".join(_DIGIT.format(bits=" + ".join(_BIT.format(value=8 >> j, at=63 - 4 * d - j) for j in range(4))) for d in range(16))
+_NUMBERS = [f"CAST('0x' || substr({{x}}, {16 * i + 1}, 16) AS UBIGINT)" for i in range(4)]
+_APART = " + ".join(f"CAST(bit_count(CAST(xor({n.format(x='{a}')}, {n.format(x='{b}')}) AS HUGEINT)) AS BIGINT)" for n in _NUMBERS)
+
+OP13 = rf"""
+WITH RECURSIVE own AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+following AS (
+  SELECT *, length(t) AS n_chars, coalesce(lead(t) OVER o, first_value(t) OVER o) AS f
+  FROM own WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, md5(t) ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+changed AS (SELECT *, substr(t, 1, n_chars - n_chars // 2) || substr(f, 1, n_chars // 2) AS e FROM following),
+texts AS (SELECT row_number() OVER () AS i, t FROM (SELECT t FROM changed UNION SELECT e FROM changed)),
+worded AS (
+  SELECT i, list_transform(list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> ''), lambda w: CAST(CAST('0x' || substr(md5(w), 1, 16) AS UBIGINT) AS UHUGEINT)) AS ws FROM texts),
+terms AS (
+  SELECT i, unnest(ws) AS term, 1 AS weight FROM worded
+  UNION ALL SELECT i, list_reduce(ws[k + 1:k + 5], lambda a, b: (a * {0xD1342543DE82EF95}::UHUGEINT + b) % 18446744073709551616::UHUGEINT), 5
+  FROM (SELECT i, ws, unnest(range(greatest(len(ws) - 4, 1))) AS k FROM worded WHERE len(ws) > 0)),
+weighed AS (SELECT i, CAST(term AS UHUGEINT) AS term, sum(weight) AS weight FROM terms GROUP BY ALL),
+x0 AS (SELECT i, weight, k, {_modulo(f"term + {0x9E3779B97F4A7C15}::UHUGEINT * CAST(k AS UHUGEINT)")} AS x FROM weighed, range(1, 5) s(k)),
+x1 AS (SELECT i, weight, k, {_times(_SHIFTED.format(x="x", n=30), 0xBF58476D1CE4E5B9)} AS x FROM x0),
+x2 AS (SELECT i, weight, k, {_times(_SHIFTED.format(x="x", n=27), 0x94D049BB133111EB)} AS x FROM x1),
+x3 AS (SELECT i, weight, k, {_SHIFTED.format(x="x", n=31)} AS v FROM x2),
+parts AS (SELECT i, k, {_WORD} AS part FROM x3 GROUP BY i, k),
+prints AS (SELECT i, string_agg(part, '' ORDER BY k) AS print FROM parts GROUP BY i),
+printed AS (SELECT t, coalesce(print, repeat('0', 64)) AS print FROM texts LEFT JOIN prints USING (i)),
+beside AS (
+  SELECT doc_id, n_chars, sha256(e) AS edited_sha256, a.print AS fingerprint, b.print AS edited_fingerprint, c.print AS next_print
+  FROM changed x JOIN printed a ON a.t = x.t JOIN printed b ON b.t = x.e JOIN printed c ON c.t = x.f),
+own_prints AS (SELECT fingerprint AS p, min(doc_id) AS least FROM beside GROUP BY 1),
+near AS (SELECT a.p AS a, b.p AS b FROM own_prints a JOIN own_prints b ON a.p <> b.p AND {_APART.format(a="a.p", b="b.p")} <= 7),
+reached(p, q) AS (SELECT p, p FROM own_prints UNION SELECT p, b FROM reached JOIN near ON q = a),
+classes AS (SELECT r.p, min(o.least) AS near_class FROM reached r JOIN own_prints o ON o.p = r.q GROUP BY r.p)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+       1 - ({_APART.format(a="fingerprint", b="edited_fingerprint")}) / 256 AS near_edited, 1 - ({_APART.format(a="fingerprint", b="next_print")}) / 256 AS near_next, near_class
+FROM beside JOIN classes ON p = fingerprint
+"""

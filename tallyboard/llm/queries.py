@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, html_main, language_id, merkle, mixing, near_dedup, oracle, oracle_text, packing, quality_model, quality_rules, rows, token_store, url_filter
+from . import exact_dedup, html_main, language_id, merkle, mixing, near_dedup, oracle, oracle_text, packing, quality_model, quality_rules, rows, simhash, token_store, url_filter
 
 #: The rules of the URL query.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
@@ -74,5 +74,9 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.folded(manifest, "tampered")
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op5_language_id, op6_near_dedup, op7_html_main, op8_token_store, op9_source_mix, op10_quality_model, op12_merkle_manifest)}
-ORACLE_SQL = oracle.ORACLE_SQL | {"op12_merkle_manifest": oracle_text.OP12}
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprinted(rows.read(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op5_language_id, op6_near_dedup, op7_html_main, op8_token_store, op9_source_mix, op10_quality_model, op12_merkle_manifest, op13_fingerprints)}
+ORACLE_SQL = oracle.ORACLE_SQL | {"op12_merkle_manifest": oracle_text.OP12, "op13_fingerprints": oracle_text.OP13}

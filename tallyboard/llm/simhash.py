@@ -38,8 +38,8 @@ RUN = 5
 RUN_WEIGHT = 5
 #: Different bits of fingerprints that count as near.
 RADIUS = 7
-#: Buckets with more members are not compared pair by pair.
-PAIRED = 100
+#: Members of a bucket whose pairs are joined, and those that one task compares.
+FEW, MANY = 16, 8192
 #: Digits of a block that still tell enough members apart; with fewer left, what remains is compared pair by pair.
 LEAST_DIGITS = 3
 PART_BYTES = 64 << 20
@@ -184,54 +184,88 @@ def _words(hexed: Column) -> list[Column]:
     return [F.shiftleft(half(2 * i), 32).bitwiseOR(half(2 * i + 1)).alias(w) for i, w in enumerate(_WORDS)]
 
 
+def _digits() -> Column:
+    """The hexadecimal digits of a fingerprint from its words."""
+    return F.concat(*[F.lpad(F.hex(w), 16, "0") for w in _WORDS])
+
+
 def _distance(a: str, b: str) -> Column:
     return reduce(Column.__add__, [F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in _WORDS])
 
 
 def _tables(members: DataFrame, cuts: list[int]) -> DataFrame:
-    """The members once for each block of their remaining digits: ``key`` stands for the blocks agreed on so far."""
-    blocks = [F.struct(F.lit(i).alias("block"), F.xxhash64("key", F.lit(i), F.substring("rest", a + 1, b - a)).alias("key")) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-    return members.select("id", "mine", *_WORDS, "rest", F.explode(F.array(*blocks)).alias("_b")).select("id", "mine", *_WORDS, "rest", "_b.block", "_b.key")
+    """The members once for each block of their remaining digits: ``key`` stands for the blocks agreed on so far.
 
-
-def classes(prints: DataFrame, radius: int = RADIUS, paired: int = PAIRED) -> DataFrame:
+    Members without ``rest`` have agreed on nothing yet, and all digits remain.
+    """
+    rest = F.col("rest") if "rest" in members.columns else _digits()
+    blocks = [F.struct(F.lit(i).alias("block"), F.xxhash64("key", F.lit(i), F.substring(rest, a + 1, b - a)).alias("key")) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    kept = [c for c in members.columns if c != "key"]
+    return members.select(*kept, F.explode(F.array(*blocks)).alias("_b")).select(*kept, "_b.block", "_b.key")
+
+
+def _joined(bucket: pa.Table, radius: int) -> pa.Table:
+    """Links from the least id of each class inside a bucket to the others of it; a class grows by what is near its members."""
+    bucket = bucket.sort_by("id")
+    ids = bucket["id"].to_numpy()
+    words = np.stack([bucket[w].to_numpy() for w in _WORDS], axis=1).view(np.uint64)
+    open_, x, y = np.arange(len(ids)), [], []
+    while len(open_):
+        first, open_ = open_[0], open_[1:]
+        reached = [first]
+        while reached and len(open_):
+            near = np.bitwise_count(words[open_] ^ words[reached.pop()]).sum(axis=1) <= radius
+            reached += (found := open_[near]).tolist()
+            open_ = open_[~near]
+            x += [ids[first]] * len(found)
+            y += ids[found].tolist()
+    return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
+
+
+def classes(prints: DataFrame, radius: int = RADIUS, few: int = FEW, many: int = MANY) -> DataFrame:
     """``id, component`` of fingerprints that have another one within the radius; classes are closed under such links.
 
     ``prints`` has ``id`` (long, unique) and ``fingerprint`` (64 hexadecimal
     digits, distinct). There is a table for each of radius + 1 blocks, keyed by
-    it. In a bucket of at most ``paired`` members all are compared. In a larger
-    one all are compared with its least id; where it still holds several classes,
-    its members go on to tables over the remaining digits, which tell more of them
-    apart, so no link between classes is lost, whatever a bucket holds.
+    it. The pairs of a bucket of up to ``few`` members come from a join; one of up
+    to ``many`` gives its classes from a task of its own, a link a member at most.
+    In a larger one all are compared with its least id; where it still holds
+    several classes, its members go on to tables over the remaining digits, which
+    tell more of them apart. So no link between classes is lost, whatever a
+    bucket holds. Where a block would have fewer than three digits, members agree
+    on three quarters of all and their buckets are not split further.
     """
     length = BITS // 4
-    members = prints.select("id", F.col("id").alias("mine"), *_words(F.col("fingerprint")), F.lit(0).cast("long").alias("key"), F.col("fingerprint").alias("rest"))
+    members = prints.select("id", *_words(F.col("fingerprint")), F.lit(0).cast("long").alias("key"))
     links: DataFrame | None = None
     while True:
         cuts = [length * i // (radius + 1) for i in range(radius + 2)]
         last = length < LEAST_DIGITS * (radius + 1)
         dealt = _tables(members, cuts)
-        shared = rows.stored(dealt.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("id", *_WORDS)).alias("least")).filter("n > 1"), "buckets")
+        shared = rows.stored(dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
         live = rows.stored(dealt.join(shared, "key"), "members")
-        small = live if last else live.filter(F.col("n") <= paired)
-        pairs = small.alias("a").join(small.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.mine") != F.col("b.mine"))
-                                      & (_distance("a", "b") <= radius)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
-        stars = live.filter((F.col("n") > paired) & (F.col("id") != F.col("least.id")))
-        stars = stars.alias("a").filter(_distance("a", "a.least") <= radius).select(F.col("least.id").alias("x"), F.col("id").alias("y"))
-        new = rows.stored(pairs.unionByName(stars).distinct(), "near")
+        small = live.filter(F.col("n") <= few)
+        pairs = small.alias("a").join(small.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (_distance("a", "b") <= radius))
+        middle = live.filter(F.col("n") > few) if last else live.filter(F.col("n").between(few + 1, many))
+        joined = middle.select("key", "id", *_WORDS).groupBy("key").applyInArrow(lambda bucket: _joined(bucket, radius), "x long, y long")
+        found = [pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")), joined]
+        large = live.filter(F.col("n") > many)
+        if not last and not large.isEmpty():
+            least = large.groupBy("key").agg(F.min(F.struct("id", *_WORDS)).alias("least"))
+            found.append(large.join(least, "key").alias("a").filter((F.col("id") != F.col("least.id")) & (_distance("a", "a.least") <= radius))
+                         .select(F.col("least.id").alias("x"), F.col("id").alias("y")))
+        new = rows.stored(reduce(DataFrame.unionByName, found).distinct(), "near")
         links = new if links is None else links.unionByName(new)
-        found = components(links, "x", "y")
-        large = live.filter(F.col("n") > paired).drop("mine")
-        if last or large.isEmpty():
-            return found
-        large = rows.stored(large.join(found, "id", "left").withColumn("mine", F.coalesce("component", "id")), "large")
+        labels = components(links, "x", "y")
+        if len(found) < 3:
+            return labels
+        large = rows.stored(large.join(labels, "id", "left").withColumn("mine", F.coalesce("component", "id")), "large")
         several = large.groupBy("key").agg(F.min("mine").alias("lo"), F.max("mine").alias("hi")).filter("lo < hi").select("key")
         starts, ends = (F.element_at(F.array(*[F.lit(c) for c in some]), F.col("block") + 1) for some in (cuts[:-1], cuts[1:]))
-        rest = F.concat(F.substr("rest", F.lit(1), starts), F.substr("rest", ends + 1))
+        rest = F.col("rest") if "rest" in large.columns else _digits()
+        rest = F.concat(F.substr(rest, F.lit(1), starts), F.substr(rest, ends + 1))
         length -= min(b - a for a, b in zip(cuts, cuts[1:]))
-        members = rows.stored(large.join(several, "key", "left_semi").select("id", "mine", *_WORDS, "key", rest.alias("rest")), "members")
-        if members.isEmpty():
-            return found
+        members = rows.stored(large.join(several, "key", "left_semi").select("id", *_WORDS, "key", rest.alias("rest")), "members")
 
 
 def fingerprinted(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:

@@ -109,10 +109,10 @@ def test_counters_do_not_run_over():
     assert simhash.fingerprints([b"", text, b"other"])[1].tobytes().hex() == fingerprint(text.decode())
 
 
-@pytest.mark.parametrize("radius,paired", [(7, 100), (7, 3), (12, 4)])
-def test_classes_as_by_all_pairs(spark, radius, paired):
-    """Clouds around centres, chains, and one block that a third of all share; small buckets are split with ``paired``."""
-    rng = random.Random(radius * 100 + paired)
+@pytest.mark.parametrize("radius,few,many", [(7, 16, 8192), (7, 2, 4), (12, 0, 40)])
+def test_classes_as_by_all_pairs(spark, radius, few, many):
+    """Clouds around centres, chains, and one block that a third of all share; buckets of all kinds."""
+    rng = random.Random(radius * 100 + few)
     flip = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(256), n))
     prints = {rng.getrandbits(256) for _ in range(100)}
     for _ in range(6):
@@ -129,7 +129,7 @@ def test_classes_as_by_all_pairs(spark, radius, paired):
     rng.shuffle(prints)
     want = linked(prints, radius)
     df = spark.createDataFrame([(i, f"{p:064x}") for i, p in enumerate(prints)], "id long, fingerprint string")
-    got = {r["id"]: r["component"] for r in simhash.classes(df, radius, paired).collect()}
+    got = {r["id"]: r["component"] for r in simhash.classes(df, radius, few, many).collect()}
     assert [got.get(i, i) for i in range(len(prints))] == want
 
 

@@ -15,6 +15,30 @@ def crc32(value: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295, {steps}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
 
 
+OP11 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, w, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents)
+  GROUP BY ALL),
+drawn AS (SELECT w, n, {crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w")} AS h FROM runs, crc_table),
+cut AS (SELECT n, CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM drawn),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+fewer AS (SELECT word, n, length(word) AS l, i, substr(word, 1, i) || substr(word, i + 2) AS d FROM words, range(length(word)) t(i)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS n_other FROM fewer a JOIN fewer b ON a.l = b.l AND a.i = b.i AND a.d = b.d AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM fewer a JOIN words b ON a.d = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM fewer a JOIN words b ON a.d = b.word),
+best AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n_other DESC, other) AS turn FROM near),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN n_other >= 2 * w.n THEN other END AS form, CASE WHEN n_other >= 2 * w.n THEN n_other END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word AND turn = 1),
+walk(word, here) AS (SELECT word, word FROM formed UNION ALL SELECT w.word, f.form FROM walk w JOIN formed f ON f.word = w.here WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.here AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk w ON w.word = f.word JOIN formed g ON g.word = w.here AND g.form IS NULL
+"""
+
+
 def _framed(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR) END"
 

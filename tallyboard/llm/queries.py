@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact_dedup, html_main, language_id, merkle, mixing, near_dedup, oracle, oracle_text, packing, quality_model, quality_rules, rows, simhash, token_store, url_filter
+from . import exact_dedup, html_main, language_id, merkle, mixing, near_dedup, oracle, oracle_text, packing, quality_model, quality_rules, rows, simhash, spelling, token_store, url_filter
 
 #: The rules of the URL query.
 URL_RULES = [url_filter.Rule("block", "net/"), url_filter.Rule("allow", "example.net/en/"),
@@ -68,6 +68,11 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(rows.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.misspelt(spelling.runs(rows.read(spark, sf_dir, "documents")))
+    return spelling.variants(spelling.vocabulary(found))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(rows.fold("doc_id", 3) == 0, rows.ascii_lower("text")).otherwise(F.col("text"))
     manifest = merkle.build(rows.read(spark, sf_dir, "documents"), replacements={"tampered": {"text": tampered}})
@@ -78,5 +83,5 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprinted(rows.read(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op5_language_id, op6_near_dedup, op7_html_main, op8_token_store, op9_source_mix, op10_quality_model, op12_merkle_manifest, op13_fingerprints)}
-ORACLE_SQL = oracle.ORACLE_SQL | {"op12_merkle_manifest": oracle_text.OP12, "op13_fingerprints": oracle_text.OP13}
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_packing, op3_url_filter, op4_quality_rules, op5_language_id, op6_near_dedup, op7_html_main, op8_token_store, op9_source_mix, op10_quality_model, op11_spelling_variants, op12_merkle_manifest, op13_fingerprints)}
+ORACLE_SQL = oracle.ORACLE_SQL | {"op11_spelling_variants": oracle_text.OP11, "op12_merkle_manifest": oracle_text.OP12, "op13_fingerprints": oracle_text.OP13}

@@ -28,7 +28,7 @@ from .token_store import _batches
 from .tokens import END_ID, Encoder, with_end
 
 LENGTH = 1024
-PIECES = "doc_id bigint, source_row bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 class _Sizes:
@@ -166,24 +166,27 @@ def plan(counts: Mapping[int, int], length: int = LENGTH) -> list[tuple[tuple[in
 
 def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """A row per piece: only documents longer than ``length`` are cut, and the first piece takes what is over."""
-    slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("source_row"), F.col(text).alias("text"))
+    slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
-        for batch in _batches(batches, "text"):
-            ids, ends = with_end(*encoder.column(batch["text"]), end_id)
-            sizes = np.diff(ends)
-            n = -(-sizes // length)
-            doc = np.repeat(np.arange(len(sizes)), n)
-            piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-            first = sizes - (n - 1) * length
-            start = np.where(piece == 0, 0, first[doc] + (piece - 1) * length)
-            size = np.where(piece == 0, first[doc], length)
-            data, at = memoryview(ids.astype("<u4", copy=False)).cast("B"), ends[:-1][doc] + start
-            crc = np.array([zlib.crc32(data[4 * a:4 * (a + s)]) for a, s in zip(at.tolist(), size.tolist())], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(pa.array(doc)), batch["source_row"].take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(size), pa.array(crc)],
-                [f.split()[0] for f in PIECES.split(", ")])
+        try:
+            for batch in _batches(batches, "text"):
+                ids, ends = with_end(*encoder.column(batch["text"]), end_id)
+                sizes = np.diff(ends)
+                n = -(-sizes // length)
+                doc = np.repeat(np.arange(len(sizes)), n)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+                first = sizes - (n - 1) * length
+                start = np.where(piece == 0, 0, first[doc] + (piece - 1) * length)
+                size = np.where(piece == 0, first[doc], length)
+                data, at = memoryview(ids.astype("<u4", copy=False)).cast("B"), ends[:-1][doc] + start
+                crc = np.array([zlib.crc32(data[4 * a:4 * (a + s)]) for a, s in zip(at.tolist(), size.tolist())], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(size), pa.array(crc)],
+                    [f.split()[0] for f in PIECES.split(", ")])
+        finally:
+            encoder.clear()
 
     return slim.mapInArrow(cut, PIECES)
 

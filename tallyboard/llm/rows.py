@@ -14,6 +14,10 @@ SPACES = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+#: Bytes of text in a stretch of ordered rows.
+PART_BYTES = 64 << 20
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -44,6 +48,22 @@ def fold(key: str | Column, parts: int) -> Column:
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(parts))
 
 
+def in_order(docs: DataFrame, key: str, text: str, descending: bool = False, part_bytes: int = PART_BYTES) -> DataFrame:
+    """``doc_id, text`` by ascending key, nulls first, or descending, nulls last: a sorted stretch in each partition.
+
+    Null texts are empty. Rows with equal keys follow by the MD5 of their text.
+    There are as many stretches as the texts need; equal rows may lie in several,
+    so a hot key is split. Texts are shuffled once.
+    """
+    slim = docs.select(F.col(key).cast("long").alias("doc_id"), whole(text).alias("text"))
+    total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // part_bytes))
+    first = F.col("doc_id").desc_nulls_last() if descending else F.col("doc_id").asc_nulls_first()
+    order = [first, "_tie", "_row"]
+    slim = slim.withColumns({"_tie": F.md5(F.col("text").cast("binary")), "_row": F.monotonically_increasing_id()})
+    return slim.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
+
+
 def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """The rows, written to a new folder under the shared work folder and read again.
 

@@ -42,7 +42,6 @@ RADIUS = 7
 FEW, MANY = 16, 8192
 #: Digits of a block that still tell enough members apart; with fewer left, what remains is compared pair by pair.
 LEAST_DIGITS = 3
-PART_BYTES = 64 << 20
 
 #: What tells the four words of a term's bits apart, and the factor of a run's words.
 _STEPS, _FACTOR = np.arange(1, BITS // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
@@ -143,20 +142,14 @@ def _stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"doc_id": pa.array(held[0], pa.int64()), **empty, "part": pa.array([part], pa.int32()), "head": [head], "tail": held[1]})
 
 
-def compared(docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+def compared(docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes: int = rows.PART_BYTES) -> DataFrame:
     """Per row its fingerprint, that of its edited text, and their likeness and that to the next document's.
 
     Texts lie in stretches of the descending key, each sorted in a task of its
     own, and are shuffled once. The last row of a stretch meets the first of the
     next one in a join of one row a stretch.
     """
-    spark = docs.sparkSession
-    slim = docs.select(F.col(key).cast("long").alias("doc_id"), rows.whole(text).alias("text"))
-    total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(spark.sparkContext.defaultParallelism, -(-total // part_bytes))
-    slim = slim.withColumns({"_tie": F.md5(F.col("text").cast("binary")), "_row": F.monotonically_increasing_id()})
-    order = [F.col("doc_id").desc_nulls_last(), "_tie", "_row"]
-    dealt = slim.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
+    dealt = rows.in_order(docs, key, text, descending=True, part_bytes=part_bytes).select("doc_id", "text", F.spark_partition_id().alias("part"))
     found = rows.stored(dealt.mapInArrow(_stretch, f"{_COMPARED}, part int, head string, tail string"), "fingerprints")
 
     ends = found.filter("part is not null")

@@ -25,6 +25,8 @@ SCHEMA = "doc_id bigint, shard int, place bigint, start bigint, ids array<int>"
 STRIPE_BYTES = 64 << 20
 ROW_GROUP = 1000
 BATCH_BYTES = 4 << 20
+#: A writer looks after so many rows whether its stripe is full.
+ROWS_BETWEEN_CHECKS = 250
 
 
 def _batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
@@ -38,30 +40,31 @@ def _batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Record
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID,
-          stripe_bytes: int = STRIPE_BYTES, row_group: int = ROW_GROUP) -> None:
+          stripe_bytes: int = STRIPE_BYTES, row_group: int = ROW_GROUP, part_bytes: int = rows.PART_BYTES) -> None:
     """Encode every text and write its ids in ascending order of the key to ORC files under ``path``.
 
+    A file holds about ``part_bytes`` of text; rows of one key may lie in several.
     A null text is empty and has the end id alone. Rows with a null key come
-    first; rows of equal keys stay rows. Other columns are ignored.
+    first; rows of equal keys stay rows, in the order of the MD5 of their texts.
+    Other columns are ignored.
     """
-    spark = docs.sparkSession
-    slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = slim.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    dealt = dealt.select("doc_id", F.spark_partition_id().alias("shard"), "text")
+    dealt = rows.in_order(docs, key, text, part_bytes=part_bytes).select("doc_id", F.spark_partition_id().alias("shard"), "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, start, place = Encoder.of(tokenizer), 0, 0
-        for batch in _batches(batches, "text"):
-            ids, ends = with_end(*encoder.column(batch["text"]), end_id)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view(np.int32)))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["shard"], pa.array(place + np.arange(len(batch))), pa.array(start + ends[:-1]), lists],
-                ["doc_id", "shard", "place", "start", "ids"])
-            start, place = start + int(ends[-1]), place + len(batch)
+        try:
+            for batch in _batches(batches, "text"):
+                ids, ends = with_end(*encoder.column(batch["text"]), end_id)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"], batch["shard"], pa.array(place + np.arange(len(batch))), pa.array(start + ends[:-1]), lists],
+                    ["doc_id", "shard", "place", "start", "ids"])
+                start, place = start + int(ends[-1]), place + len(batch)
+        finally:
+            encoder.clear()
 
     (dealt.mapInArrow(encode, SCHEMA).write.option("orc.compress", "zstd").option("orc.stripe.size", stripe_bytes)
-     .option("orc.row.index.stride", row_group).option("orc.create.index", "true")
+     .option("orc.rows.between.memory.checks", ROWS_BETWEEN_CHECKS).option("orc.row.index.stride", row_group).option("orc.create.index", "true")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
 
 

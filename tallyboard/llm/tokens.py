@@ -4,7 +4,8 @@ A byte-level vocabulary cuts a text before a space that stands alone between two
 other characters, whatever follows, so the pieces between such spaces can be
 encoded each for itself. Most pieces repeat: the distinct ones of a batch are
 found by Arrow, and the library encodes those that the worker has not met yet.
-Texts with a space next to other white space go to the library whole.
+Texts with a space next to other white space, and those with the string of a
+special token, go to the library whole.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .hashing import string_hashes
-
 END_ID = 2
-#: Encoded pieces a worker keeps, at some 50 bytes each; when there are more it starts anew.
-KEEP = 4_000_000
+#: Bytes of encoded pieces that a task keeps; when there are more it starts anew.
+KEEP_BYTES = 48 << 20
+#: Bytes that a kept piece takes besides its text and ids.
+PIECE_BYTES = 160
 #: Pieces are encoded in one go, this white space between them, which is a token of its own before a space.
 BETWEEN = "\x0b"
 #: Pieces that go to the library together: it needs some hundred bytes for a token.
@@ -27,15 +28,15 @@ RUNS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
 class _Pieces:
-    """Distinct strings with their ids, numbered as they come and found by a 96-bit hash."""
+    """Distinct strings with their ids, numbered as they come and found by the string itself."""
 
     def __init__(self, encode, prefix: str):
         self.encode, self.prefix = encode, prefix
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.checks, self.numbers = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int32)
-        self.ids, self.ends, self.count = np.empty(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
+        self.known: dict[str, int] = {}
+        self.ids, self.ends, self.count, self.bytes = np.empty(1 << 12, np.uint32), np.zeros(1 << 10, np.int64), 0, 0
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, and how many each has."""
@@ -61,23 +62,18 @@ class _Pieces:
 
     def number(self, distinct: pa.Array) -> np.ndarray:
         """The numbers of distinct strings; new ones are encoded."""
-        if self.count > KEEP:
+        if self.bytes > KEEP_BYTES:
             self.clear()
-        keys, checks = string_hashes(distinct)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        known = (self.keys[at] == keys) & (self.checks[at] == checks) if len(self.keys) else np.zeros(len(keys), bool)
-        out = np.where(known, self.numbers[at], 0).astype(np.int64) if len(self.keys) else np.zeros(len(keys), np.int64)
-        if not known.all():
-            new = np.flatnonzero(~known)
-            first = self.count
-            for i in range(0, len(new), TOGETHER):
-                self._put(distinct.take(pa.array(new[i:i + TOGETHER])).to_numpy(zero_copy_only=False).tolist())
-            out[new] = np.arange(first, self.count)
-            order = np.argsort(keys[new])
-            new = new[order]
-            place = np.searchsorted(self.keys, keys[new])
-            self.keys, self.checks, self.numbers = (np.insert(a, place, v) for a, v in (
-                (self.keys, keys[new]), (self.checks, checks[new]), (self.numbers, out[new].astype(np.int32))))
+        names = distinct.to_pylist()
+        out = np.fromiter((self.known.get(name, -1) for name in names), np.int64, len(names))
+        new = np.flatnonzero(out < 0)
+        for i in range(0, len(new), TOGETHER):
+            pieces = [names[k] for k in new[i:i + TOGETHER]]
+            first, tokens = self.count, int(self.ends[self.count])
+            self._put(pieces)
+            self.known.update(zip(pieces, range(first, self.count)))
+            self.bytes += sum(map(len, pieces)) + PIECE_BYTES * len(pieces) + 4 * (int(self.ends[self.count]) - tokens)
+        out[new] = np.arange(self.count - len(new), self.count)
         return out
 
 
@@ -89,7 +85,7 @@ def _gather(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
 
 
 class Encoder:
-    """Encodes columns of texts; one to a worker."""
+    """Encodes columns of texts; one to a worker, with pieces that last for a task."""
 
     _made: dict[str, Encoder] = {}
 
@@ -97,7 +93,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Strings that are a token of their own wherever they stand.
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.encode = lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         self.first, self.rest = _Pieces(self.encode, ""), _Pieces(self.encode, " ")
 
@@ -110,10 +107,18 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    def clear(self) -> None:
+        """Forget the pieces: a task that ends leaves its worker as small as it was."""
+        self.first.clear()
+        self.rest.clear()
+
     def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text; null texts are empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        runs = pc.match_substring_regex(texts, RUNS).to_numpy(zero_copy_only=False)
+        runs = pc.match_substring_regex(texts, RUNS)
+        for string in self.special:
+            runs = pc.or_(runs, pc.match_substring(texts, string))
+        runs = runs.to_numpy(zero_copy_only=False)
         lengths = np.zeros(len(texts), np.int64)
         parts: dict[bool, np.ndarray] = {}
         for hard in (False, True):

@@ -16,7 +16,6 @@ def ids():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -34,20 +33,80 @@ def test_any_texts(ids, texts):
 
 
 def test_cache_starts_anew(ids, monkeypatch):
-    monkeypatch.setattr("tallyboard.llm.tokens.KEEP", 3)
+    monkeypatch.setattr("tallyboard.llm.tokens.KEEP_BYTES", 500)
     e = Encoder(tokenizer())
     for text in ("one two three four five", "six two seven", "one two"):
         assert e.column(pa.array([text]))[0].tolist() == ids(text)
     assert isinstance(e.rest, _Pieces) and e.rest.count < 8
 
 
+def thue_morse(n):
+    """A word and its complement, which every polynomial hash modulo a power of two takes for the same."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_polynomial_hashes_confuse(spark, docs, ids, crc, tmp_path):
+    """In one worker, over batches, and in the queries' operators."""
+    rows = [(i, f"x {w} y") for i, w in enumerate(thue_morse(1024) * 3)]
+    encoder = Encoder(tokenizer())
+    for _, text in rows:
+        assert encoder.column(pa.array([text]))[0].tolist() == ids(text)
+    frame = docs(*rows).coalesce(1)
+    want = {i: crc([*ids(t), 2]) for i, t in rows}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        assert {r["doc_id"]: r["ids_crc32"] for r in packing.pack(frame, tokenizer(), length=10_000).collect()} == want
+        token_store.write(frame, str(tmp_path / "t"), tokenizer())
+        assert {r["doc_id"]: r["ids_crc32"] for r in token_store.digests(spark, str(tmp_path / "t")).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+
+
+def test_strings_of_special_tokens(ids):
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "<|endoftext"):
+        assert Encoder.of(tokenizer()).column(pa.array([text]))[0].tolist() == ids(text)
+    assert 50256 in ids("a <|endoftext|> b")
+
+
+def test_a_task_leaves_no_pieces(ids):
+    encoder = Encoder(tokenizer())
+    encoder.column(pa.array(["some words that stay"]))
+    assert encoder.rest.count
+    encoder.clear()
+    assert not encoder.rest.count and not encoder.rest.known and encoder.column(pa.array(["some words"]))[0].tolist() == ids("some words")
+
+
+def test_hot_ids_and_stripes(spark, docs, ids, crc, tmp_path):
+    """A third of all rows under one id are split over files; files have several stripes; a lookup reads few row groups."""
+    import glob
+
+    import pyarrow.orc as orc
+
+    rows = [(i, f"text number {i} of all " * 30) for i in range(3000)] + [(5, f"hot {i % 40} " * 25) for i in range(1500)] + [(None, f"none {i % 3}") for i in range(200)]
+    path = str(tmp_path / "tokens")
+    token_store.write(docs(*rows), path, tokenizer(), stripe_bytes=40_000, row_group=1000, part_bytes=200_000)
+    files = glob.glob(path + "/*.orc")
+    holds = [set(spark.read.schema(token_store.SCHEMA).orc(f).select("doc_id").distinct().toPandas()["doc_id"].dropna()) for f in files]
+    assert sum(5 in h for h in holds) > 1 and max(orc.ORCFile(f).nstripes for f in files) > 1
+    got = sorted(tuple(r) for r in token_store.digests(spark, path).select("start", "n_tokens", "ids_crc32").collect())
+    start = 0
+    for first, n, _ in got:
+        assert first == start
+        start += n
+    assert len(got) == len(rows) and sorted(c for _, _, c in got) == sorted(crc([*ids(t), 2]) for _, t in rows)
+    assert token_store.lookup(spark, path, 2999).count() == 1 and token_store.lookup(spark, path, 5).count() == 1501
+
+
 def test_store_round_trip(spark, docs, ids, crc, tmp_path):
     rows = [(30 - i, t) for i, t in enumerate(TEXTS)] + [(7, "again"), (7, "again")]
     path = str(tmp_path / "tokens")
     token_store.write(docs(*rows).repartition(3), path, tokenizer())
     got = [tuple(r) for r in token_store.digests(spark, path).orderBy("start").collect()]
     start, want = 0, []
-    for doc_id, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
         mine = [*ids(text), 2]
         want.append((doc_id, start, len(mine), crc(mine)))
         start += len(mine)

@@ -10,15 +10,15 @@ special token, go to the library whole.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 2
-#: Bytes of encoded pieces that a task keeps; when there are more it starts anew.
+#: Bytes of encoded pieces that a worker keeps of each kind; when there are more it starts anew.
 KEEP_BYTES = 48 << 20
-#: Bytes that a kept piece takes besides its text and ids.
-PIECE_BYTES = 160
 #: Pieces are encoded in one go, this white space between them, which is a token of its own before a space.
 BETWEEN = "\x0b"
 #: Pieces that go to the library together: it needs some hundred bytes for a token.
@@ -28,15 +28,19 @@ RUNS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
 class _Pieces:
-    """Distinct strings with their ids, numbered as they come and found by the string itself."""
+    """Distinct strings with their ids, numbered as they come and found by 128 bits of BLAKE2."""
 
     def __init__(self, encode, prefix: str):
         self.encode, self.prefix = encode, prefix
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.ends, self.count, self.bytes = np.empty(1 << 12, np.uint32), np.zeros(1 << 10, np.int64), 0, 0
+        self.keys, self.checks, self.numbers = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.ids, self.ends, self.count = np.empty(1 << 12, np.uint32), np.zeros(1 << 10, np.int64), 0
+
+    @property
+    def bytes(self) -> int:
+        return sum(a.nbytes for a in (self.keys, self.checks, self.numbers, self.ids, self.ends))
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, and how many each has."""
@@ -64,16 +68,24 @@ class _Pieces:
         """The numbers of distinct strings; new ones are encoded."""
         if self.bytes > KEEP_BYTES:
             self.clear()
-        names = distinct.to_pylist()
-        out = np.fromiter((self.known.get(name, -1) for name in names), np.int64, len(names))
-        new = np.flatnonzero(out < 0)
-        for i in range(0, len(new), TOGETHER):
-            pieces = [names[k] for k in new[i:i + TOGETHER]]
-            first, tokens = self.count, int(self.ends[self.count])
-            self._put(pieces)
-            self.known.update(zip(pieces, range(first, self.count)))
-            self.bytes += sum(map(len, pieces)) + PIECE_BYTES * len(pieces) + 4 * (int(self.ends[self.count]) - tokens)
-        out[new] = np.arange(self.count - len(new), self.count)
+        digests = b"".join(blake2b(name, digest_size=16).digest() for name in distinct.cast(pa.large_binary()).to_pylist())
+        keys, checks = np.frombuffer(digests, np.uint64).reshape(-1, 2).T
+        out = np.zeros(len(keys), np.int64)
+        known = np.zeros(len(keys), bool)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = (self.keys[at] == keys) & (self.checks[at] == checks)
+            out[known] = self.numbers[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            first = self.count
+            for i in range(0, len(new), TOGETHER):
+                self._put(distinct.take(pa.array(new[i:i + TOGETHER])).to_pylist())
+            out[new] = np.arange(first, self.count)
+            new = new[np.argsort(keys[new])]
+            place = np.searchsorted(self.keys, keys[new])
+            self.keys, self.checks, self.numbers = (np.insert(a, place, v) for a, v in (
+                (self.keys, keys[new]), (self.checks, checks[new]), (self.numbers, out[new].astype(np.int32))))
         return out
 
 
@@ -85,7 +97,7 @@ def _gather(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
 
 
 class Encoder:
-    """Encodes columns of texts; one to a worker, with pieces that last for a task."""
+    """Encodes columns of texts; one to a worker."""
 
     _made: dict[str, Encoder] = {}
 
@@ -107,11 +119,6 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def clear(self) -> None:
-        """Forget the pieces: a task that ends leaves its worker as small as it was."""
-        self.first.clear()
-        self.rest.clear()
-
     def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text; null texts are empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")

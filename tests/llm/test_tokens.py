@@ -33,7 +33,7 @@ def test_any_texts(ids, texts):
 
 
 def test_cache_starts_anew(ids, monkeypatch):
-    monkeypatch.setattr("tallyboard.llm.tokens.KEEP_BYTES", 500)
+    monkeypatch.setattr("tallyboard.llm.tokens.KEEP_BYTES", 500 + (4 << 12) + (8 << 10))
     e = Encoder(tokenizer())
     for text in ("one two three four five", "six two seven", "one two"):
         assert e.column(pa.array([text]))[0].tolist() == ids(text)
@@ -71,12 +71,14 @@ def test_strings_of_special_tokens(ids):
     assert 50256 in ids("a <|endoftext|> b")
 
 
-def test_a_task_leaves_no_pieces(ids):
+def test_kept_pieces_have_a_bound(ids, monkeypatch):
+    """Ever new pieces do not grow a worker beyond what it may keep and one batch more."""
+    monkeypatch.setattr("tallyboard.llm.tokens.KEEP_BYTES", 200_000)
     encoder = Encoder(tokenizer())
-    encoder.column(pa.array(["some words that stay"]))
-    assert encoder.rest.count
-    encoder.clear()
-    assert not encoder.rest.count and not encoder.rest.known and encoder.column(pa.array(["some words"]))[0].tolist() == ids("some words")
+    for i in range(30):
+        text = " ".join(f"w{i}x{k}" for k in range(500))
+        assert encoder.column(pa.array([text]))[0].tolist() == ids(text)
+        assert encoder.rest.bytes < 400_000
 
 
 def test_hot_ids_and_stripes(spark, docs, ids, crc, tmp_path):
@@ -85,7 +87,7 @@ def test_hot_ids_and_stripes(spark, docs, ids, crc, tmp_path):
 
     import pyarrow.orc as orc
 
-    rows = [(i, f"text number {i} of all " * 30) for i in range(3000)] + [(5, f"hot {i % 40} " * 25) for i in range(1500)] + [(None, f"none {i % 3}") for i in range(200)]
+    rows = [(i, f"text {i * 7919} number {i * 31} of all {i}") for i in range(9000)] + [(5, f"hot {i % 40} {i}") for i in range(4500)] + [(None, f"none {i % 3}") for i in range(200)]
     path = str(tmp_path / "tokens")
     token_store.write(docs(*rows), path, tokenizer(), stripe_bytes=40_000, row_group=1000, part_bytes=200_000)
     files = glob.glob(path + "/*.orc")
@@ -97,7 +99,7 @@ def test_hot_ids_and_stripes(spark, docs, ids, crc, tmp_path):
         assert first == start
         start += n
     assert len(got) == len(rows) and sorted(c for _, _, c in got) == sorted(crc([*ids(t), 2]) for _, t in rows)
-    assert token_store.lookup(spark, path, 2999).count() == 1 and token_store.lookup(spark, path, 5).count() == 1501
+    assert token_store.lookup(spark, path, 2999).count() == 1 and token_store.lookup(spark, path, 5).count() == 4501
 
 
 def test_store_round_trip(spark, docs, ids, crc, tmp_path):

@@ -6,7 +6,7 @@ import numpy as np
 
 #: White space between words: space, and tab to carriage return.
 IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-_BASE = 0x100000001B3
+_BASE, _BASE2 = 0x100000001B3, 0x9E3779B97F4A7C15
 _TABLES: dict[int, np.ndarray] = {}
 _GOLDEN, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -39,6 +39,16 @@ def words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, mix((sums[ends] - sums[starts]) * _powers(pow(_BASE, -1, 1 << 64), len(raw))[starts])
 
 
+def string_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each string in the bytes, of 64 and 32 bits; unlike strings may share both, so compare the bytes."""
+    raw, out = raw.astype(np.uint64) + np.uint64(1), []
+    for base in (_BASE, _BASE2):
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(raw * _powers(base, len(raw))[:len(raw)], out=sums[1:])
+        out.append(mix((sums[ends] - sums[starts]) * _powers(pow(base, -1, 1 << 64), len(raw))[starts]))
+    return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
+
+
 def shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of all runs of ``size`` words, and where each text's begin (one more than texts).
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import rows
-from .token_store import _batches
+from .token_store import merged
 from .tokens import END_ID, Encoder, with_end
 
 LENGTH = 1024
@@ -170,7 +170,7 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
-        for batch in _batches(batches, "text"):
+        for batch in merged(batches, "text"):
             ids, ends = with_end(*encoder.column(batch["text"]), end_id)
             sizes = np.diff(ends)
             n = -(-sizes // length)

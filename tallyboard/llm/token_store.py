@@ -24,21 +24,35 @@ from .tokens import END_ID, Encoder, with_end
 SCHEMA = "doc_id bigint, shard int, place bigint, start bigint, ids array<int>"
 STRIPE_BYTES = 64 << 20
 ROW_GROUP = 1000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES, ENCODE_BYTES = 4 << 20, 8 << 20
 #: A writer looks after so many rows whether its stripe is full.
 ROWS_BETWEEN_CHECKS = 250
 
 
-def _batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``BATCH_BYTES`` of text, one row at least."""
+def _batches(batches: Iterator[pa.RecordBatch], text: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``size`` bytes of text, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH_BYTES)) + 1
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1
         for a, b in zip([0, *cuts], [*cuts, len(batch)]):
             if b > a:
                 yield batch.slice(a, b - a)
 
 
+def merged(batches: Iterator[pa.RecordBatch], text: str, size: int = ENCODE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The slices, small ones put together to about ``size`` bytes."""
+    held, total = [], 0
+    for batch in _batches(batches, text, size):
+        mine = pc.sum(pc.binary_length(batch[text])).as_py() or 0
+        if held and total + mine > size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += mine
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID,
           stripe_bytes: int = STRIPE_BYTES, row_group: int = ROW_GROUP, part_bytes: int = rows.PART_BYTES) -> None:
     """Encode every text and write its ids in ascending order of the key to ORC files under ``path``.
@@ -52,7 +66,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, start, place = Encoder.of(tokenizer), 0, 0
-        for batch in _batches(batches, "text"):
+        for batch in merged(batches, "text"):
             ids, ends = with_end(*encoder.column(batch["text"]), end_id)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays(

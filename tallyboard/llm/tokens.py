@@ -10,15 +10,15 @@ special token, go to the library whole.
 
 from __future__ import annotations
 
-from hashlib import blake2b
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .hashing import string_hashes
+
 END_ID = 2
-#: Bytes of encoded pieces that a worker keeps of each kind; when there are more it starts anew.
-KEEP_BYTES = 48 << 20
+#: Bytes of encoded pieces that a worker keeps of either kind; when there are more it starts anew.
+KEEP_BYTES = 96 << 20
 #: Pieces are encoded in one go, this white space between them, which is a token of its own before a space.
 BETWEEN = "\x0b"
 #: Pieces that go to the library together: it needs some hundred bytes for a token.
@@ -27,20 +27,41 @@ TOGETHER = 10_000
 RUNS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] | [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
+class _Strings:
+    """Strings one after another, with the ends of each, that grow by doubling."""
+
+    def __init__(self, kind: type):
+        self.data, self.ends, self.count = np.empty(1 << 12, kind), np.zeros(1 << 10, np.int64), 0
+
+    def add(self, data: np.ndarray, lengths: np.ndarray) -> None:
+        start = int(self.ends[self.count])
+        while len(self.data) < start + len(data):
+            self.data = np.concatenate([self.data, np.empty_like(self.data)])
+        while len(self.ends) <= self.count + len(lengths):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.data[start:start + len(data)] = data
+        self.ends[self.count + 1:self.count + 1 + len(lengths)] = start + np.cumsum(lengths)
+        self.count += len(lengths)
+
+    @property
+    def nbytes(self) -> int:
+        return self.data.nbytes + self.ends.nbytes
+
+
 class _Pieces:
-    """Distinct strings with their ids, numbered as they come and found by 128 bits of BLAKE2."""
+    """Distinct strings with their ids, numbered as they come; found by two hashes and then compared byte by byte."""
 
     def __init__(self, encode, prefix: str):
         self.encode, self.prefix = encode, prefix
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.checks, self.numbers = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int32)
-        self.ids, self.ends, self.count = np.empty(1 << 12, np.uint32), np.zeros(1 << 10, np.int64), 0
+        self.keys, self.checks, self.numbers = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int32)
+        self.ids, self.raw = _Strings(np.uint32), _Strings(np.uint8)
 
     @property
     def bytes(self) -> int:
-        return sum(a.nbytes for a in (self.keys, self.checks, self.numbers, self.ids, self.ends))
+        return sum(a.nbytes for a in (self.keys, self.checks, self.numbers, self.ids, self.raw))
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces, and how many each has."""
@@ -53,35 +74,38 @@ class _Pieces:
         found = [e.ids for e in self.encode([self.prefix + p for p in pieces])]
         return np.array([i for ids in found for i in ids], np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
-    def _put(self, pieces: list[str]) -> None:
-        ids, lengths = self._encoded(pieces)
-        start, total = int(self.ends[self.count]), len(ids)
-        while len(self.ids) < start + total:
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while len(self.ends) <= self.count + len(pieces):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[start:start + total] = ids
-        self.ends[self.count + 1:self.count + 1 + len(pieces)] = start + np.cumsum(lengths)
-        self.count += len(pieces)
+    def _known(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The number of each string that is kept, else -1."""
+        out = np.full(len(keys), -1, np.int64)
+        if not len(self.keys):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        kept = self.numbers[at]
+        met = np.flatnonzero((self.keys[at] == keys) & (self.checks[at] == checks) & (self.raw.ends[kept + 1] - self.raw.ends[kept] == lengths))
+        unlike = _gather(self.raw.data, self.raw.ends[kept[met]], lengths[met]) != _gather(raw, starts[met], lengths[met])
+        same = np.ones(len(met), bool)
+        same[np.searchsorted(np.cumsum(lengths[met]), np.flatnonzero(unlike), side="right")] = False
+        out[met[same]] = kept[met[same]]
+        return out
 
     def number(self, distinct: pa.Array) -> np.ndarray:
         """The numbers of distinct strings; new ones are encoded."""
         if self.bytes > KEEP_BYTES:
             self.clear()
-        digests = b"".join(blake2b(name, digest_size=16).digest() for name in distinct.cast(pa.large_binary()).to_pylist())
-        keys, checks = np.frombuffer(digests, np.uint64).reshape(-1, 2).T
-        out = np.zeros(len(keys), np.int64)
-        known = np.zeros(len(keys), bool)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            known = (self.keys[at] == keys) & (self.checks[at] == checks)
-            out[known] = self.numbers[at[known]]
-        new = np.flatnonzero(~known)
+        distinct = distinct.cast(pa.large_string())
+        offsets = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset:distinct.offset + len(distinct) + 1]
+        raw = np.frombuffer(distinct.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
+        starts, lengths = offsets[:-1], np.diff(offsets)
+        keys, checks = string_hashes(raw, starts, offsets[1:])
+        out = self._known(raw, starts, lengths, keys, checks)
+        new = np.flatnonzero(out < 0)
         if len(new):
-            first = self.count
+            first = self.ids.count
             for i in range(0, len(new), TOGETHER):
-                self._put(distinct.take(pa.array(new[i:i + TOGETHER])).to_pylist())
-            out[new] = np.arange(first, self.count)
+                self.ids.add(*self._encoded(distinct.take(pa.array(new[i:i + TOGETHER])).to_pylist()))
+            self.raw.add(_gather(raw, starts[new], lengths[new]), lengths[new])
+            out[new] = np.arange(first, self.ids.count)
             new = new[np.argsort(keys[new])]
             place = np.searchsorted(self.keys, keys[new])
             self.keys, self.checks, self.numbers = (np.insert(a, place, v) for a, v in (
@@ -164,8 +188,9 @@ class Encoder:
             names = np.zeros(len(distinct), np.int64)
             names[used] = pieces.number(distinct.take(pa.array(used)))
             n = names[index[here]]
-            starts[here], lengths[here] = pieces.ends[n] + base, pieces.ends[n + 1] - pieces.ends[n]
-            tables.append(pieces.ids[:pieces.ends[pieces.count]])
+            ends = pieces.ids.ends
+            starts[here], lengths[here] = ends[n] + base, ends[n + 1] - ends[n]
+            tables.append(pieces.ids.data[:ends[pieces.ids.count]])
             base += len(tables[-1])
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return _gather(np.concatenate(tables), starts, lengths), ends[offsets[1:]] - ends[offsets[:-1]]

@@ -33,11 +33,11 @@ def test_any_texts(ids, texts):
 
 
 def test_cache_starts_anew(ids, monkeypatch):
-    monkeypatch.setattr("tallyboard.llm.tokens.KEEP_BYTES", 500 + (4 << 12) + (8 << 10))
+    monkeypatch.setattr("tallyboard.llm.tokens.KEEP_BYTES", 500 + (5 << 12) + (16 << 10))
     e = Encoder(tokenizer())
     for text in ("one two three four five", "six two seven", "one two"):
         assert e.column(pa.array([text]))[0].tolist() == ids(text)
-    assert isinstance(e.rest, _Pieces) and e.rest.count < 8
+    assert isinstance(e.rest, _Pieces) and e.rest.ids.count < 8
 
 
 def thue_morse(n):

@@ -18,7 +18,7 @@ from .hashing import string_hashes
 
 END_ID = 2
 #: Bytes of encoded pieces that a worker keeps of either kind; when there are more it starts anew.
-KEEP_BYTES = 96 << 20
+KEEP_BYTES = 64 << 20
 #: Pieces are encoded in one go, this white space between them, which is a token of its own before a space.
 BETWEEN = "\x0b"
 #: Pieces that go to the library together: it needs some hundred bytes for a token.
@@ -79,7 +79,9 @@ class _Pieces:
         out = np.full(len(keys), -1, np.int64)
         if not len(self.keys):
             return out
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        order = np.argsort(keys)  # neighbours in the table are looked up one after another
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.keys, keys[order]), len(self.keys) - 1)
         kept = self.numbers[at]
         met = np.flatnonzero((self.keys[at] == keys) & (self.checks[at] == checks) & (self.raw.ends[kept + 1] - self.raw.ends[kept] == lengths))
         unlike = _gather(self.raw.data, self.raw.ends[kept[met]], lengths[met]) != _gather(raw, starts[met], lengths[met])

@@ -18,7 +18,7 @@ from .hashing import string_hashes
 
 END_ID = 2
 #: Bytes of encoded pieces that a worker keeps of either kind; when there are more it starts anew.
-KEEP_BYTES = 64 << 20
+KEEP_BYTES = 48 << 20
 #: Pieces are encoded in one go, this white space between them, which is a token of its own before a space.
 BETWEEN = "\x0b"
 #: Pieces that go to the library together: it needs some hundred bytes for a token.
@@ -152,6 +152,7 @@ class Encoder:
         for string in self.special:
             runs = pc.or_(runs, pc.match_substring(texts, string))
         runs = runs.to_numpy(zero_copy_only=False)
+        pa.default_memory_pool().release_unused()  # what the batch before has left
         lengths = np.zeros(len(texts), np.int64)
         parts: dict[bool, np.ndarray] = {}
         for hard in (False, True):

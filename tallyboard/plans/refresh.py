@@ -18,7 +18,7 @@ from ..operators.keyed import one_row, require_unique
 from ..operators.lookups import sensor_lookup
 from ..operators.rollup import account_members
 from ..sources import landed, support, warehouse
-from . import marts, scorecard
+from . import ledger, marts, scorecard
 
 
 #: What a run asks of the days before.
@@ -54,21 +54,30 @@ class Refresh:
             raise
 
 
-def raw_tables(feeds: dict[str, DataFrame], roster: DataFrame, as_of: dt.datetime) -> dict[str, DataFrame]:
-    """Typed tables from the landed feeds."""
+def raw_tables(feeds: dict[str, DataFrame], roster: DataFrame, as_of: dt.datetime,
+               flat: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Typed tables from the landed feeds; ``flat`` has those that a ledger holds already.
+
+    What was landed twice counts once, and pages that never came leave a mark.
+    """
     customers = landed.customers(roster, feeds["orgs"])
+    flat = flat or {
+        "audit": landed.audit(feeds["audit"]), "endpoint_pages": landed.pages(feeds["endpoints"]),
+        "endpoints": landed.endpoints(feeds["endpoints"]), "alerts": one_row(landed.alerts(feeds["alerts"]), ["inst_id"]),
+        "connectors": one_row(landed.connectors(feeds["connectors"]), ["inst_id", "connector_id", "name", "fetch_status"]),
+        "dashboards": one_row(landed.dashboards(feeds["dashboards"]), ["inst_id"])}
+    devices = landed.with_partial(landed.in_contact(flat["endpoints"], as_of), landed.page_gaps(flat["endpoint_pages"]))
     return {
         "customers": customers,
-        "audit": landed.audit(feeds["audit"]),
-        # A page or reply that was landed twice counts once.
-        "endpoints": one_row(landed.in_contact(landed.endpoints(feeds["endpoints"]), as_of), ["inst_id", "id", "fetch_status"], ["last_contact_time"]),
-        "alerts": one_row(landed.alerts(feeds["alerts"]), ["inst_id"]),
-        "kits": landed.kits(feeds["kits"]),
-        "connectors": landed.connectors(feeds["connectors"]),
-        "forwarders": landed.forwarders(feeds["forwarders"]),
-        "dashboards": landed.dashboards(feeds["dashboards"]),
-        "policy_ids": landed.policy_ids(feeds["policies"], customers),
-        "rules": landed.rules(feeds["policy"], customers),
+        "audit": flat["audit"],
+        "endpoints": one_row(devices, ["inst_id", "id", "fetch_status"], ["last_contact_time"]),
+        "alerts": flat["alerts"],
+        "kits": one_row(landed.kits(feeds["kits"]), ["backend", "os", "version"], ["create_time"]),
+        "connectors": flat["connectors"],
+        "forwarders": landed.forwarders(feeds["forwarders"]).dropDuplicates(),
+        "dashboards": flat["dashboards"],
+        "policy_ids": landed.policy_ids(feeds["policies"], customers).dropDuplicates(),
+        "rules": landed.rules(feeds["policy"], customers).dropDuplicates(),
         "version_support": support.version_support(feeds["pages"], as_of),
     }
 
@@ -83,11 +92,11 @@ def warehouse_tables(w: dict[str, DataFrame], as_of: dt.datetime, product_groups
     }
 
 
-def run(job: Refresh, feeds: dict[str, DataFrame], w: dict[str, DataFrame]) -> None:
+def run(job: Refresh, feeds: dict[str, DataFrame], w: dict[str, DataFrame], flat: dict[str, DataFrame] | None = None) -> None:
     """One day's run: tables, lookup, scores, archives, trends and marts."""
     roster = job.save("roster", warehouse.roster(w["installation"]))
     t = {name: job.save(name, df) for name, df in
-         {**raw_tables(feeds, roster, job.as_of), **warehouse_tables(w, job.as_of, job.product_groups)}.items()}
+         {**raw_tables(feeds, roster, job.as_of, flat), **warehouse_tables(w, job.as_of, job.product_groups)}.items()}
     lookup = job.save("sensor_lookup", sensor_lookup(t["endpoints"], t["kits"], t["version_support"]))
     for name in ("sf_data", "alerts", "new_deployment"):
         require_unique(t[name], "inst_id")
@@ -142,17 +151,8 @@ def open_warehouse(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {t: warehouse.read_table(spark, f"{path.rstrip('/')}/{t}", "parquet") for t in WAREHOUSE}
 
 
-def refresh_new(job: Refresh, table: str, rows: DataFrame, roster: DataFrame) -> None:
-    """Add the rows of installations of which the table has none yet (S17): audit, endpoints, alerts, connectors, dashboards."""
-    loaded = job.archive(table)
-    wanted = roster if loaded is None else landed.new_keys_only(roster, loaded.select("inst_id").distinct())
-    fresh = rows.join(wanted.select("inst_id"), "inst_id", "left_semi")
-    # The new rows depend on the table they are added to: fix them before the append.
-    path = job.path(f"_new_{table}")
-    history.replace(fresh, path)
-    history.append(job.spark.read.parquet(path), job.path(table))
-
-
-def refresh_new_audit(job: Refresh, replies: DataFrame, roster: DataFrame) -> None:
-    """Load the audit log of installations that have none yet."""
-    refresh_new(job, "audit", landed.audit(replies), roster)
+def run_landed(job: Refresh, landed_path: str, w: dict[str, DataFrame], only_new: bool = False) -> None:
+    """A run that flattens only the files that have come since the run before (S17): the ledger has the rest."""
+    book = ledger.Ledger(job.spark, landed_path, job.path("_ledger"))
+    book.land(only_new)
+    run(job, open_feeds(job.spark, landed_path), w, book.tables())

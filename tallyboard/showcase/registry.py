@@ -22,7 +22,7 @@ class Query:
 
 
 def all_queries() -> list[Query]:
-    from . import history_queries, metric_queries, report_queries, source_queries, warehouse_queries
+    from . import history_queries, ledger_queries, metric_queries, report_queries, source_queries, warehouse_queries
 
-    modules = (source_queries, warehouse_queries, metric_queries, history_queries, report_queries)
+    modules = (source_queries, ledger_queries, warehouse_queries, metric_queries, history_queries, report_queries)
     return [q for m in modules for q in m.QUERIES]

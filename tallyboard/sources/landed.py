@@ -10,7 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import strip_tags
 from ..functions.time import as_of_ntz, iso_utc
@@ -26,6 +27,16 @@ def read_feed(spark: SparkSession, feed: str, path: str) -> DataFrame:
     return spark.read.schema(LANDED[feed]).json(path)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, on whatever store the path names."""
+    try:
+        return bool(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").head(1))
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def _no_reply() -> Column:
     return F.col("status").isNull() | (F.col("status") >= 400)
 
@@ -106,6 +117,41 @@ def _is_time(replies: DataFrame, field: str) -> bool:
     return results[field].dataType.typeName() == "timestamp_ntz"
 
 
+#: Devices that a page of the source holds.
+PAGE_ROWS = 10_000
+
+
+def pages(replies: DataFrame) -> DataFrame:
+    """``inst_id, page, num_found`` of every page that was answered."""
+    answered = replies.filter(~_no_reply() & F.col("body.num_found").isNotNull())
+    return answered.select("inst_id", F.coalesce("page", F.lit(0)).cast("int").alias("page"), F.col("body.num_found").cast("bigint").alias("num_found"))
+
+
+def page_gaps(seen: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """``inst_id, first_page, last_page, expected_pages`` of every run of pages that never came.
+
+    As many pages are expected as the largest ``num_found`` of the installation
+    fills. Pages are made unique before they are sorted, so a window holds one
+    row for ``page_rows`` devices.
+    """
+    unique = seen.groupBy("inst_id", "page").agg(F.max("num_found").alias("num_found"))
+    mine = Window.partitionBy("inst_id")
+    ordered = mine.orderBy("page")
+    placed = unique.select(
+        "inst_id", "page", F.ceil(F.max("num_found").over(mine) / page_rows).cast("int").alias("expected_pages"),
+        F.lag("page").over(ordered).alias("_before"), F.lead("page").over(ordered).alias("_after"))
+    behind = F.struct((F.col("page") + 1).alias("first_page"), (F.least(F.coalesce("_after", "expected_pages"), "expected_pages") - 1).alias("last_page"))
+    ahead = F.when(F.col("_before").isNull(), F.struct(F.lit(0).alias("first_page"), (F.least("page", "expected_pages") - 1).alias("last_page")))
+    gaps = placed.select("inst_id", "expected_pages", F.explode(F.array(ahead, behind)).alias("g")).filter("g.first_page <= g.last_page")
+    return gaps.select("inst_id", "g.first_page", "g.last_page", "expected_pages")
+
+
+def with_partial(endpoints: DataFrame, gaps: DataFrame) -> DataFrame:
+    """The devices and one PARTIAL row for each installation some of whose pages never came."""
+    marks = gaps.select("inst_id").distinct().withColumn("fetch_status", F.lit(PARTIAL))
+    return endpoints.unionByName(marks, allowMissingColumns=True)
+
+
 def in_contact(endpoints: DataFrame, as_of: dt.datetime, days: int = 31) -> DataFrame:
     """Devices the source would return: in contact within ``days`` (F19); status rows stay."""
     recent = F.col("last_contact_time") >= as_of_ntz(as_of) - F.expr(f"INTERVAL {days} DAYS")

@@ -27,18 +27,17 @@ def _landed(spark: SparkSession, target: str) -> DataFrame | None:
 
 
 def land_new_files(spark: SparkSession, feed: str, source: str, target: str, checkpoint: str,
-                   flatten: Callable[[DataFrame], DataFrame], max_files: int = 10_000, once: bool = False) -> StreamingQuery:
+                   flatten: Callable[[DataFrame], DataFrame], max_files: int = 10_000, only_new: bool = False) -> StreamingQuery:
     """Append the flattened rows of new files of a feed to ``target/batch=<n>``.
 
-    With ``once`` a row that an earlier batch has landed for its installation is not landed again.
+    With ``only_new`` the rows of installations that an earlier batch has brought are left out.
     """
-    replies = (spark.readStream.schema(LANDED[feed]).option("maxFilesPerTrigger", max_files).json(source))
+    replies = spark.readStream.schema(LANDED[feed]).option("maxFilesPerTrigger", max_files).json(source)
 
     def write(batch: DataFrame, number: int) -> None:
         rows, path = flatten(batch), f"{target.rstrip('/')}/batch={number}"
-        if once and (landed := _landed(spark, target)) is not None:
-            mine = landed.filter(F.col("batch") != number).join(rows.select("inst_id").distinct(), "inst_id", "left_semi")
-            rows = rows.subtract(mine.select(*rows.columns))
+        if only_new and (landed := _landed(spark, target)) is not None:
+            rows = rows.join(landed.filter(F.col("batch") != number).select("inst_id").distinct(), "inst_id", "left_anti").select(*rows.columns)
         rows.write.mode("overwrite").parquet(path)
 
     return (replies.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

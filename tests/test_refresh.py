@@ -2,13 +2,14 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from estate_helpers import AS_OF, one, rows
 from tallyboard.plans import marts, refresh
 from tallyboard.schemas import WAREHOUSE
-from tallyboard.sources.landed import read_feed
 
 DAY = dt.timedelta(days=1)
 
@@ -131,15 +132,53 @@ def test_next_day_sees_the_swing(spark, table, job, tmp_path):
     assert job.archive("master_archive").count() == 6
 
 
-def test_incremental_audit(spark, table, tmp_path):
-    job = refresh.Refresh(spark, str(tmp_path / "out"), AS_OF, [])
-    roster = table("roster", {"inst_id": "1"}, {"inst_id": "2"})
-    land(tmp_path / "a", "audit", log("1", "Added user a", 1))
-
-    refresh.refresh_new_audit(job, read_feed(spark, "audit", str(tmp_path / "a" / "audit")), roster)
-    land(tmp_path / "b", "audit", log("1", "Added user again", 1), log("2", "Added user b", 1), log("9", "Added user c", 1))
-    refresh.refresh_new_audit(job, read_feed(spark, "audit", str(tmp_path / "b" / "audit")), roster)
-    assert rows(job.archive("audit"), "inst_id", "description") == [("1", "Added user a"), ("2", "Added user b")]
+TABLES = ["audit", "endpoints", "alerts", "connectors", "dashboards", "forwarders", "kits", "policy_ids", "rules", "customers"]
+
+
+def test_two_overlapping_runs_are_one(spark, table, landing, tmp_path):
+    """Files that come a day later and repeat what is there change nothing but what is new; each file is flattened once."""
+    import shutil
+
+    source = str(tmp_path / "landed")
+    shutil.copytree(landing, source)
+    fresh = refresh.Refresh(spark, str(tmp_path / "out"), AS_OF, ["g"])
+    refresh.run_landed(fresh, source, crm(table))
+    whole = refresh.raw_tables(refresh.open_feeds(spark, landing), refresh.warehouse.roster(crm(table)["installation"]), AS_OF)
+    for name in TABLES:
+        assert rows(fresh.load(name)) == rows(whole[name]), name
+    for feed in os.listdir(source):
+        if os.path.exists(f"{source}/{feed}/0.json"):
+            shutil.copy(f"{source}/{feed}/0.json", f"{source}/{feed}/again.json")
+    once = {name: rows(fresh.load(name)) for name in TABLES}
+    refresh.run_landed(fresh, source, crm(table))
+    for name in TABLES:
+        assert rows(fresh.load(name)) == once[name], name
+    shutil.copy(f"{source}/dashboards/0.json", f"{source}/dashboards/third.json")
+    (tmp_path / "landed" / "alerts" / "new.json").write_text(json.dumps(reply("3", {"results": [{"field": "workflow", "values": [{"id": "OPEN", "total": 5}]}]})))
+    (tmp_path / "landed" / "endpoints" / "new.json").write_text(json.dumps(devices("3", 2)))
+    refresh.run_landed(fresh, source, crm(table))
+    assert one(fresh.load("alerts"), inst_id="3")["open"] == 5
+    assert rows(fresh.load("endpoints").filter("inst_id = '3'"), "id", "fetch_status") == [("3-0", "OK"), ("3-1", "OK")]
+    assert rows(fresh.load("dashboards")) == once["dashboards"]
+
+
+def test_doubled_feeds_count_once(spark, table, landing):
+    """Every feed landed twice gives the tables of one landing, without a ledger too."""
+    feeds = {name: df.unionByName(df) for name, df in refresh.open_feeds(spark, landing).items()}
+    roster = refresh.warehouse.roster(crm(table)["installation"])
+    single = refresh.raw_tables(refresh.open_feeds(spark, landing), roster, AS_OF)
+    double = refresh.raw_tables(feeds, roster, AS_OF)
+    for name in single:
+        if name != "version_support":
+            assert rows(double[name]) == rows(single[name]), name
+
+
+def test_pages_that_never_came_leave_a_mark(spark, table, landing):
+    feeds = refresh.open_feeds(spark, landing)
+    short = spark.createDataFrame([json.dumps({**devices("2", 1), "inst_id": "2", "body": {"num_found": 25_000, "results": devices("2", 1)["body"]["results"]}})], "string")
+    feeds["endpoints"] = short.select(F.from_json("value", feeds["endpoints"].schema).alias("r")).select("r.*")
+    got = refresh.raw_tables(feeds, refresh.warehouse.roster(crm(table)["installation"]), AS_OF)["endpoints"]
+    assert rows(got, "inst_id", "id", "fetch_status") == [("2", "2-0", "OK"), ("2", None, "PARTIAL")]
 
 
 def test_column_metadata():

@@ -176,12 +176,34 @@ def test_streaming_landing_reads_each_file_once(spark, tmp_path):
     assert rows(spark.read.parquet(target), "inst_id") == [("1",), ("2",)]
 
 
-def test_streaming_landing_lands_an_event_once(spark, tmp_path):
-    """Two searches of two runs find one event; an event of another run is new."""
+def test_streaming_landing_of_new_installations_only(spark, tmp_path):
+    """An installation that an earlier landing has brought is left as it is."""
     source, target, checkpoint = (str(tmp_path / d) for d in ("in", "out", "ckpt"))
     (tmp_path / "in").mkdir()
-    for number, texts in enumerate((["a", "b"], ["b", "c"])):
-        entries = [{"loginName": "u", "eventTime": 1, "description": t} for t in texts]
-        (tmp_path / "in" / f"{number}.json").write_text(json.dumps({"inst_id": "1", "status": 200, "body": {"entries": entries}}))
-        land_new_files(spark, "audit", source, target, checkpoint, landed.audit, once=True).awaitTermination()
-    assert rows(spark.read.parquet(target), "description") == [("a",), ("b",), ("c",)]
+    for number, insts in enumerate((["1", "2"], ["2", "3"])):
+        lines = [json.dumps({"inst_id": i, "status": 200, "body": {"entries": [{"loginName": "u", "eventTime": 1, "description": f"text {number}"}]}}) for i in insts]
+        (tmp_path / "in" / f"{number}.json").write_text("\n".join(lines))
+        land_new_files(spark, "audit", source, target, checkpoint, landed.audit, only_new=True).awaitTermination()
+    assert rows(spark.read.parquet(target), "inst_id", "description") == [("1", "text 0"), ("2", "text 0"), ("3", "text 1")]
+
+
+def page(inst, number, found, devices=1, status=200):
+    return (inst, number, status, found, devices)
+
+
+def page_frame(spark, *pages):
+    data = [(i, n, st, {"num_found": found, "results": [{"id": f"{i}-{n}-{k}"} for k in range(d)]} if st == 200 else None) for i, n, st, found, d in pages]
+    from tallyboard.schemas import LANDED
+    return spark.createDataFrame([json.dumps({"inst_id": i, "page": n, "status": st, "body": b}) for i, n, st, b in data], "string").select(
+        F.from_json("value", LANDED["endpoints"]).alias("r")).select("r.*")
+
+
+def test_page_gaps(spark):
+    """Middle, first and last pages that never came; a page landed twice, a total that shrank, one beyond the total, a failed page."""
+    seen = page_frame(spark, page("whole", 0, 25), page("whole", 1, 25), page("whole", 2, 25), page("middle", 0, 45), page("middle", 3, 45), page("middle", 4, 45),
+                      page("last", 0, 30), page("last", 0, 30), page("first", 2, 30), page("shrank", 0, 30), page("shrank", 1, 12), page("beyond", 0, 10), page("beyond", 4, 10),
+                      page("failed", 0, 20), page("failed", 1, 20, status=504), page("none", 0, 0), page("dead", 0, 0, status=500))
+    assert rows(landed.page_gaps(landed.pages(seen), 10)) == sorted([
+        ("middle", 1, 2, 5), ("last", 1, 2, 3), ("first", 0, 1, 3), ("shrank", 2, 2, 3), ("failed", 1, 1, 2)])
+    marked = landed.with_partial(landed.endpoints(seen), landed.page_gaps(landed.pages(seen), 10)).filter("fetch_status = 'PARTIAL'")
+    assert {r["inst_id"] for r in marked.collect()} == {"middle", "last", "first", "shrank", "failed"}

@@ -28,9 +28,9 @@ def since_last_contact(endpoints: DataFrame, days: int) -> Column:
     return contact_since(last_contact_day(endpoints), days)
 
 
-def since_last_event(audit: DataFrame, days: int = 30) -> Column:
+def since_last_event(audit: DataFrame, days: int = 30, newest: Column | None = None) -> Column:
     """Event at most ``days`` before the newest event, to the millisecond."""
-    newest = audit.select(F.max("event_time")).scalar()
+    newest = audit.select(F.max("event_time")).scalar() if newest is None else newest
     return F.col("event_time") >= newest - F.lit(days * DAY_MS)
 
 

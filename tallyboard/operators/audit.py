@@ -40,9 +40,9 @@ def _count_in(window: Column, event: Column) -> Column:
     return F.sum(F.when(window, F.when(event, 1).otherwise(0)))
 
 
-def audit_metrics(audit: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Logins, connector logins, bypass use and last-of-kind dates per installation."""
-    recent, near_last = event_within(as_of, 30), since_last_event(audit, 30)
+def audit_metrics(audit: DataFrame, as_of: dt.datetime, newest: Column | None = None) -> DataFrame:
+    """Logins, connector logins, bypass use and last-of-kind dates per installation; ``newest`` is the newest event's time, where known."""
+    recent, near_last = event_within(as_of, 30), since_last_event(audit, 30, newest)
     devices = F.when(recent, F.when(is_bypass() & ~bypass_all(), items_in(_text())).otherwise(F.lit(0)))
     last = lambda event: F.max(F.when(event, F.col("event_time")))
     out = audit.filter(F.col("event_time").isNotNull()).groupBy("inst_id").agg(

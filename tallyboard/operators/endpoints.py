@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import percent
 from ..functions.values import DEPLOYED_STATUSES
-from .anchors import contact_since, last_contact_day
+from .devices import anchored, number, since_newest
 
 
 def is_deployed() -> Column:
@@ -19,33 +19,28 @@ def fetched() -> Column:
     return F.col("fetch_status") == "OK"
 
 
-def _n(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def endpoint_counts(endpoints: DataFrame) -> DataFrame:
     """Counts per installation and live platform and version, the grain at which the lookup is joined.
 
     A third of all devices may run one version, so rows are counted before any join
     on the version.
     """
-    # The anchor is a column, so the three windows share one scan for it.
-    anchored = endpoints.withColumn("_newest", last_contact_day(endpoints))
-    recent, day, week = (contact_since(F.col("_newest"), d) for d in (30, 1, 7))
+    devices = anchored(endpoints)
+    recent, day, week = (since_newest(devices, days) for days in (30, 1, 7))
     device, deployed = fetched(), is_deployed()
     empty = F.col("fetch_status") == "NO_DEPLOYMENT"
     other = F.col("deployment_type") != "WORKLOAD"
     live = device & recent & deployed
     # Only live devices are told apart by version: all others of an installation share one group.
-    return anchored.groupBy("inst_id", F.when(live, F.col("os")).alias("os"),
+    return devices.groupBy("inst_id", F.when(live, F.col("os")).alias("os"),
                             F.when(live, F.col("sensor_version")).alias("version")).agg(
-        _n((device & recent) | empty).alias("seen"),
-        _n(live).alias("deployed"),
-        _n(live & (F.col("deployment_type") == "WORKLOAD")).alias("workload"),
-        _n(device & recent & F.col("status").ilike("BYPASS")).alias("bypass"),
-        _n((device & other) | empty).alias("seen_other"),
-        _n(device & other & deployed & day).alias("contact_1d"),
-        _n(device & other & deployed & week).alias("contact_7d"),
+        number(endpoints, (device & recent) | empty).alias("seen"),
+        number(endpoints, live).alias("deployed"),
+        number(endpoints, live & (F.col("deployment_type") == "WORKLOAD")).alias("workload"),
+        number(endpoints, device & recent & F.col("status").ilike("BYPASS")).alias("bypass"),
+        number(endpoints, (device & other) | empty).alias("seen_other"),
+        number(endpoints, device & other & deployed & day).alias("contact_1d"),
+        number(endpoints, device & other & deployed & week).alias("contact_7d"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.numbers import percent
 from ..functions.text import version_family
 from ..functions.time import as_of_ntz
-from .anchors import contact_within, since_last_contact
+from .devices import number, since_newest, within_run
 from .endpoints import fetched, is_deployed
 
 
@@ -21,13 +21,13 @@ def version_label(version: Column, os: Column, available: Column, level: Column)
 
 
 def live_devices(endpoints: DataFrame) -> DataFrame:
-    return endpoints.filter(fetched() & is_deployed() & since_last_contact(endpoints, 30))
+    return endpoints.filter(fetched() & is_deployed() & since_newest(endpoints, 30))
 
 
 def sensor_versions(endpoints: DataFrame, lookup: DataFrame) -> DataFrame:
     """Deployed devices per installation and version label (A10), long form."""
     counts = (live_devices(endpoints).groupBy("inst_id", "os", F.col("sensor_version").alias("version"))
-              .agg(F.count("sensor_version").alias("n")))
+              .agg(number(endpoints, F.col("sensor_version").isNotNull()).alias("n")))
     label = version_label(F.col("version"), F.col("os"), F.col("dl_available"), F.col("support_level"))
     return (counts.join(lookup, ["os", "version"], "left")
             .groupBy("inst_id", label.alias("label")).agg(F.sum("n").alias("n")))
@@ -36,7 +36,7 @@ def sensor_versions(endpoints: DataFrame, lookup: DataFrame) -> DataFrame:
 def os_versions(endpoints: DataFrame) -> DataFrame:
     """Deployed devices per installation and OS version (A11), long form."""
     return (live_devices(endpoints).filter(F.col("os_version").isNotNull())
-            .groupBy("inst_id", F.lower("os_version").alias("label")).agg(F.count("*").alias("n")))
+            .groupBy("inst_id", F.lower("os_version").alias("label")).agg(number(endpoints).alias("n")))
 
 
 def deployment_summary(endpoints: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def deployment_summary(endpoints: DataFrame, lookup: DataFrame) -> DataFrame:
     count is passed on under three headings.
     """
     counts = (live_devices(endpoints).groupBy("inst_id", "os", F.col("sensor_version").alias("version"))
-              .agg(F.count("*").alias("n")))
+              .agg(number(endpoints).alias("n")))
     heading = lambda kind, key: F.struct(F.lit(kind).alias("kind"), F.lower(key).alias("key"))
     kinds = F.array(heading("os", F.col("os")), heading("family", version_family(F.col("version"))),
                     heading("support", F.col("support_level")))
@@ -89,8 +89,7 @@ def _level(name: str) -> Column:
 
 def deployment_archive(endpoints: DataFrame, lookup: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Devices of the last 30 days per installation and platform by support level."""
-    counts = (endpoints.filter(fetched() & contact_within(as_of, 30))
-              .groupBy("inst_id", "os", F.col("sensor_version").alias("version")).agg(F.count("*").alias("n")))
+    counts = _recent_by(endpoints, as_of)
     return (counts.join(lookup, ["os", "version"], "left").groupBy("inst_id", "os")
             .agg(_level("ST").alias("standard"), _level("EX").alias("extended"), _level("EOL").alias("eol"),
                  F.sum("n").alias("total"))
@@ -103,7 +102,7 @@ def deployment_trend(endpoints: DataFrame, roster: DataFrame, as_of: dt.datetime
     Devices of an unnamed backend count in ``all`` only.
     """
     counts = (live_devices(endpoints).groupBy("inst_id", F.col("sensor_version").alias("version"))
-              .agg(F.count("sensor_version").alias("n"))
+              .agg(number(endpoints, F.col("sensor_version").isNotNull()).alias("n"))
               .join(roster.select("inst_id", "backend"), "inst_id", "left"))
     grouped = (counts.groupingSets([["backend", "version"], ["version"]], "backend", "version")
                .agg(F.sum("n").alias("n"), F.grouping("backend").alias("_all")))
@@ -132,8 +131,8 @@ def _status(name: str) -> Column:
 
 
 def _recent_by(endpoints: DataFrame, as_of: dt.datetime, *cols: str) -> DataFrame:
-    return (endpoints.filter(fetched() & contact_within(as_of, 30))
-            .groupBy("inst_id", "os", F.col("sensor_version").alias("version"), *cols).agg(F.count("*").alias("n")))
+    return (endpoints.filter(fetched() & within_run(endpoints, as_of))
+            .groupBy("inst_id", "os", F.col("sensor_version").alias("version"), *cols).agg(number(endpoints).alias("n")))
 
 
 def version_status(endpoints: DataFrame, lookup: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -158,8 +157,8 @@ def os_support(endpoints: DataFrame, lookup: DataFrame, as_of: dt.datetime) -> D
 
 def signature_versions(endpoints: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Devices per installation and signature version."""
-    return (endpoints.filter(fetched() & contact_within(as_of, 30) & F.col("av_vdf_version").isNotNull())
-            .groupBy("inst_id", "av_vdf_version").agg(F.count("*").alias("n")))
+    return (endpoints.filter(fetched() & within_run(endpoints, as_of) & F.col("av_vdf_version").isNotNull())
+            .groupBy("inst_id", "av_vdf_version").agg(number(endpoints).alias("n")))
 
 
 def archive_pivot(archive: DataFrame, platforms: list[str]) -> DataFrame:

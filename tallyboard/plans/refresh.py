@@ -10,10 +10,11 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..operators import histograms as h
 from ..operators import history
+from ..operators.devices import device_counts
 from ..operators.keyed import one_row, require_unique
 from ..operators.lookups import sensor_lookup
 from ..operators.rollup import account_members
@@ -25,6 +26,10 @@ from . import ledger, marts, scorecard
 BEFORE = "inst_id string, account_name string, deployment bigint, cua_brag string, date date"
 
 
+#: Tables whose newest value of a column anchors a window.
+ANCHORED = {"endpoints": "last_contact_time", "audit": "event_time"}
+
+
 @dataclass
 class Refresh:
     """Where a run reads and writes, and the day it stands for."""
@@ -41,6 +46,15 @@ class Refresh:
         history.replace(df, self.path(table))
         return self.load(table)
 
+    def save_with_newest(self, table: str, df: DataFrame, column: str) -> tuple[DataFrame, Column]:
+        """Write a table and learn its newest value of a column from the same pass; the value is kept in ``anchors`` too."""
+        seen = Observation(f"{table}_newest")
+        history.replace(df.observe(seen, F.max(column).alias("newest")), self.path(table))
+        newest = F.lit(seen.get["newest"]).cast(df.schema[column].dataType)
+        one = self.spark.range(1).select(F.lit(table).alias("table"), newest.cast("string").alias("newest"))
+        history.replace(one, f"{self.path('anchors')}/{table}")
+        return self.load(table), newest
+
     def load(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
@@ -94,14 +108,19 @@ def warehouse_tables(w: dict[str, DataFrame], as_of: dt.datetime, product_groups
 
 def run(job: Refresh, feeds: dict[str, DataFrame], w: dict[str, DataFrame], flat: dict[str, DataFrame] | None = None) -> None:
     """One day's run: tables, lookup, scores, archives, trends and marts."""
+    newest: dict[str, Column] = {}
     roster = job.save("roster", warehouse.roster(w["installation"]))
-    t = {name: job.save(name, df) for name, df in
-         {**raw_tables(feeds, roster, job.as_of, flat), **warehouse_tables(w, job.as_of, job.product_groups)}.items()}
+    plans = {**raw_tables(feeds, roster, job.as_of, flat), **warehouse_tables(w, job.as_of, job.product_groups)}
+    t = {name: job.save(name, df) for name, df in plans.items() if name not in ANCHORED}
+    for name, column in ANCHORED.items():
+        t[name], newest[name] = job.save_with_newest(name, plans[name], column)
+    # The one scan of the devices: all that follows is rolled up from their counts.
+    t["endpoints"] = job.save("devices", device_counts(t["endpoints"], job.as_of, F.to_date(newest["endpoints"])))
     lookup = job.save("sensor_lookup", sensor_lookup(t["endpoints"], t["kits"], t["version_support"]))
     for name in ("sf_data", "alerts", "new_deployment"):
         require_unique(t[name], "inst_id")
 
-    metrics = scorecard.master_metrics(t, lookup, job.as_of)
+    metrics = scorecard.master_metrics(t, lookup, job.as_of, newest["audit"])
     master = job.save("master", scorecard.score_installations(metrics, job.archive("master_archive", BEFORE), job.as_of))
     accounts = job.save("account_master",
                         scorecard.score_accounts(master, job.archive("account_master_archive", BEFORE), job.as_of))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.audit import audit_metrics
 from ..operators.endpoints import deployment_share, endpoint_totals
@@ -43,11 +43,11 @@ def base_master(sf_data: DataFrame, alerts: DataFrame, consumption: DataFrame) -
     return base.join(counters, "inst_id", "left").join(consumption, "inst_id", "left")
 
 
-def master_metrics(t: dict[str, DataFrame], lookup: DataFrame, as_of: dt.datetime) -> DataFrame:
+def master_metrics(t: dict[str, DataFrame], lookup: DataFrame, as_of: dt.datetime, newest_event: Column | None = None) -> DataFrame:
     """Master without scores: one left join per source, each side one row per installation (K3)."""
     base = base_master(t["sf_data"], t["alerts"], t["new_deployment"])
     facts = [
-        audit_metrics(t["audit"], as_of),
+        audit_metrics(t["audit"], as_of, newest_event),
         integrations(all_names(t["forwarders"], t["connectors"])),
         endpoint_totals(t["endpoints"], lookup),
     ]

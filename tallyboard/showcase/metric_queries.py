@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import version_family
 from ..operators import audit as a
 from ..operators import endpoints as ep
+from ..operators.devices import device_counts
 from ..operators import histograms as h
 from ..operators import lookups
 from ..operators.series import activity_series, daily_activity
@@ -154,3 +155,19 @@ QUERIES = [
           oracle(f"select inst_id, av_vdf_version, count(*) as n from endpoints where last_contact_time > {NOW} - INTERVAL 30 DAY and av_vdf_version is not null group by 1, 2", "endpoints")),
     Query("a29_archive_pivot", "A29", lambda e: h.archive_pivot(archive_by_month(e), ["WINDOWS", "MAC", "LINUX"]), pivot_sql()),
 ]
+
+#: The same results from devices that were counted once.
+_COUNTED = {
+    "a05_endpoint_metrics": lambda e, d: ep.endpoint_metrics(d, e.licences, e.lookup), "a10_sensor_versions": lambda e, d: h.sensor_versions(d, e.lookup),
+    "a11_os_versions": lambda e, d: h.os_versions(d), "a12_deployment_summary": lambda e, d: h.deployment_summary(d, e.lookup),
+    "a13_deployment_archive": lambda e, d: h.deployment_archive(d, e.lookup, AS_OF), "a14_deployment_trend": lambda e, d: h.deployment_trend(d, e.roster, AS_OF),
+    "a24_version_status": lambda e, d: h.version_status(d, e.lookup, AS_OF), "a25_os_status": lambda e, d: h.os_status(d, e.lookup, AS_OF),
+    "a28_signatures": lambda e, d: h.signature_versions(d, AS_OF),
+}
+
+
+def _counted(make):
+    return lambda e: make(e, device_counts(e.endpoints, AS_OF))
+
+
+QUERIES += [Query(f"{q.name}_counted", q.covers, _counted(_COUNTED[q.name]), q.sql) for q in QUERIES if q.name in _COUNTED]

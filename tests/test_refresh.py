@@ -173,6 +173,20 @@ def test_doubled_feeds_count_once(spark, table, landing):
             assert rows(double[name]) == rows(single[name]), name
 
 
+def test_a_run_scans_the_devices_once(spark, table, landing, tmp_path, monkeypatch):
+    """Of all that a run writes, the table of counts alone is made from the devices."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    written, write = [], DataFrame.write
+    monkeypatch.setattr(DataFrame, "write", property(lambda df: (written.append(df.inputFiles()), write.fget(df))[1]))
+    once = refresh.Refresh(spark, str(tmp_path / "out"), AS_OF, ["g"])
+    refresh.run(once, refresh.open_feeds(spark, landing), crm(table))
+    assert len(written) > 30 and sum(any("/out/endpoints/" in f for f in files) for files in written) == 1
+    anchors = {r["table"]: r["newest"] for r in spark.read.parquet(once.path("anchors/endpoints"), once.path("anchors/audit")).collect()}
+    assert anchors["endpoints"].startswith("2024-01-31 00:00") and int(anchors["audit"]) == at(1)
+    assert once.load("devices").agg(F.sum("n")).first()[0] == once.load("endpoints").count()
+
+
 def test_pages_that_never_came_leave_a_mark(spark, table, landing):
     feeds = refresh.open_feeds(spark, landing)
     short = spark.createDataFrame([json.dumps({**devices("2", 1), "inst_id": "2", "body": {"num_found": 25_000, "results": devices("2", 1)["body"]["results"]}})], "string")

@@ -1,9 +1,10 @@
-"""Feeds landed in two overlapping deliveries, and pages that never came."""
+"""Feeds landed in two overlapping deliveries, pages that never came, tables updated by key and replaced."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators import stored
 from ..plans.ledger import ENTRIES, Ledger
 from ..session import scratch_path
 from ..sources import landed
@@ -32,7 +33,34 @@ def page_replies(e: Estate) -> DataFrame:
         "cast(l_suppkey as string) as inst_id", "page", "200 as status", "named_struct('num_found', n) as body")
 
 
+def merged(e: Estate) -> DataFrame:
+    """Customers, updated twice: every third has another balance and a new column, and some keys are new."""
+    path, key = scratch_path(e.spark, "keyed"), "cust"
+    base = e.raw("customer").selectExpr("c_custkey as cust", "c_name as name", "c_acctbal as balance")
+    stored.write_keyed(base, path, key, 16)
+    stored.merge_keyed(base.filter("cust % 3 = 0").selectExpr("cust", "balance + 1 as balance", "cast(cust % 7 as string) as grade"), path, key, 16)
+    stored.merge_keyed(base.filter("cust % 5 = 0").selectExpr("cust + 1000000 as cust", "concat(name, ' II') as name", "cast(null as double) as balance"), path, key, 16)
+    return stored.read_keyed(e.spark, path).select("cust", "name", "balance", "grade")
+
+
+def switched(e: Estate) -> DataFrame:
+    """Nations by a name that has been replaced, once by a write whose key repeats."""
+    folder, name = scratch_path(e.spark, "switched"), "switched_nation"
+    nations = e.raw("nation").selectExpr("n_nationkey as nation", "n_name as name")
+    stored.switch(nations.filter("nation > 3"), name, folder, "nation")
+    stored.switch(nations.withColumn("region", F.col("nation") % 5), name, folder, "nation")
+    try:
+        stored.switch(nations.unionByName(nations), name, folder, "nation")
+    except ValueError:
+        pass
+    return e.spark.table(name)
+
+
 QUERIES = [
+    Query("k03_merge", "K3", merged, """
+      select c_custkey as cust, c_name as name, case when c_custkey % 3 = 0 then c_acctbal + 1 else c_acctbal end as balance, case when c_custkey % 3 = 0 then cast(c_custkey % 7 as varchar) end as grade from customer
+      union all select c_custkey + 1000000, c_name || ' II', null, null from customer where c_custkey % 5 = 0"""),
+    Query("k01_switch", "K1 K9 S18", switched, "select n_nationkey as nation, n_name as name, n_nationkey % 5 as region from nation"),
     Query("s17_ledger_audit", "S17 S3", lambda e: landed_twice(e, "audit", s.audit_replies(e)), SQL["s03_audit_flatten"]),
     Query("s17_ledger_audit_only_new", "S17 S3", lambda e: landed_twice(e, "audit", s.audit_replies(e), only_new=True), SQL["s03_audit_flatten"]),
     Query("s17_ledger_endpoints", "S17 S4", lambda e: landed.in_contact(landed_twice(e, "endpoints", s.endpoint_replies(e)), s.CONTACT_AS_OF).select(

@@ -18,8 +18,14 @@ LEAST_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and those of no language. The network learns from those that have ``lang``."""
-    found = language_id.identify(docs, language_id.learn(docs), carry=True)
+    """Documents without a letter go, and those of no language. The network learns from those that have ``lang``.
+
+    Where none has there is nothing to tell languages by, and all documents with a letter stay.
+    """
+    network = language_id.learn(docs) if "lang" in docs.columns else None
+    if network is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = language_id.identify(docs, network, carry=True)
     return found.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 

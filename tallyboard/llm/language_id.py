@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .token_store import _batches
@@ -25,7 +25,8 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    #: The sample: so many documents of a language, so many windows of each. Bounds what training reads.
+    #: The sample: of the most frequent labels so many documents each, so many windows of each. Bounds what training reads.
+    languages: int = 256
     docs_per_language: int = 800
     windows_per_doc: int = 6
     window: int = 64
@@ -199,15 +200,23 @@ def train(samples: dict[str, list[bytes]], settings: Settings = Settings()) -> N
 
 
 def _sampled(labelled: DataFrame, settings: Settings) -> dict[str, list[bytes]]:
-    """Windows by label: of the documents with the least hashes of each label, at places drawn from the hash."""
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row a language
-    if not counts:
+    """Windows by label: of the documents with the least hashes of each label, at places drawn from the hash.
+
+    The hash is of id and text; rows that are equal in both count once, so null
+    and repeated ids draw no more than others. The bound holds before anything
+    is collected.
+    """
+    drawn = labelled.select("lang", "text", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).alias("draw"))
+    counts = drawn.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("draw").alias("kinds"))
+    kinds = {r["lang"]: r["kinds"] for r in counts.orderBy(F.desc("n"), "lang").limit(settings.languages).collect()}
+    if not kinds:
         return {}
     most = settings.docs_per_language
     # Somewhat more than the bound by a threshold on the hash, then the least of them.
-    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (2 * most + 50) / n))]), F.col("lang"))
-    drawn = labelled.withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).cast("long"))
-    picked = drawn.filter(F.col("draw") < share * (1 << 30))
+    below = F.element_at(F.create_map(*[F.lit(x) for lang, n in kinds.items() for x in (lang, int(min(1.0, (2 * most + 50) / n) * 2**62))]), F.col("lang"))
+    unlike = drawn.filter(F.col("draw") < below).groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    picked = unlike.withColumn("_turn", turn).filter(F.col("_turn") <= most)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

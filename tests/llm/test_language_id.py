@@ -69,3 +69,15 @@ def test_nothing_to_learn_from(docs):
     assert l.learn(data) is None
     assert [(r["lang_pred"], r["score"]) for r in l.identify(data, None).collect()] == [("und", 0.0)] * 2
     assert l.identify(docs(), l.train({"a": [b"x"], "b": [b"y"]}, SMALL)).count() == 0
+
+
+def test_the_sample_is_bounded_whatever_the_ids(docs, monkeypatch):
+    """Null, repeated and equal rows draw no more than the bound, and what is collected stays within it."""
+    data = docs(*[(None, f"{EN} {i}", "en") for i in range(3000)], *[(7, f"{DE} {i}", "de") for i in range(3000)], *[(None, EN, "en")] * 3000)
+    seen, collect = [], type(data).collect
+    monkeypatch.setattr(type(data), "collect", lambda df: (seen.append(collect(df)), seen[-1])[1])
+    found = l._sampled(data, SMALL)
+    assert {lang: len(parts) for lang, parts in found.items()} == {"en": 120, "de": 120}
+    assert max(map(len, seen)) <= 2 * SMALL.docs_per_language * SMALL.windows_per_doc
+    many = docs(*[(i, f"text {i}", f"l{i % 40}") for i in range(400)], *[(i, EN, "en") for i in range(50)])
+    assert len(l._sampled(many, l.Settings(languages=5, docs_per_language=2))) == 5

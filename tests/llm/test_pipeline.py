@@ -41,6 +41,20 @@ def test_language_keeps_clean_documents(stages):
     assert sorted(r[0] for r in gone) == [103, 104, 105] and len(kept) == len(raw) - 3
 
 
+def test_without_labels_clean_documents_stay(spark, docs):
+    rows = [(1, "some clean text"), (2, "ein anderer Text"), (3, "12 34 !!"), (4, None), (5, "")]
+    assert sorted(r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs(*rows), "").collect()) == [1, 2]
+    bare = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.identify_language(spark, bare, "").collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "one text of two blocks, eight words each, so that the mix can take it whole. " "Fine.", "en", "s")], [(1, None, None, None)]])
+def test_small_corpora(spark, tmp_path, rows):
+    frame = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    assert [r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()] == [r[0] for r in rows if r[1]]
+
+
 def test_exact_copies(stages):
     before, after = stages[0][1:3]
     first: dict = {}
@@ -122,12 +136,15 @@ def test_contracts(spark):
              "op7": "page_id bigint, url string, text string, n_chars bigint",
              "op8": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
              "op9": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
-             "op10": "doc_id bigint, held_out boolean, score double, predicted int"}
+             "op10": "doc_id bigint, held_out boolean, score double, predicted int",
+             "op11": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
+             "op12": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+             "op13": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"}
     data = "/root/testdata/sf0.001"
     for name, query in queries.QUERIES.items():
         df = query(spark, data)
         want = types[name.split("_")[0]].split(", ")
         assert [f"{n} {t}" for n, t in df.dtypes][:len(want)] == want, name
         table = "pages" if name.startswith(("op3", "op7")) else "documents"
-        if not name.startswith("op2"):
+        if not name.startswith(("op2", "op11")):
             assert df.count() == spark.read.parquet(f"{data}/{table}.parquet").count(), name

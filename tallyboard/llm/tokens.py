@@ -152,7 +152,6 @@ class Encoder:
         for string in self.special:
             runs = pc.or_(runs, pc.match_substring(texts, string))
         runs = runs.to_numpy(zero_copy_only=False)
-        pa.default_memory_pool().release_unused()  # what the batch before has left
         lengths = np.zeros(len(texts), np.int64)
         parts: dict[bool, np.ndarray] = {}
         for hard in (False, True):

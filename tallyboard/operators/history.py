@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.numbers import ratio
 from ..functions.time import as_of_ntz
+from .keyed import latest_row
 from .rules import declined
 
 
@@ -26,7 +28,7 @@ def write_day(day: DataFrame, path: str) -> None:
      .partitionBy("date").parquet(path))
 
 
-def read_archive(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     """All days of an archive; columns added later are NULL in older days (K4).
 
     With a declared schema no file is opened to find the columns.
@@ -61,10 +63,33 @@ def previous(archive: DataFrame, columns: dict[str, str], key: str = "inst_id",
             .select(key, *[F.col(c).alias(n) for c, n in columns.items()]))
 
 
+def last_states(archive: DataFrame, columns: list[str], before: dt.datetime, key: str = "inst_id") -> DataFrame:
+    """Newest snapshot of each key before a day, and the day it is of (``seen``): an as-of join's right side.
+
+    Reads all days before; ``advance_state`` gets the same from the day before alone.
+    """
+    days = archive.filter(F.col("date") < F.to_date(as_of_ntz(before)))
+    return latest_row(days.select(key, F.col("date").alias("seen"), *columns), [key], ["seen"])
+
+
+def advance_state(before: DataFrame, today: DataFrame, as_of: dt.datetime, columns: list[str], key: str = "inst_id") -> DataFrame:
+    """The last state of every key up to a day: today's row, or for a key that is absent today what was last seen.
+
+    ``before`` has ``seen`` and ``columns`` by key. Kept a day (``write_day``),
+    it spares an as-of join the scan of the archive: its cost grows with the
+    keys, not with the days. A key that is NULL has no state.
+    """
+    day = F.to_date(as_of_ntz(as_of))
+    now = today.select(key, day.alias("seen"), *columns)
+    both = before.select(key, "seen", *columns).filter(F.col("seen") < day).unionByName(now).filter(F.col(key).isNotNull())
+    return latest_row(both, [key], ["seen"]).withColumn("date", day)
+
+
 def with_previous(table: DataFrame, archive: DataFrame | None, as_of: dt.datetime, key: str = "inst_id") -> DataFrame:
     """Add the deployment and band of the snapshot before ``as_of``, and whether there is any such snapshot.
 
-    A rerun finds today's own snapshot in the archive; it does not count.
+    A rerun finds today's own snapshot in the archive; it does not count. Given a table of last states
+    (``advance_state``) instead, a key is compared with its own newest snapshot, days without it passed over.
     """
     if archive is None:
         return table.withColumns({"previous_deployment": F.lit(None).cast("bigint"),

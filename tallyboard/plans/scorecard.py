@@ -43,17 +43,37 @@ def base_master(sf_data: DataFrame, alerts: DataFrame, consumption: DataFrame) -
     return base.join(counters, "inst_id", "left").join(consumption, "inst_id", "left")
 
 
-def master_metrics(t: dict[str, DataFrame], lookup: DataFrame, as_of: dt.datetime, newest_event: Column | None = None) -> DataFrame:
-    """Master without scores: one left join per source, each side one row per installation (K3)."""
+def installation_facts(t: dict[str, DataFrame], lookup: DataFrame, as_of: dt.datetime, newest_event: Column | None = None) -> dict[str, DataFrame]:
+    """What the feeds tell of an installation: tables of one row each."""
+    return {
+        "audit_facts": audit_metrics(t["audit"], as_of, newest_event),
+        "integration_facts": integrations(all_names(t["forwarders"], t["connectors"])),
+        "endpoint_facts": endpoint_totals(t["endpoints"], lookup),
+    }
+
+
+def activity_facts(sf_data: DataFrame, activities: DataFrame) -> DataFrame:
+    """Newest activity by installation: met by account name in two columns, so that the wide rows need not move."""
+    return with_last_activity(sf_data.select("inst_id", "account_name"), activities).select("inst_id", "last_cse_timeline")
+
+
+def assemble(t: dict[str, DataFrame], facts: dict[str, DataFrame]) -> DataFrame:
+    """One left join per source, each side one row per installation (K3).
+
+    All joins are by ``inst_id``: over tables in buckets of it (``stored.write_bucketed``) none of them shuffles.
+    """
     base = base_master(t["sf_data"], t["alerts"], t["new_deployment"])
-    facts = [
-        audit_metrics(t["audit"], as_of, newest_event),
-        integrations(all_names(t["forwarders"], t["connectors"])),
-        endpoint_totals(t["endpoints"], lookup),
-    ]
-    joined = reduce(lambda left, right: left.join(right, "inst_id", "left"), facts, base)
-    return (with_last_activity(joined, t["cse_activity"])
-            .withColumn("deployment_perc", deployment_share("licenses")))
+    return reduce(lambda left, right: left.join(right, "inst_id", "left"), facts.values(), base)
+
+
+def with_deployment_share(assembled: DataFrame) -> DataFrame:
+    return assembled.withColumn("deployment_perc", deployment_share("licenses"))
+
+
+def master_metrics(t: dict[str, DataFrame], lookup: DataFrame, as_of: dt.datetime, newest_event: Column | None = None) -> DataFrame:
+    """Master without scores, in one plan from the typed tables."""
+    joined = assemble(t, installation_facts(t, lookup, as_of, newest_event))
+    return with_deployment_share(with_last_activity(joined, t["cse_activity"]))
 
 
 def score_installations(metrics: DataFrame, archive: DataFrame | None, as_of: dt.datetime) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import history as hist
 from ..operators import rules as r
+from ..operators import stored
+from ..plans import scorecard
+from ..plans.refresh import BY_INSTALLATION
 from ..session import scratch_path
 from . import oracle as o
 from .estate import AS_OF, TODAY, Estate, oracle
@@ -48,6 +51,9 @@ MONTHLY = """select cast(o_custkey as varchar) as inst_id, cast(date_trunc('mont
   case when count(*) <= 1 then 'Green' when count(*) = 2 then 'Yellow' else 'Red' end as cua_brag from orders group by 1, 2"""
 PREVIOUS = "select inst_id, deployment as previous_deployment, cua_brag as previous_brag from monthly where date = (select max(date) from monthly where date < DATE '2001-07-01')"
 
+NEWEST = """select inst_id, deployment as previous_deployment, cua_brag as previous_brag from monthly where date < DATE '2001-07-01'
+  qualify row_number() over (partition by inst_id order by date desc) = 1"""
+
 
 def current(e: Estate) -> DataFrame:
     """Order counts of the latest quarter, as today's table."""
@@ -70,6 +76,32 @@ def declines(e: Estate) -> DataFrame:
     return hist.with_decline(hist.with_previous(current(e), monthly(e), SWING_DAY))
 
 
+def swings_across_gaps(e: Estate) -> DataFrame:
+    """Swings against each customer's own newest month: states of a first day from the archive, then carried from day to day."""
+    path, columns, archive = scratch_path(e.spark, "states"), ["deployment", "cua_brag"], monthly(e)
+    start = dt.datetime(2001, 2, 1)
+    states = hist.last_states(archive, columns, start)
+    for month in (2, 3, 4, 5, 6):
+        day = dt.datetime(2001, month, 1)
+        hist.write_day(hist.advance_state(states, archive.filter(F.col("date") == F.lit(day.date())), day, columns), path)
+        kept = hist.read_archive(e.spark, path, "inst_id string, seen date, deployment bigint, cua_brag string, date date")
+        states = kept.filter(F.col("date") == F.lit(day.date()))
+    before = hist.with_previous(current(e), kept, SWING_DAY)
+    rule = [x for x in r.RULES if "decrease" in x.name]
+    scored = r.score(before.drop("cua_brag"), SWING_DAY, rule).drop("cua_brag")
+    return (hist.with_decline(scored.join(before.select("inst_id", "cua_brag"), "inst_id").withColumn("before", F.col("previous_deployment")))
+            .select("inst_id", "deployment", "before", "violations_triggered", "count_of_violations", "brag_decrease"))
+
+
+def bucketed_master(e: Estate) -> DataFrame:
+    """The master's metrics assembled from tables in buckets of the installation, as a run does it."""
+    path = scratch_path(e.spark, "bucketed")
+    keep = lambda name, df: stored.write_bucketed(df, f"{path}/{name}", "inst_id", 8)
+    t = e.tables | {name: keep(name, e.tables[name]) for name in BY_INSTALLATION}
+    facts = scorecard.installation_facts(t, e.lookup, AS_OF) | {"activity_facts": scorecard.activity_facts(t["sf_data"], t["cse_activity"])}
+    return scorecard.with_deployment_share(scorecard.assemble(t, {name: keep(name, df) for name, df in facts.items()})).select(*e.metrics.columns)
+
+
 def snapshot_rerun(e: Estate) -> DataFrame:
     """Two days written, the second one twice: the rerun replaces its own day only."""
     path = scratch_path(e.spark, "snapshots")
@@ -112,6 +144,13 @@ QUERIES = [
              cast(case when d then 3 else 0 end as int) as count_of_violations, 'Green' as cua_brag from (
              select c.inst_id, c.deployment, p.previous_deployment, coalesce((p.previous_deployment - c.deployment) * 100.0 / p.previous_deployment >= 10, false) as d
              from current c left join previous p on c.inst_id = p.inst_id) c left join previous p on c.inst_id = p.inst_id""", monthly=MONTHLY, previous=PREVIOUS, current=CURRENT)),
+    Query("r22_as_of", "R22 B3 W2 J11 J12", swings_across_gaps,
+          oracle("""select c.inst_id, c.deployment, p.previous_deployment as before,
+             case when (p.previous_deployment - c.deployment) * 100.0 / p.previous_deployment >= 10 then '>10% decrease in deployment counts' else '' end as violations_triggered,
+             cast(case when (p.previous_deployment - c.deployment) * 100.0 / p.previous_deployment >= 10 then 3 else 0 end as int) as count_of_violations,
+             case when p.previous_brag is null then null
+             when (c.cua_brag in ('Yellow', 'Red') and p.previous_brag = 'Green') or (c.cua_brag = 'Red' and p.previous_brag = 'Yellow') then 'True' else 'False' end as brag_decrease
+             from current c left join newest p on c.inst_id = p.inst_id""", monthly=MONTHLY, current=CURRENT, newest=NEWEST)),
     Query("b03_band_decline", "B3 J12", declines,
           oracle("""select c.inst_id, c.deployment, c.cua_brag, case when p.previous_brag is null then null
              when (c.cua_brag in ('Yellow', 'Red') and p.previous_brag = 'Green') or (c.cua_brag = 'Red' and p.previous_brag = 'Yellow') then 'True' else 'False' end as brag_decrease
@@ -128,4 +167,5 @@ QUERIES = [
     Query("k02_replace_and_append", "K1 K2 K9 S18", appended,
           "select c_nationkey, count(*) as n from customer group by 1 union all select s_nationkey, count(*) from supplier group by 1"),
     Query("j21_master_metrics", "J21 K3", lambda e: e.metrics, all_of("metrics")),
+    Query("j21_bucketed_master", "J21 K3 A16", bucketed_master, all_of("metrics")),
 ]

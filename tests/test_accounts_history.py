@@ -155,3 +155,28 @@ def test_work_dir_is_the_configured_one(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(FakeSession("spark://host"))
     assert work_dir(spark) == work_dir(spark)
+
+
+def test_states_of_any_day_are_the_newest_snapshots(spark, tmp_path):
+    """Carried from day to day, seeded from the archive, or made again after days without states: always the same."""
+    import random
+
+    from tallyboard.plans.refresh import Refresh
+
+    rng, start = random.Random(8), dt.datetime(2024, 1, 1)
+    seen = [(f"k{k}", (start + dt.timedelta(days=d)).date(), rng.choice([None, 1, 2, 3]), rng.choice(["Red", "Green"])) for d in range(6) for k in range(12) if rng.random() < 0.4]
+    archive = spark.createDataFrame(seen, "inst_id string, date date, deployment long, cua_brag string")
+    job = Refresh(spark, str(tmp_path), start, [], True)
+    for d in range(6):
+        job.as_of = start + dt.timedelta(days=d)
+        day = archive.filter(F.col("date") == F.lit(job.as_of.date())).drop("date").withColumn("account_name", F.lit("a"))
+        before = job.before("master", "inst_id")
+        newest = {k: (at, n, band) for k, at, n, band in sorted(seen, key=lambda r: r[1]) if at < job.as_of.date()}
+        assert (before is None) == (d == 0)
+        if d:
+            assert {r["inst_id"]: (r["seen"], r["deployment"], r["cua_brag"]) for r in before.collect()} == newest
+        job.follow_gaps = d != 3  # no state is kept on one day
+        for _ in range(1 + (d == 2)):  # one day runs twice
+            job.write_snapshot("master", day, "inst_id")
+        job.follow_gaps = True
+    assert Refresh(spark, str(tmp_path), start, [], True).before("master", "inst_id").count() == 0

@@ -132,6 +132,29 @@ def test_next_day_sees_the_swing(spark, table, job, tmp_path):
     assert job.archive("master_archive").count() == 6
 
 
+def test_gaps_are_followed(spark, table, landing, tmp_path):
+    """An installation that is off the roster for a day is compared with its own newest snapshot, kept as a state a day."""
+    out = str(tmp_path / "out")
+    empty = tmp_path / "landed"
+    for feed in ("orgs", "audit", "alerts", "kits", "connectors", "forwarders", "dashboards", "policies", "policy", "pages"):
+        land(empty, feed)
+    land(empty, "endpoints", devices("1", 20), devices("2", 30, "BYPASS", "3.5.0.1"))
+    whole, absent = crm(table), crm(table)
+    absent["installation"] = absent["installation"].filter("inst_id <> '1'")
+    run = lambda day, w, feeds: refresh.run(refresh.Refresh(spark, out, AS_OF + day * DAY, ["g"], True), refresh.open_feeds(spark, feeds), w)
+    run(0, whole, landing)
+    run(1, absent, str(empty))
+    last = refresh.Refresh(spark, out, AS_OF + 2 * DAY, ["g"], True)
+    run(2, whole, str(empty))
+    got = one(last.load("master"), inst_id="1")
+    assert ">10% decrease in deployment counts" in got["violations_triggered"] and got["brag_decrease"] == "True"
+    states = last.archive("master_states")
+    day = lambda n: (AS_OF + n * DAY).date()
+    assert rows(states, "date", "inst_id", "seen", "deployment") == sorted(
+        [(day(0), "1", day(0), 40), (day(0), "2", day(0), 30), (day(0), "3", day(0), None), (day(1), "1", day(0), 40), (day(1), "2", day(1), 30),
+         (day(1), "3", day(1), None), (day(2), "1", day(2), 20), (day(2), "2", day(2), 30), (day(2), "3", day(2), None)], key=lambda r: (str(r[0]), r[1]))
+
+
 TABLES = ["audit", "endpoints", "alerts", "connectors", "dashboards", "forwarders", "kits", "policy_ids", "rules", "customers"]
 
 

@@ -54,6 +54,34 @@ def test_untouched_parts_keep_their_files(spark, tmp_path):
     assert got == {k: -1 if k < 3 else 2 * k for k in range(1000)}
 
 
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    """All joins of the assembled master, with broadcast off: no exchange; the rows are those of the tables."""
+    from tallyboard.plans import scorecard
+
+    def keep(name, df):
+        return stored.write_bucketed(df, str(tmp_path / name), "inst_id", 4)
+
+    wide = ", ".join(f"{c} string" for c in scorecard.MASTER_NAMES if c not in ("inst_id", "licenses_purchased")) + ", licenses_purchased bigint"
+    ids = [str(i) for i in range(20)]
+    sf = spark.createDataFrame([(i, 10) for i in ids], "inst_id string, licenses_purchased bigint")
+    sf = sf.select("inst_id", *[F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in wide.split(", ")) if c != "licenses_purchased"], "licenses_purchased")
+    counters = spark.createDataFrame([(i, *[int(i)] * len(scorecard.ALERT_NAMES)) for i in ids[:10]], "inst_id string, " + ", ".join(f"{c} bigint" for c in scorecard.ALERT_NAMES))
+    plain = {"sf_data": sf, "alerts": counters, "new_deployment": spark.createDataFrame([("3", 7)], "inst_id string, peak_daily_consumption bigint")}
+    facts = {"a": frame(spark, "inst_id string, deployment bigint", ("1", 5), ("2", None)), "b": frame(spark, "inst_id string, last_login date")}
+    bucketed = scorecard.with_deployment_share(scorecard.assemble({n: keep(n, df) for n, df in plain.items()}, {n: keep(n, df) for n, df in facts.items()}))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = bucketed._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and text.count("SortMergeJoin") == 4, text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert rows(bucketed) == rows(scorecard.with_deployment_share(scorecard.assemble(plain, facts))) and bucketed.count() == 20
+    # A rerun replaces the table; a null key is a row as any other.
+    again = keep("a", frame(spark, "inst_id string, deployment bigint", (None, 1), ("9", 2)))
+    assert rows(again) == rows(spark.read.parquet(str(tmp_path / "a"))) == [("9", 2), (None, 1)]
+
+
 def test_changes_must_be_keyed(spark, tmp_path):
     path = str(tmp_path / "t")
     stored.write_keyed(frame(spark, "k string, v long", ("a", 1)), path, "k", 4)

@@ -3,9 +3,9 @@
 Targets are words per source. They are filled in blocks of equal size, which
 Sainte-Lague apportionment gives to the sources by highest quotients, shard after
 shard, so that a shard's quotas are whole numbers and the quotas of all shards
-add up. A source's documents lie end to end in an order drawn by the seed; its
-blocks are the runs of that order, taken from the start and, when the source is
-used up, from the start again.
+add up. A source's documents lie end to end in an order drawn by the seed, again
+and again; shard after shard takes its quota of blocks from where the shard
+before has ended, so a shard's words are a run of that order.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ def targets(sources: DataFrame, weights: Sequence[float] = (1, 2, 3), most: int
 
 
 def quotas(aims: DataFrame, block: int = BLOCK_WORDS, shards: int = SHARDS) -> DataFrame:
-    """``source, shard, quota``: the blocks each shard (from 0) takes of each source.
+    """``source, shard, quota, upto``: the blocks each shard (from 0) takes of each source, and those up to its end.
 
     The seats of a house of ``total / block`` go to the highest quotients
     ``target / (2 k - 1)``; the house of shard ``j`` is its share of the seats
@@ -83,21 +83,25 @@ def quotas(aims: DataFrame, block: int = BLOCK_WORDS, shards: int = SHARDS) -> D
     upto = (seats.join(changed, ["shard", "place"], "left")
             .withColumn("upto", F.col("seats") - _long(F.signum("over")) * F.coalesce("moves", F.lit(0))))
     earlier = F.lag("upto", 1, 0).over(Window.partitionBy("place").orderBy("shard"))
-    return upto.select("source", "place", "shard", (F.col("upto") - earlier).alias("quota"))
+    return upto.select("source", "place", "shard", (F.col("upto") - earlier).alias("quota"), "upto")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[float] = (1, 2, 3),
         most: int = MOST, block: int = BLOCK_WORDS, shards: int = SHARDS, seed: str = SEED, carry: bool = False) -> DataFrame:
-    """One row per row of ``docs``: the key, ``size``, ``source_size``, ``target``, ``taken``.
-
-    ``size`` counts words, 0 for a null text. ``taken`` counts the words the mix
-    takes, repeats included: whole passes over the source, then its documents in
-    the seeded order up to the last block, which may cut one document. Never more
-    than ``most`` times the size. A null source is a source of its own. With
-    ``carry`` the row comes whole as ``row``, without the text's words counted again.
+    """One row per row of ``docs``: the key, ``size``, ``source_size``, ``target``, ``taken``, ``by_shard``.
+
+    ``size`` counts words, 0 for a null text. ``by_shard`` lists the shards that
+    take words of the document, with their number; a shard's quota of a source may
+    begin and end within a document. ``taken`` is their sum, repeats included: whole
+    passes over the source, then its documents in the seeded order up to the last
+    block of the last shard. Never more than ``most`` times the size. The order is
+    drawn by key and text, so rows without a key are spread as others are. A null
+    source is a source of its own. With ``carry`` the row comes whole as ``row``,
+    without the text's words counted again.
     """
     kept = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
-    drawn = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("null"))).cast("binary"))
+    text_md5 = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    drawn = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("null")), text_md5).cast("binary"))
     sized = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), rows.n_words(text).alias("size"), drawn.alias("drawn"), *kept)
     sized = rows.numbered(sized, "sizes")
     slim = sized.select("row_id", "doc_id", "source", "size", "drawn", F.substring("drawn", 1, BUCKET).alias("bucket"))
@@ -106,20 +110,26 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     in_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(in_source), F.lit(0)))
     aims = rows.stored(targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, most), "targets")
-    takes = quotas(aims, block, shards).groupBy("place").agg(F.sum("quota").alias("blocks"))
-    takes = aims.join(takes, "place").withColumn("words", F.least(F.col("blocks") * block, F.col("source_size") * most))
-    passes = F.when(F.col("source_size") > 0, _long(F.floor(F.expr("words div source_size")))).otherwise(0)
-    plan = takes.withColumn("passes", passes).withColumn("rest", F.col("words") - F.col("passes") * F.col("source_size"))
+    # Where each shard ends in the source's order; a source has as many ends as there are shards.
+    ends = quotas(aims, block, shards).groupBy("place").agg(F.array_sort(F.collect_list(F.struct("shard", "upto"))).alias("ends"))
+    until = lambda end: F.least(end["upto"] * block, F.col("source_size") * most)
+    plan = aims.join(ends, "place").withColumn("ends", F.transform("ends", until))
     # One row for each bucket of a source, met by its documents.
     plan = starts.alias("s").join(plan.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select(
-        "s.source", "bucket", "bucket_start", "source_size", "target", "passes", "rest")
+        "s.source", "bucket", "bucket_start", "source_size", "target", "ends")
     plan = rows.stored(plan, "mix-plan")
 
     in_bucket = Window.partitionBy("source", "bucket").orderBy("drawn", "size", "row_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = slim.withColumn("before", F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
     met = placed.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.bucket") == F.col("p.bucket")))
-    partial = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("bucket_start") - F.col("before")))
-    out = met.select("row_id", F.col("doc_id").alias(key), "size", "source_size", "target", (F.col("passes") * F.col("size") + partial).alias("taken"))
+    # Words of a document up to an end: a size for each pass before it, and what the last pass has reached.
+    size, at, whole = F.col("size"), F.col("bucket_start") + F.col("before"), F.nullif(F.col("source_size"), F.lit(0))
+    reached = met.withColumn("at", at).withColumn("_source_size", whole)
+    words_to = "cast(coalesce((end div _source_size) * size + greatest(0, least(size, end % _source_size - at)), 0) as bigint)"
+    reached = reached.withColumn("upto", F.expr(f"transform(ends, end -> {words_to})"))
+    steps = F.expr("transform(upto, (n, i) -> named_struct('shard', i, 'words', if(i = 0, n, n - upto[i - 1])))")
+    out = reached.select("row_id", F.col("doc_id").alias(key), size, "source_size", "target", F.element_at("upto", -1).alias("taken"),
+                         F.filter(steps, lambda s: s["words"] > 0).alias("by_shard"))
     return (out.hint("merge").join(sized.select("row_id", "row"), "row_id") if carry else out).drop("row_id")
 
 

@@ -75,7 +75,7 @@ FROM judged
 OP9 = rf"""
 WITH sized AS (
   SELECT row_number() OVER () AS r, doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
-         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS drawn FROM documents),
+         md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS drawn FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS place FROM sized GROUP BY source),
 weighed AS (SELECT *, CAST([1, 2, 3][1 + (place - 1) % 3] AS DOUBLE) AS w, source_size * 3 AS cap, sum(source_size) OVER () AS total FROM sources),
@@ -90,17 +90,23 @@ aims AS (SELECT source, source_size, place, CASE WHEN is_full THEN CAST(cap AS D
 seats AS (
   SELECT place, (2 * k - 1) / target AS cost
   FROM (SELECT place, target, unnest(range(1, CAST(ceil(target / 8) AS BIGINT) + (SELECT count(*) FROM aims) + 2)) AS k FROM aims WHERE target > 0)),
-won AS (
-  SELECT place, count(*) AS blocks FROM (SELECT place, row_number() OVER (ORDER BY cost, place) AS turn FROM seats)
-  WHERE turn <= (SELECT round(sum(target) / 8) FROM aims) GROUP BY place),
+houses AS (SELECT shard, floor((SELECT round(sum(target) / 8) FROM aims) * (shard + 1) / 16) AS house FROM range(16) t(shard)),
+turns AS (SELECT place, row_number() OVER (ORDER BY cost, place) AS turn FROM seats),
+won AS (SELECT place, shard, count(*) AS blocks FROM turns JOIN houses ON turn <= house GROUP BY ALL),
 plan AS (
-  SELECT source, source_size, target, CAST(least(coalesce(blocks, 0) * 8, source_size * 3) AS BIGINT) AS words FROM aims LEFT JOIN won USING (place)),
+  SELECT source, source_size, target, shard, CAST(least(coalesce(blocks, 0) * 8, source_size * 3) AS BIGINT) AS words
+  FROM (SELECT * FROM aims, houses) LEFT JOIN won USING (place, shard)),
 laid AS (
   SELECT r, doc_id, source, size,
          coalesce(sum(size) OVER (PARTITION BY source ORDER BY drawn, size, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sized)
-SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (words // source_size) * size + greatest(0, least(size, words % source_size - before)) END AS BIGINT) AS taken
-FROM laid JOIN plan ON laid.source IS NOT DISTINCT FROM plan.source
+, reached AS (
+  SELECT r, doc_id, size, source_size, target, shard,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (words // source_size) * size + greatest(0, least(size, words % source_size - before)) END AS BIGINT) AS upto
+  FROM laid JOIN plan ON laid.source IS NOT DISTINCT FROM plan.source),
+steps AS (SELECT *, upto - lag(upto, 1, 0) OVER (PARTITION BY r ORDER BY shard) AS words FROM reached)
+SELECT doc_id, size, source_size, target, max(upto) AS taken,
+       coalesce(string_agg(CASE WHEN words > 0 THEN shard || ':' || CAST(words AS BIGINT) END, ' ' ORDER BY shard), '') AS by_shard
+FROM steps GROUP BY r, doc_id, size, source_size, target
 """
 
 ORACLE_SQL = {"op1_exact_dedup": OP1, "op3_url_filter": OP3, "op4_quality_rules": OP4, "op9_source_mix": OP9}

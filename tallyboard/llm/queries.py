@@ -59,7 +59,9 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(rows.read(spark, sf_dir, "documents"))
+    mixed = mixing.mix(rows.read(spark, sf_dir, "documents"))
+    shown = F.array_join(F.transform("by_shard", lambda s: F.concat_ws(":", s["shard"].cast("string"), s["words"].cast("string"))), " ")
+    return mixed.withColumn("by_shard", shown)
 
 
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

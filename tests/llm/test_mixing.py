@@ -1,3 +1,4 @@
+import hashlib
 import re
 from collections import Counter
 
@@ -54,6 +55,51 @@ def test_targets_and_taken(docs):
     assert sorted(map(tuple, again), key=str) == sorted(map(tuple, found), key=str)
 
 
+def laid_out(rows, seed, shards, block=8, most=3):
+    """Words of each row by shard: the order laid out word by word, a shard's blocks counted off it."""
+    words = [(i, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for i, (_, t, _, _) in enumerate(rows)]
+    sizes, orders = Counter(), {}
+    for (i, n), (doc_id, text, _, source) in zip(words, rows):
+        sizes[source] += n
+        drawn = hashlib.md5(f"{seed}:{'null' if doc_id is None else doc_id}:{hashlib.md5((text or '').encode()).hexdigest()}".encode()).hexdigest()
+        orders.setdefault(source, []).append((drawn, n, i))
+    want, seats = filled(sizes), round(sum(sizes.values()) / block)
+    names = sorted(want, key=lambda s: (s is None, (s or "").encode()))
+    targets = {s: want[s] for s in names}
+    got = [Counter() for _ in rows]
+    at, before = Counter(), Counter()
+    for shard in range(shards):
+        won = sainte_lague(targets, seats * (shard + 1) // shards)
+        for s in names:
+            order = [i for _, n, i in sorted(orders[s]) for _ in range(n)]
+            for _ in range((won[s] - before[s]) * block):
+                if at[s] < most * len(order):
+                    got[order[at[s] % len(order)]][shard] += 1
+                    at[s] += 1
+        before = won
+    return got
+
+
+def test_shards_take_their_quotas(docs):
+    """Every shard's words of every document, against the order laid out word by word; another number of shards, another layout of the same words."""
+    data = [r for i, r in enumerate(ROWS) if r not in ROWS[:i]]
+    by_id = {r[0]: i for i, r in enumerate(data)}
+    takes = {}
+    for shards in (1, 5, 16):
+        want = laid_out(data, mixing.SEED, shards)
+        found = mixing.mix(docs(*data), shards=shards).collect()
+        takes[shards] = {r["doc_id"]: r["taken"] for r in found}
+        for r in found:
+            assert {s["shard"]: s["words"] for s in r["by_shard"]} == dict(want[by_id[r["doc_id"]]]), r
+            assert sum(s["words"] for s in r["by_shard"]) == r["taken"]
+    assert takes[1] == takes[5] == takes[16]
+
+
+def test_rows_without_a_key_are_spread(docs):
+    got = mixing.mix(docs(*[(None, f"t{i} a b", None, "s") for i in range(50)], (1, "x " * 20, None, "t"))).collect()
+    assert len(got) == 51 and sum(r["taken"] > 0 for r in got) > 1
+
+
 def test_quotas_are_sainte_lague(spark):
     for sizes in ({"a": 100, "b": 5, "c": 33, "d": 61}, {"a": 1000, "b": 1000, "c": 1000}, {"a": 7, "b": 0, "c": 9999, "d": 4, "e": 3, "f": 2}):
         aims = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))

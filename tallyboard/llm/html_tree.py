@@ -70,6 +70,7 @@ class Pages:
         """Read a page. Elements that the page leaves open end with those that hold them; stray ends are passed over."""
         top = self._node(-1, "body")
         stack, names = [top], ["body"]
+        depths: dict[str, list[int]] = {"body": [0]}  # of the open elements of a name, outer ones first
         pieces: list[str] = []
         links, in_link, at = 0, False, 0
 
@@ -84,8 +85,14 @@ class Pages:
             links = 0
 
         def close(depth: int) -> None:
+            for name in names[depth:]:
+                depths[name].pop()
             del stack[depth:], names[depth:]
 
+        def innermost(tags: set[str]) -> int:
+            """Depth of the innermost open element of some names; 0, the page's own, where there is none."""
+            return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+
         for m in iter(lambda: _TAG.search(source, at), None):
             if m.start() > at:
                 piece = source[at:m.start()]
@@ -118,10 +125,8 @@ class Pages:
                 self.tags[stack[-1]] += 1
             elif ends:
                 flush()
-                if tag in names:
-                    depth = len(names) - 1 - names[::-1].index(tag)
-                    if depth:
-                        close(depth)
+                if depth := innermost({tag}):
+                    close(depth)
                 in_link = False
             else:
                 flush()
@@ -129,15 +134,12 @@ class Pages:
                     close(len(names) - 1)
                 if tag in ENDS:
                     same, holders = ENDS[tag]
-                    for depth in range(len(names) - 1, 0, -1):
-                        if names[depth] in holders:
-                            break
-                        if names[depth] in same:
-                            close(depth)
-                            break
+                    if (depth := innermost(same)) > innermost(holders):
+                        close(depth)
                 if tag not in VOID:
                     mark = "1" if "x-keep" in attributes else "0" if "x-drop" in attributes else ""
                     stack.append(self._node(stack[-1], tag, attributes, mark=mark))
+                    depths.setdefault(tag, []).append(len(names))
                     names.append(tag)
                 in_link = False
         if at < len(source):
@@ -168,7 +170,7 @@ class Nodes:
             if p >= 0:
                 depths[i] = depths[p] + 1
         self.depth = whole(depths)
-        self.levels = [np.flatnonzero(self.depth == d) for d in range(int(self.depth.max()) + 1)] if n else []
+        self.levels = np.split(np.argsort(self.depth, kind="stable"), np.cumsum(np.bincount(self.depth))[:-1]) if n else []
         own = np.stack([np.ones(n), *[np.array(x, float) for x in (pages.chars, pages.words, pages.links, pages.stops, pages.tags, pages.controls)],
                         *[self.kind == k for k in (7, 9, 11, 18)]], axis=1) if n else np.zeros((0, 11))
         self.own, self.sums = own, own.copy()

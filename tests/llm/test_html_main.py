@@ -1,7 +1,7 @@
 import pytest
 
 from tallyboard.llm import html_main
-from tallyboard.llm.html_tree import Pages
+from tallyboard.llm.html_tree import Nodes, Pages
 
 LONG = "Words that make up a paragraph of some length, as an article has many of them. It goes on for a while, and ends here."
 
@@ -19,6 +19,39 @@ def page(main, before="", after=""):
     return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t='</p>';</script></head><body>{before}{main}{after}</body></html>"
 
 
+def test_decoding_is_the_best_of_all_choices():
+    """On trees of up to 12 nodes: no choice that keeps children below their parents is likelier than the decoded one."""
+    import itertools
+    from types import SimpleNamespace
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for n in [1, 2, 3] + [int(x) for x in rng.integers(4, 13, 40)]:
+        parent = [-1] + [int(rng.integers(0, i)) for i in range(1, n)]
+        flat = SimpleNamespace(page=[0] * n, parent=parent, kind=[6] * n, hints=[0] * n, **{c: [0] * n for c in ("chars", "words", "links", "stops", "tags", "controls")})
+        p = rng.uniform(0.02, 0.98, n)
+        got = Nodes(flat).decode(p)
+        value = lambda chosen: sum(np.log(p[i] if c else 1 - p[i]) for i, c in enumerate(chosen))
+        allowed = [c for c in itertools.product((False, True), repeat=n) if all(not c[i] or c[parent[i]] for i in range(1, n))]
+        assert all(not got[i] or got[parent[i]] for i in range(1, n))
+        assert abs(value(got) - max(map(value, allowed))) < 1e-9
+
+
+def test_a_deep_page_takes_time_by_its_length(model):
+    """Open elements of one name, of several, and ends without a beginning: a hundred thousand deep."""
+    import time
+
+    deep = 100_000
+    start = time.time()
+    for source in ("<div>" * deep + f"<p>{LONG}</p>", "<div>" * deep + LONG + "</div>" * deep, "<ul><li>" * (deep // 2) + LONG, "<div>" * deep + "</nav>" * deep + LONG):
+        pages = Pages()
+        pages.add(source)
+        found = pages.arrays()
+        assert len(found.levels) == len(set(found.depth.tolist())) > deep // 2 and max(pages.words) == len(LONG.split())
+    assert time.time() - start < 60
+
+
 def test_article_without_what_is_around_it(model):
     nav = '<nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
     after = (f'<section class="comments"><h3>Comments</h3><div class="comment"><p>{LONG}</p></div></section><aside><p>{LONG}</p></aside>'

@@ -24,8 +24,8 @@ from .hashing import words
 from .token_store import _batches
 
 FOLDS = 4
-#: Sums of partitions are added up in so many tasks before they reach the driver.
-SUMMING_TASKS = 8
+#: Partial sums that one task, or the driver, adds up at most.
+FAN_IN = 8
 STATS = ("log_words", "log_chars", "word_mean", "word_spread", "upper", "digit", "punct", "symbol", "accent", "lines", "dup_lines", "short_lines",
          "distinct_words", "top_word", "top_trigram", "repeat_pairs", "char_entropy", "word_entropy", "capital_words", "sentence", "same_next")
 
@@ -90,25 +90,36 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 
 def _summed(df: DataFrame, parts, shape: tuple[int, ...]) -> np.ndarray:
-    """The sum over all rows of what ``parts`` gives for batches of them: added up by partition, then by task, then here."""
+    """The sum over all rows of what ``parts`` gives for batches of them.
+
+    A partition with rows writes one partial sum. These are added up in a tree:
+    a task holds ``FAN_IN`` of them at most, and as many reach the driver, however
+    many partitions there are. The order of adding is fixed, so reruns agree.
+    """
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(shape)
+        total, seen = np.zeros(shape), False
         for batch in batches:
             if len(batch):
                 total += parts(batch)
-        yield pd.DataFrame({"task": [_task()], "data": [total.tobytes()]})
+                seen = True
+        if seen:
+            yield pd.DataFrame({"task": [_task()], "data": [total.tobytes()]})
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
+    def added(partials: pd.DataFrame) -> np.ndarray:
         total = np.zeros(shape)
-        for data in group["data"]:
+        for data in partials.sort_values("task")["data"]:
             total += np.frombuffer(data).reshape(shape)
-        return pd.DataFrame({"task": group["task"].iloc[:1], "data": [total.tobytes()]})
+        return total
 
-    sums = df.mapInPandas(partial, "task int, data binary").withColumn("task", F.col("task") % SUMMING_TASKS)
-    total = np.zeros(shape)
-    for row in sums.groupBy("task").applyInPandas(add, "task int, data binary").orderBy("task").collect():
-        total += np.frombuffer(row["data"]).reshape(shape)
-    return total
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"task": [group["task"].iloc[0] // FAN_IN], "data": [added(group).tobytes()]})
+
+    sums = rows.stored(df.mapInPandas(partial, "task int, data binary"), "sums")
+    last = sums.agg(F.max("task")).first()[0] or 0
+    while last >= FAN_IN:
+        sums = sums.groupBy((F.col("task") / FAN_IN).cast("int").alias("group")).applyInPandas(add, "task int, data binary")
+        last //= FAN_IN
+    return added(sums.toPandas())
 
 
 def _task() -> int:

@@ -26,6 +26,30 @@ def test_partition_sums_are_the_whole(spark, docs):
     assert np.allclose(one.weights, two.weights, atol=1e-6) and np.allclose(one.rates, two.rates, atol=1e-3)
 
 
+def test_ridge_is_the_direct_solution(spark, docs):
+    """The weights of every fold and of all, against least squares over the stacked rows with the penalty as rows of their own."""
+    data, labels = table(spark, docs)
+    stats = q.measured(data.repartition(40))
+    model = q.fit(stats, labels, SMALL)
+    known = stats.join(labels, "doc_id").selectExpr("stats", "label", f"cast(pmod(xxhash64(doc_id), {q.FOLDS}) as int) as fold").toPandas()
+    everything = np.stack(stats.toPandas()["stats"].to_numpy()).astype(float)
+    assert np.allclose(model.mean, everything.mean(0)) and np.allclose(model.scale**2, np.maximum(everything.var(0), 1e-8), atol=1e-6)
+    z, y = model.features(np.stack(known["stats"].to_numpy()).astype(float)), known["label"].to_numpy(float)
+    for k in range(q.FOLDS + 1):
+        use = known["fold"].to_numpy() != k
+        penalty = np.sqrt(SMALL.ridge) * np.eye(z.shape[1])
+        direct = np.linalg.lstsq(np.concatenate([z[use], penalty]), np.concatenate([y[use], np.zeros(len(penalty))]), rcond=None)[0]
+        assert np.allclose(model.weights[:, k], direct, atol=1e-6), k
+
+
+def test_sums_are_added_in_a_tree(spark):
+    """Partials of hundreds of partitions, some empty: each row once, no task or driver adds up more than eight."""
+    rng = spark.range(0, 5000, 1, 600).filter("id % 50 < 30")
+    total = q._summed(rng, lambda b: np.array([len(b), b["id"].sum()], float), (2,))
+    assert total.tolist() == [3000, sum(i for i in range(5000) if i % 50 < 30)]
+    assert q._summed(rng.filter("id < 0"), lambda b: np.ones(2), (2,)).tolist() == [0, 0]
+
+
 def test_features_approximate_the_kernel(spark):
     rng = np.random.default_rng(1)
     d, m, gamma = len(q.STATS), 20000, 0.05

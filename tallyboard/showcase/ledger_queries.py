@@ -14,6 +14,9 @@ from .registry import Query
 
 SQL = {q.name: q.sql for q in s.QUERIES}
 
+#: Replies in a landed file at most: a compressed file is read by one task.
+FILE_REPLIES = 100_000
+
 
 def landed_twice(e: Estate, name: str, replies: DataFrame, only_new: bool = False) -> DataFrame:
     """A table of the ledger after two landings of two thirds of the installations each; a third comes twice."""
@@ -21,7 +24,8 @@ def landed_twice(e: Estate, name: str, replies: DataFrame, only_new: bool = Fals
     book = Ledger(e.spark, f"{root}/landed", f"{root}/ledger", {name: ENTRIES[name]})
     slot = F.pmod(F.xxhash64("inst_id"), F.lit(3))
     for part in (slot < 2, slot > 0):
-        replies.filter(part).write.mode("append").json(f"{root}/landed/{feed}")
+        # As they come over the wire: names and times repeat in every reply and would be most of what is written.
+        replies.filter(part).write.mode("append").option("maxRecordsPerFile", FILE_REPLIES).json(f"{root}/landed/{feed}", compression="gzip")
         book.land(only_new)
     return book.table(name)
 

@@ -32,6 +32,22 @@ def test_any_texts(ids, texts):
     assert got.tolist() == [i for t in texts for i in ids(t)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t\r\x0b\x0c\x1c\x85\xa0\u2028\u3000aZstré×÷ñÀÿªµ\u0301\u0130жア好’'.,;-_<|>09²½", max_size=24), max_size=6))
+def test_texts_of_many_scripts_and_spaces(ids, texts):
+    """Cut beside letters of several scripts, marks, figures and every white space: as the library encodes the whole."""
+    got, lengths = Encoder.of(tokenizer()).column(pa.array(texts, pa.string()))
+    assert got.tolist() == [i for t in texts for i in ids(t)] and lengths.tolist() == [len(ids(t)) for t in texts]
+
+
+def test_a_word_is_encoded_once_whatever_marks_and_lines_follow(ids):
+    """Pieces end with the word, so words times marks are not all new pieces."""
+    encoder, words = Encoder(tokenizer()), [a + b + c for a in ("ga", "ré", "tu", "lin") for b in ("mo", "ße", "kar") for c in ("st", "de", "ñi")]
+    text = " ".join(f"{w}{mark}" for mark in (",", ".", "!", ";", "'s", "...", ".\nThe", "\nEt", "\n\nLa", " -") for w in words)
+    assert encoder.column(pa.array([text]))[0].tolist() == ids(text)
+    assert encoder.rest.ids.count < 2 * len(words)
+
+
 def test_cache_starts_anew(ids, monkeypatch):
     monkeypatch.setattr("tallyboard.llm.tokens.KEEP_BYTES", 500 + (5 << 12) + (16 << 10))
     e = Encoder(tokenizer())

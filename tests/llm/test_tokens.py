@@ -48,6 +48,14 @@ def test_a_word_is_encoded_once_whatever_marks_and_lines_follow(ids):
     assert encoder.rest.ids.count < 2 * len(words)
 
 
+def test_a_worker_may_begin_with_empty_texts(ids, monkeypatch):
+    monkeypatch.setattr("tallyboard.llm.hashing._TABLES", {})
+    encoder = Encoder(tokenizer())
+    for texts in (["", None], ["", "one, two", None]):
+        got, lengths = encoder.column(pa.array(texts, pa.string()))
+        assert got.tolist() == [i for t in texts for i in ids(t)] and lengths.tolist() == [len(ids(t)) for t in texts]
+
+
 def test_cache_starts_anew(ids, monkeypatch):
     monkeypatch.setattr("tallyboard.llm.tokens.KEEP_BYTES", 500 + (5 << 12) + (16 << 10))
     e = Encoder(tokenizer())

@@ -15,7 +15,7 @@ from .registry import Query
 SQL = {q.name: q.sql for q in s.QUERIES}
 
 #: Replies in a landed file at most: a compressed file is read by one task.
-FILE_REPLIES = 100_000
+FILE_REPLIES = 1_000_000
 
 
 def landed_twice(e: Estate, name: str, replies: DataFrame, only_new: bool = False) -> DataFrame:

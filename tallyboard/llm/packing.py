@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import small_batches
 from . import rows
 from .token_store import _batches
-from .tokens import END_ID, Encoder, with_end
+from .tokens import ENCODE_BYTES, END_ID, Encoder, with_end
 
 LENGTH = 1024
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -170,7 +171,7 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
-        for batch in _batches(batches, "text"):
+        for batch in _batches(batches, "text", ENCODE_BYTES):
             ids, ends = with_end(*encoder.column(batch["text"]), end_id)
             sizes = np.diff(ends)
             n = -(-sizes // length)
@@ -196,7 +197,8 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
-    cut = rows.numbered(pieces(docs, tokenizer, key, text, length, end_id), "pieces")
+    with small_batches(spark):
+        cut = rows.numbered(pieces(docs, tokenizer, key, text, length, end_id), "pieces")
     # A task numbers its rows by 2^33 times its own number, so the high bits deal out each size evenly.
     cut = cut.withColumn("part", F.shiftright("row_id", 33))
     counts = rows.stored(cut.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")

@@ -18,22 +18,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import small_batches
 from . import rows
-from .tokens import END_ID, Encoder, with_end
+from .tokens import ENCODE_BYTES, END_ID, Encoder, with_end
 
 SCHEMA = "doc_id bigint, shard int, place bigint, start bigint, ids array<int>"
-STRIPE_BYTES = 64 << 20
+#: A writer keeps a stripe until it is full, a reader takes one whole.
+STRIPE_BYTES = 16 << 20
 ROW_GROUP = 1000
 BATCH_BYTES = 4 << 20
 #: A writer looks after so many rows whether its stripe is full.
 ROWS_BETWEEN_CHECKS = 250
 
 
-def _batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``BATCH_BYTES`` of text, one row at least."""
+def _batches(batches: Iterator[pa.RecordBatch], text: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``most`` bytes of text, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH_BYTES)) + 1
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
         for a, b in zip([0, *cuts], [*cuts, len(batch)]):
             if b > a:
                 yield batch.slice(a, b - a)
@@ -52,7 +54,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, start, place = Encoder.of(tokenizer), 0, 0
-        for batch in _batches(batches, "text"):
+        for batch in _batches(batches, "text", ENCODE_BYTES):
             ids, ends = with_end(*encoder.column(batch["text"]), end_id)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays(
@@ -60,9 +62,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
                 ["doc_id", "shard", "place", "start", "ids"])
             start, place = start + int(ends[-1]), place + len(batch)
 
-    (dealt.mapInArrow(encode, SCHEMA).write.option("orc.compress", "zstd").option("orc.stripe.size", stripe_bytes)
-     .option("orc.rows.between.memory.checks", ROWS_BETWEEN_CHECKS).option("orc.row.index.stride", row_group).option("orc.create.index", "true")
-     .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
+    with small_batches(docs.sparkSession):
+        (dealt.mapInArrow(encode, SCHEMA).write.option("orc.compress", "zstd").option("orc.stripe.size", stripe_bytes)
+         .option("orc.rows.between.memory.checks", ROWS_BETWEEN_CHECKS).option("orc.row.index.stride", row_group).option("orc.create.index", "true")
+         .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").orc(path))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -87,7 +90,8 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
                 ["doc_id", "shard", "start", "n_tokens", "ids_crc32"])
 
     found = read(spark, path).mapInArrow(crc, "doc_id long, shard int, start long, n_tokens long, ids_crc32 long")
-    found = rows.stored(found, "token-digests")
+    with small_batches(spark):
+        found = rows.stored(found, "token-digests")
     # One row a file: the ids before it.
     sizes = found.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
     before = sizes.select("shard", F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))

@@ -25,6 +25,8 @@ from .hashing import string_hashes
 END_ID = 2
 #: Bytes of encoded pieces that a worker keeps; when there are more it starts anew.
 KEEP_BYTES = 64 << 20
+#: Bytes of text to encode at a time: what is made on the way takes some thirty times as much.
+ENCODE_BYTES = 1 << 20
 #: Pieces that go to the library together: it needs some hundred bytes for a token.
 TOGETHER = 10_000
 

@@ -3,9 +3,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyboard.llm import packing, token_store
+from tallyboard.llm import packing, rows as shared, token_store
 from tallyboard.llm.queries import tokenizer
-from tallyboard.llm.tokens import Encoder, _Pieces
+from tallyboard.llm.tokens import ENCODE_BYTES, Encoder, _Pieces
+from tallyboard.session import small_batches
 
 TEXTS = ["", None, " ", "one", "one two  three", " lead", "trail ", "tabs\tand \n lines\n\n", "x" * 3000, "words " * 4000, "it's 12,000 cafés   wide",
          "a b <|endoftext|> c", "\x0b v \x0b", "你好 世界", "a\x85b \x85 c"]
@@ -126,6 +127,65 @@ def test_hot_ids_and_stripes(spark, docs, ids, crc, tmp_path):
     assert token_store.lookup(spark, path, 2999).count() == 1 and token_store.lookup(spark, path, 5).count() == 4501
 
 
+ARROW = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+@pytest.fixture
+def large_batches(spark):
+    """A session that hands Python 10,000 rows at a time, Spark's default."""
+    before = [spark.conf.get(k) for k in ARROW]
+    for k, v in zip(ARROW, ("10000", "64m")):
+        spark.conf.set(k, v)
+    yield ["10000", "64m"]
+    for k, v in zip(ARROW, before):
+        spark.conf.set(k, v)
+
+
+def test_workers_get_little_at_a_time_whatever_the_session_sets(spark, docs, ids, crc, tmp_path, monkeypatch, large_batches):
+    """Batches of rows, slices to encode, and the batches read back from the files are all small."""
+    seen, cut, settings_then = tmp_path / "seen", token_store._batches, {}
+
+    def noted(batches, text, *most):
+        for batch in batches:
+            for part in cut(iter([batch]), text, *most):
+                with open(seen, "a") as f:
+                    f.write(f"{len(batch)} {batch.nbytes} {part['text'].nbytes}\n")
+                yield part
+
+    def stored(*args):
+        settings_then[args[1]] = [spark.conf.get(k) for k in ARROW]
+        return write(*args)
+
+    write = shared.stored
+    texts = [f"some words of text {i % 7} " * 80 for i in range(2500)] + ["a longer text, " * 7000] * 60
+    frame = docs(*enumerate(texts)).coalesce(1)
+    monkeypatch.setattr(shared, "stored", stored)
+    for operator in (token_store, packing):
+        monkeypatch.setattr(operator, "_batches", noted)
+    token_store.write(frame, str(tmp_path / "t"), tokenizer())
+    got = {r["doc_id"]: r["ids_crc32"] for r in token_store.digests(spark, str(tmp_path / "t")).collect()}
+    assert got == {i: crc([*ids(t), 2]) for i, t in enumerate(texts)}
+    packed = packing.pack(frame, tokenizer())
+    assert packed.select("doc_id").distinct().count() == len(texts)
+    assert settings_then["token-digests"] == settings_then["pieces"] == ["1000", str(4 << 20)]
+    sizes = [tuple(map(int, line.split())) for line in seen.read_text().splitlines()]
+    assert max(n for n, _, _ in sizes) == 1000 and max(n for _, n, _ in sizes) < 5 << 20
+    assert max(n for _, _, n in sizes) < ENCODE_BYTES + 200_000
+    assert [spark.conf.get(k) for k in ARROW] == large_batches
+
+
+def test_small_batches_are_given_back(spark, large_batches):
+    with pytest.raises(ZeroDivisionError), small_batches(spark):
+        assert spark.conf.get(ARROW[0]) == "1000"
+        1 / 0
+    assert [spark.conf.get(k) for k in ARROW] == large_batches
+    for own, inside in (("5", "5"), ("0", "1000"), ("-1", "1000")):
+        spark.conf.set(ARROW[0], own)
+        with small_batches(spark):
+            assert spark.conf.get(ARROW[0]) == inside
+        assert spark.conf.get(ARROW[0]) == own
+
+
 def test_store_round_trip(spark, docs, ids, crc, tmp_path):
     rows = [(30 - i, t) for i, t in enumerate(TEXTS)] + [(7, "again"), (7, "again")]
     path = str(tmp_path / "tokens")
